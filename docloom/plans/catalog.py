@@ -1,4 +1,4 @@
 """All registered queries; importing a plan module registers its queries."""
 
-from docloom.plans import lengths  # noqa: F401
+from docloom.plans import lengths, star  # noqa: F401
 from docloom.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -7,12 +7,14 @@ SPACE_CLASS = (
 )
 WORD = f"[^{SPACE_CLASS}]+"
 SENTENCE = r"[^.!?]+[.!?]*"
-ALPHA_TOKEN = r"[\p{L}]+"
+WORD_TOKEN = r"[\p{L}\p{N}_]+"
+LETTERS_ONLY = r"^\p{L}+$"
 GRAM_TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 # --- fixed values: text cleaning ---------------------------------------------------------
-URL_WITH_SCHEME = r"https?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\(\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
-URL_WWW = r"www\.(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!*\(\),]|(?:%[0-9a-fA-F][0-9a-fA-F]))+"
+# Address characters: '!', everything from '$' to '_' (digits, capitals, % and punctuation), a-z.
+URL_WITH_SCHEME = r"https?://[!$-_a-z]+"
+URL_WWW = r"www\.[!$-_a-z]+"
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 TWO_LETTERS = "[a-zA-Z]{2,}"
 

@@ -40,8 +40,8 @@ def clean(text: Column) -> Column:
         (K.URL_WWW, ""),
         (K.CONTROL, ""),
         (r"[ \t]+", " "),
-        (r"\n\s*\n", "\n\n"),
-        (r"\n\s+", "\n"),
+        (rf"\n[{K.SPACE_CLASS}]*\n", "\n\n"),
+        (rf"\n[{K.SPACE_CLASS}]+", "\n"),
     ):
         t = F.regexp_replace(t, pattern, replacement)
     t = strip(t)

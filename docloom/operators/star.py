@@ -37,7 +37,8 @@ def junction(docs: DataFrame, doc_key: str, values: Column, id_name: str) -> Dat
 
 def star_schema(docs: DataFrame) -> dict[str, DataFrame]:
     """Fact, lookup, dimension and junction tables from documents in the DOCUMENT schema."""
-    m = docs.select("metadata.*", "content").withColumn("document_id", surrogate(F.col("celex_number")))
+    # The natural key identifies a document: a 64-bit digest would collide among billions of them.
+    m = docs.select("metadata.*", "content").withColumn("document_id", F.col("celex_number"))
     one = lambda c: F.array(F.col(c))
     lookup = lambda c: F.when(F.col(c) != "", surrogate(F.col(c)))
     from docloom.functions.ids import parse_date
@@ -207,6 +208,21 @@ def seasonality(df: DataFrame, date: str) -> DataFrame:
         F.month(date).alias("month")).agg(F.count(F.lit(1)).alias("doc_count"))
 
 
-def with_ordinal(df: DataFrame, group: str, order: str) -> DataFrame:
-    """0-based position inside a document, in emission order."""
-    return df.withColumn("ordinal", F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1)
+ORDINAL_BUCKET = 1024
+
+
+def with_ordinal(df: DataFrame, group: str, order: str, *ties: str) -> DataFrame:
+    """0-based position inside a group by an integer order column.
+
+    Rows are numbered inside (group, bucket of the order column) and shifted by the size of the
+    earlier buckets, so a group that holds a third of all rows is not numbered in one task.
+    """
+    df = df.withColumn("_b", F.floor(F.col(order) / ORDINAL_BUCKET))
+    upto = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        df.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0))).drop("_n")
+    )
+    inside = Window.partitionBy(group, "_b").orderBy(order, *ties)
+    return df.join(offsets, [group, "_b"]).withColumn(
+        "ordinal", F.col("_before") + F.row_number().over(inside) - 1).drop("_b", "_before")

@@ -1,11 +1,17 @@
 """Thresholds, patterns, word lists and formats the results depend on."""
 
 # --- fixed values: words and characters -------------------------------------------------
-# One run of characters that are not Unicode white space (the class Python's split() uses).
+# White space is what Python's split() takes for it: Unicode white space and U+001C..U+001F.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+WORD = r"(?U)[\S&&[^\x{1c}-\x{1f}]]+"
+# The same class spelled out, for engines without the (?U) flag.
 SPACE_CLASS = (
     r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-WORD = f"[^{SPACE_CLASS}]+"
+WORD_SPELLED = f"[^{SPACE_CLASS}]+"
 SENTENCE = r"[^.!?]+[.!?]*"
 WORD_TOKEN = r"[\p{L}\p{N}_]+"
 LETTERS_ONLY = r"^\p{L}+$"

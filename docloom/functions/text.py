@@ -24,7 +24,7 @@ def char_count(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^[{K.SPACE_CLASS}]+|[{K.SPACE_CLASS}]+$", "")
+    return F.btrim(text, F.lit(K.SPACES))
 
 
 def is_meaningful(text: Column) -> Column:
@@ -40,8 +40,8 @@ def clean(text: Column) -> Column:
         (K.URL_WWW, ""),
         (K.CONTROL, ""),
         (r"[ \t]+", " "),
-        (rf"\n[{K.SPACE_CLASS}]*\n", "\n\n"),
-        (rf"\n[{K.SPACE_CLASS}]+", "\n"),
+        (r"(?U)\n\s*\n", "\n\n"),
+        (r"(?U)\n\s+", "\n"),
     ):
         t = F.regexp_replace(t, pattern, replacement)
     t = strip(t)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import constants as K
+from docloom.functions.arrays import hold
 
 
 def tokens(text: Column, pattern: str) -> Column:
@@ -27,11 +28,11 @@ def ngram_counts(docs: DataFrame, n: int, min_docs: int = 2, text: str = "text")
     keyed by n-gram and combined before it, and no shuffle by document.
     """
     kept = F.filter(tokens(F.col(text), K.GRAM_TOKEN), lambda t: ~t.isin(*K.STOP_WORDS))
-    rows = docs.select(kept.alias("t")).filter(F.size("t") >= n)
+    rows = hold(docs.select(text), t=kept).filter(F.size("t") >= n)
     grams = F.array_sort(F.transform(
         F.sequence(F.lit(1), F.size("t") - (n - 1)),
         lambda i: F.array_join(F.slice(F.col("t"), i, F.lit(n)), " ")))
-    rows = rows.select(grams.alias("g"))
+    rows = hold(rows.select("t"), g=grams)
     marked = F.transform(
         F.col("g"),
         lambda gram, i: F.struct(gram.alias("gram"), F.when(

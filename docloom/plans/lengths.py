@@ -12,7 +12,7 @@ from docloom.sources.tables import load, load_texts
 
 LONG_WORDS = 2500  # stands in for the outlier limit on a corpus whose longest text has 20,000 words
 
-WORDS_SQL = f"coalesce(len(regexp_extract_all(text, '{K.WORD}')), 0)::BIGINT"
+WORDS_SQL = f"coalesce(len(regexp_extract_all(text, '{K.WORD_SPELLED}')), 0)::BIGINT"
 LENGTHS_SQL = f"""lengths AS (
   SELECT doc_id, source AS form, lang AS body, {WORDS_SQL} AS words,
          coalesce(length(text), 0)::BIGINT AS chars FROM documents)"""

@@ -17,7 +17,7 @@ def strip_sql(expr: str) -> str:
     return f"regexp_replace({expr}, '^[{K.SPACE_CLASS}]+|[{K.SPACE_CLASS}]+$', '', 'g')"
 
 
-WORD_LIST_SQL = f"regexp_extract_all(text, '{K.WORD}')"
+WORD_LIST_SQL = f"regexp_extract_all(text, '{K.WORD_SPELLED}')"
 STOP_SQL = "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in K.STOP_WORDS) + ")"
 
 

@@ -39,14 +39,18 @@ def page_text(spark, sf):
     return P.page_text(raw_pages(spark, sf), "html", region).select("page_id", "full_text")
 
 
-@query("page_sections", f"""WITH {ARTICLE_SQL},
+PAGE_SECTIONS_SQL = f"""{ARTICLE_SQL},
 h AS (SELECT page_id, min(pos) FILTER (WHERE regexp_matches(tok, '(?i)^<h1\\b')) AS h0, min(pos) FILTER (WHERE regexp_matches(tok, '(?i)^</h1')) AS h1 FROM k GROUP BY page_id),
 t AS (SELECT page_id, {clean_sql(strip_sql(decode_sql("string_agg(tok, '' ORDER BY pos)")))} AS title
   FROM k JOIN h USING (page_id) WHERE pos > h0 AND pos < h1 AND NOT starts_with(tok, '<') GROUP BY page_id),
 c AS (SELECT n.page_id, block, string_agg({strip_sql(decode_sql('tok'))}, '' ORDER BY pos) AS line FROM n JOIN h ON h.page_id = n.page_id
   WHERE pos > h1 AND NOT starts_with(tok, '<') GROUP BY ALL),
-j AS (SELECT page_id, string_agg(line, chr(10) ORDER BY block) AS content FROM c WHERE line <> '' GROUP BY page_id)
-SELECT page_id, 0 AS section_order, title, coalesce(content, '') AS content FROM t LEFT JOIN j USING (page_id) WHERE regexp_matches(title, '[a-zA-Z]{{2,}}')""")
+j AS (SELECT page_id, string_agg(line, chr(10) ORDER BY block) AS content FROM c WHERE line <> '' GROUP BY page_id),
+sections AS (SELECT page_id, 0 AS section_order, title, coalesce(content, '') AS content FROM t LEFT JOIN j USING (page_id)
+  WHERE regexp_matches(title, '[a-zA-Z]{{2,}}'))"""
+
+
+@query("page_sections", f"WITH {PAGE_SECTIONS_SQL} SELECT * FROM sections")
 def page_sections(spark, sf):
     """Sections of pages marked up with heading tags."""
     return P.heading_sections(raw_pages(spark, sf), "html", "page_id", "article")

@@ -12,7 +12,7 @@ from docloom.operators import pages as P
 from docloom.operators import sections as X
 from docloom.operators import star as S
 from docloom.plans.lengths import WORDS_SQL
-from docloom.plans.pages import raw_pages
+from docloom.plans.pages import PAGE_SECTIONS_SQL, raw_pages
 from docloom.plans.registry import query
 from docloom.plans.text import clean_sql, strip_sql
 from docloom.session import shared_dir
@@ -119,13 +119,11 @@ def legal_sections(spark, sf):
     return G.sections(legal_pages(spark, sf), "conv_id", "html")
 
 
-@query("build_processed_tables")
+@query("build_processed_tables", f"""WITH {PAGE_SECTIONS_SQL}
+SELECT page_id, sum({WORDS_SQL.replace('text', 'content')})::BIGINT AS total_words FROM sections
+WHERE page_id NOT IN (SELECT doc_id FROM labels) GROUP BY page_id""")
 def build_processed_tables(spark, sf):
-    """Unprocessed pages to stored tables of documents and sections; the documents read back.
-
-    No SQL form: the rows come from two written tables.  The parts are checked as page_sections,
-    unprocessed_documents and total_words.
-    """
+    """Unprocessed pages to stored tables of documents and sections; the documents read back."""
     docs = raw_pages(spark, sf).filter(F.col("html").isNotNull())
     seen = load(spark, sf, "labels").select(F.col("doc_id").alias("page_id"))
     todo = D.unseen(docs, seen, "page_id")

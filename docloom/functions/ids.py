@@ -26,13 +26,22 @@ def normalise_identifier(identifier: Column) -> Column:
 
 def parse_date(text: Column) -> Column:
     """Day-first with slashes or dots, or ISO; anything else, or no real calendar day, is null."""
+    def shaped(pattern, fmt):
+        # Texts of another shape never reach the parser, whose failures are exceptions.
+        return F.when(text.rlike(pattern), F.try_to_date(text, fmt))
+
     return F.coalesce(
-        F.try_to_date(text, "d/M/yyyy"),
-        F.try_to_date(text, "d.M.yyyy"),
-        F.try_to_date(text, "yyyy-M-d"),
+        shaped(r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+        shaped(r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+        shaped(r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     )
 
 
+def parse_timestamp(text: Column) -> Column:
+    """A timestamp, or null for anything that does not begin like one."""
+    return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}"), F.try_to_timestamp(text))
+
+
 def daily_view_url(base: str, day: Column) -> Column:
     return F.concat(F.lit(f"{base}/oj/daily-view/L-series/default.html?ojDate="),
                     F.date_format(day, "ddMMyyyy"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docloom import constants as K
 from docloom.functions import text as T
 from docloom.operators.pages import attribute, without_scripts
+from docloom.session import by_key
 
 # Fixed values of HTML: elements without a closing tag.
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
@@ -28,7 +29,7 @@ def tokens(pages: DataFrame, key: str, html: str) -> DataFrame:
     level is that of the element a tag opens or closes; depth is the number of elements open
     around a text.  A closing tag knows the classes of its opener, an opening tag its parent.
     """
-    df = pages.select(F.col(key).alias("key"), F.col(html).alias("html")).repartition("key")
+    df = by_key(pages.select(F.col(key).alias("key"), F.col(html).alias("html")), "key")
     df = df.select("key", F.posexplode(F.regexp_extract_all(
         without_scripts(F.col("html")), F.lit("<[^>]+>|[^<]+"), F.lit(0))).alias("pos", "tok"))
     df = df.withColumn("tag", F.lower(F.regexp_extract("tok", "^</?([a-zA-Z][a-zA-Z0-9]*)", 1)))
@@ -145,7 +146,7 @@ def _memberships(df: DataFrame) -> DataFrame:
     order = lambda g, s, r: F.struct(g.cast("int").alias("g"), s.cast("int").alias("s"), r.cast("int").alias("r"))
     zero = F.lit(0)
     enum = F.col("in_enum") & (F.col("inline_p.style") == "display: inline;") & (F.col("depth") >= F.col("inline_p.level"))
-    lists = F.filter(F.array(
+    lists = F.array(
         F.when((F.col("lv") == 0) & F.col("in_title") & text,
                unit("header", "whole", zero, no_cls, order(zero, zero, zero), zero, F.lit("div"), zero)),
         F.when((F.col("lv") == 0) & F.col("in_preamble") & text,
@@ -161,10 +162,10 @@ def _memberships(df: DataFrame) -> DataFrame:
                & (text | (F.col("sib.tag") == "table")),
                unit("section", "string", F.col("head.pos"), F.col("head.cls"), order(zero, zero, zero),
                     F.when(F.col("sib.tag") == "table", F.col("sib.pos")).otherwise(F.col("pos")), F.col("sib.tag"), F.col("sib.pos"))),
-    ), lambda m: m.isNotNull())
+    )
     return rows.select(
         "key", "pos", "kind", "tag", "tok", "tr_no", "cell_no", "in_cell", "in_note", "mark", "narrow",
-        F.explode(lists).alias("m")).select("*", "m.*").drop("m")
+        F.explode(lists).alias("m")).filter(F.col("m").isNotNull()).select("*", "m.*").drop("m")
 
 
 def _units(df: DataFrame) -> DataFrame:

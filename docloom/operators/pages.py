@@ -146,7 +146,7 @@ def links(pages: DataFrame, html: str, key: str, base_url: str, main: Column | N
 
 def _value_after(cells: Column, label: str) -> Column:
     """The definition that follows the first term holding the label; null when there is none."""
-    found = F.filter(cells, lambda c: (c["kind"] == "dt") & F.contains(raw_text(c["body"]), F.lit(label)))
+    found = F.filter(cells, lambda c: F.contains(c["term"], F.lit(label)))
     at = F.get(found, F.lit(0))["i"]
     return let(at, lambda a: F.get(
         F.filter(cells, lambda c: (c["kind"] == "dd") & (c["i"] > a)), F.lit(0))["body"])
@@ -164,9 +164,9 @@ def page_metadata(pages: DataFrame, html: str) -> DataFrame:
     def cells_of(part):
         return F.transform(
             F.regexp_extract_all(part, F.lit(cell), F.lit(0)),
-            lambda c, i: F.struct(
-                F.lower(F.substring(c, 2, 2)).alias("kind"),
-                F.regexp_replace(c, r"(?is)^<[^>]*>|</[^>]*>$", "").alias("body"), i.alias("i")))
+            lambda c, i: let(F.regexp_replace(c, r"(?is)^<[^>]*>|</[^>]*>$", ""), lambda body: F.struct(
+                F.lower(F.substring(c, 2, 2)).alias("kind"), body.alias("body"),
+                F.when(F.lower(F.substring(c, 2, 2)) == "dt", raw_text(body)).alias("term"), i.alias("i"))))
 
     # The date list is the first definition list of its class.
     date_list = element(F.col("_c"), r"""(?i)<dl\b[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?NMetadata(?:\s[^"']*)?["'][^>]*>""", "dl")
@@ -192,7 +192,7 @@ def page_metadata(pages: DataFrame, html: str) -> DataFrame:
         _voc=_value_after(F.col("_cells"), "EUROVOC descriptor"),
         _subject=_value_after(F.col("_cells"), "Subject matter"),
         _dir=_value_after(F.col("_cells"), "Directory code"),
-        _labels=F.transform(F.filter("_dates", lambda c: c["kind"] == "dt"), lambda c: F.lower(raw_text(c["body"]))),
+        _labels=F.transform(F.filter("_dates", lambda c: c["kind"] == "dt"), lambda c: F.lower(c["term"])),
         _values=F.transform(F.filter("_dates", lambda c: c["kind"] == "dd"),
                             lambda c: T.before_semicolon(raw_text(c["body"]))),
     )

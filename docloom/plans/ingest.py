@@ -76,7 +76,7 @@ def parse_dates(spark, sf):
     df = load(spark, sf, "orders").select("o_orderkey", raw.alias("raw"))
     return df.select(
         "o_orderkey", F.date_format(I.parse_date(F.col("raw")), "yyyy-MM-dd").alias("day"),
-        F.date_format(F.try_to_timestamp("raw"), "yyyy-MM-dd HH:mm:ss").alias("moment"))
+        F.date_format(I.parse_timestamp(F.col("raw")), "yyyy-MM-dd HH:mm:ss").alias("moment"))
 
 
 @query("metadata_validation", """SELECT o_orderkey,

@@ -8,7 +8,7 @@ from docloom import constants as K
 from docloom.operators import pages as P
 from docloom.plans.registry import query
 from docloom.plans.text import clean_sql, strip_sql
-from docloom.sources.tables import load, load_texts
+from docloom.sources.tables import load_texts
 
 BASE_URL = "https://example.org"
 
@@ -108,7 +108,7 @@ def metadata_pages(spark, sf):
         "<dt>Directory code: </dt><dd><ul><li>11.40.", k, " <a><span>External </span></a><a><span>Status ", F.col("o_orderstatus"), "</span></a></li></ul></dd></dl>",
         '<dl class="NMetadata"><dt>Author: </dt><dd>Council, Customer ', F.col("o_custkey").cast("string"), "</dd>", body,
         "<dt>Form: </dt><dd>Form ", F.col("o_orderstatus"), "</dd></dl></body></html>")
-    return load(spark, sf, "orders").select("o_orderkey", html.alias("html"))
+    return load_texts(spark, sf, "orders").select("o_orderkey", html.alias("html"))
 
 
 @query("page_metadata", """SELECT o_orderkey, '3' || strftime(o_orderdate, '%Y') || 'R' || o_orderkey AS celex_number, 'Order & text ' || o_orderkey AS title,

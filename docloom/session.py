@@ -49,6 +49,17 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition by key ahead of work that multiplies the rows.
+
+    The number of partitions is given, so adaptive execution does not merge them by the small
+    size of the input; it is the session's shuffle setting, raised to the number of slots.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(n, key)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan over the cores when it has fewer splits than the cluster has slots.
 

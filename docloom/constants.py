@@ -12,7 +12,8 @@ SPACE_CLASS = (
     r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WORD_SPELLED = f"[^{SPACE_CLASS}]+"
-SENTENCE = r"[^.!?]+[.!?]*"
+# Up to closing marks followed by white space, or to the end; words are never cut.
+SENTENCE = r"(?s).+?(?:[.!?]+(?:[\t\n\f\r ]+|\z)|\z)"
 WORD_TOKEN = r"[\p{L}\p{N}_]+"
 LETTERS_ONLY = r"^\p{L}+$"
 GRAM_TOKEN = r"[\p{L}\p{N}_]{2,}"

@@ -146,3 +146,21 @@ def tfidf_scores(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     scores = parts.groupBy(key, "pos").agg(F.sqrt(F.sum("part")).alias("score"))
     return sents.join(scores, [key, "pos"], "left").select(
         key, "pos", "sentence", F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
+def with_scorer(chunks: DataFrame, scorer: Scorer, *keys: str, chunk: str = "chunk") -> DataFrame:
+    """(keys, pos, sentence, n, score) with any scorer over a sentence column, a pandas UDF included."""
+    rows = chunks.select(*keys, F.posexplode(T.sentences(F.col(chunk))).alias("pos", "sentence"))
+    return rows.withColumn("n", T.word_count(F.col("sentence"))).withColumn(
+        "score", scorer(F.col("sentence")).cast("double"))
+
+
+def extract_scored(scored: DataFrame, key: str, number: str) -> DataFrame:
+    """(key, number, extract) from scored sentence rows; a group is one bounded chunk."""
+    item = F.struct("pos", F.col("sentence").alias("s"), "n", "score")
+    groups = scored.groupBy(key, number).agg(F.array_sort(F.collect_list(item)).alias("sc"), F.sum("n").alias("words"))
+    v = F.when(F.col(number) <= 2, F.lit(0.25)).otherwise(F.lit(0.2))
+    target = M.chunk_target(F.col("words"), F.col(number))
+    return groups.select(key, number, select_sentences(
+        F.col("sc"), F.floor(target * (F.lit(1.0) - v)).cast("long"),
+        F.floor(target * (F.lit(1.0) + v)).cast("long")).alias("extract"))

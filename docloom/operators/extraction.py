@@ -20,7 +20,7 @@ def term_norm(sentence: Column) -> Column:
 
     Row-local, so scoring adds no shuffle.  A blank sentence scores 0.
     """
-    terms = F.array_sort(F.regexp_extract_all(F.lower(sentence), F.lit(K.WORD_TOKEN), F.lit(0)))
+    terms = F.sort_array(F.regexp_extract_all(F.lower(sentence), F.lit(K.WORD_TOKEN), F.lit(0)))
     empty = F.struct(F.lit("").alias("prev"), F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("sum"))
 
     # (r + 1)^2 - r^2 = 2 r + 1: every further occurrence of a term adds that much to the sum.
@@ -46,7 +46,7 @@ def select_sentences(scored: Column, lower: Column, upper: Column) -> Column:
     when `upper` is reached.  A sentence that would pass 1.1 times `upper` is skipped.  The kept
     ones are joined in text order.
     """
-    ranked = lambda sc: F.array_sort(F.transform(sc, lambda x, i: F.struct(
+    ranked = lambda sc: F.sort_array(F.transform(sc, lambda x, i: F.struct(
         (-x["score"]).alias("rank"), i.alias("i"), x["n"].alias("n"))))
     empty = F.struct(F.lit(0).cast("long").alias("words"),
                      F.array().cast("array<int>").alias("kept"), F.lit(False).alias("done"))
@@ -64,7 +64,7 @@ def select_sentences(scored: Column, lower: Column, upper: Column) -> Column:
                 F.when(take, F.concat(acc["kept"], F.array(x["i"]))).otherwise(acc["kept"]).alias("kept"),
                 (acc["done"] | stop).alias("done"))
 
-        return F.aggregate(ranked(sc), empty, step, lambda acc: F.array_sort(acc["kept"]))
+        return F.aggregate(ranked(sc), empty, step, lambda acc: F.sort_array(acc["kept"]))
 
     return let(scored, lambda sc: let(lower, lambda lo: let(upper, lambda hi: F.array_join(
         F.transform(pick(sc, lo, hi), lambda i: F.get(sc, i)["s"]), " "))))
@@ -124,7 +124,7 @@ def tfidf_scores(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
                 F.get(t, i).alias("token"),
                 (F.coalesce(F.get(m, k + 1), F.size(t)) - i).cast("double").alias("tf"))))
 
-        return F.when(F.size(tokens) > 0, let(F.array_sort(tokens), cut))
+        return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), cut))
 
     found = F.regexp_extract_all(F.lower("sentence"), F.lit(K.WORD_TOKEN), F.lit(0))
     rows = sents.select(key, "pos", F.explode(runs(found)).alias("r")).select(key, "pos", "r.token", "r.tf")
@@ -158,7 +158,7 @@ def with_scorer(chunks: DataFrame, scorer: Scorer, *keys: str, chunk: str = "chu
 def extract_scored(scored: DataFrame, key: str, number: str) -> DataFrame:
     """(key, number, extract) from scored sentence rows; a group is one bounded chunk."""
     item = F.struct("pos", F.col("sentence").alias("s"), "n", "score")
-    groups = scored.groupBy(key, number).agg(F.array_sort(F.collect_list(item)).alias("sc"), F.sum("n").alias("words"))
+    groups = scored.groupBy(key, number).agg(F.sort_array(F.collect_list(item)).alias("sc"), F.sum("n").alias("words"))
     v = F.when(F.col(number) <= 2, F.lit(0.25)).otherwise(F.lit(0.2))
     target = M.chunk_target(F.col("words"), F.col(number))
     return groups.select(key, number, select_sentences(

@@ -73,7 +73,7 @@ def inside(test, window) -> Column:
 
 
 def _joined(text: Column, order: Column, glue: str) -> Column:
-    rows = F.array_sort(F.collect_list(F.struct(order.alias("o"), text.alias("t"))))
+    rows = F.sort_array(F.collect_list(F.struct(order.alias("o"), text.alias("t"))))
     return F.array_join(F.transform(rows, lambda r: r["t"]), glue)
 
 
@@ -195,12 +195,12 @@ def _units(df: DataFrame) -> DataFrame:
         _joined(F.when(shown.isNotNull(), shown), F.col("col_no"), " ").alias("line"),
         F.sum("n_cols").alias("n_cols"), F.max("narrow").alias("narrow"), F.max("sib").alias("sib"),
         F.max(F.contains(F.col("text"), F.lit("AR"))).alias("has_ar"),
-        F.array_sort(F.collect_list(F.when(is_cell, F.struct("col_no", T.strip(F.col("text")).alias("t"))))).alias("cells"))
+        F.sort_array(F.collect_list(F.when(is_cell, F.struct("col_no", T.strip(F.col("text")).alias("t"))))).alias("cells"))
     rows = rows.groupBy(*base).agg(
         _joined(F.when(F.col("line") != "", F.col("line")), F.col("row_no"), "\n").alias("regular"),
         F.sum("n_cols").alias("n_cols"), F.max("narrow").alias("narrow"), F.max("sib").alias("sib"),
         F.max("has_ar").alias("has_ar"),
-        F.array_sort(F.flatten(F.collect_list("cells"))).alias("cells"))
+        F.sort_array(F.flatten(F.collect_list("cells"))).alias("cells"))
     first, second = F.get("cells", F.lit(0))["t"], F.get("cells", F.lit(1))["t"]
     numbered = F.when(F.coalesce(second, F.lit("")) != "", F.concat(first, F.lit(" "), second)).otherwise("")
     is_numbered = table & (F.col("n_cols") == 2) & F.coalesce(F.col("narrow"), F.lit(False))
@@ -222,7 +222,7 @@ def sections(pages: DataFrame, key: str, html: str) -> DataFrame:
     dropped = ((F.col("part") == "string") & (F.col("unit_tag") != "table") & F.col("sib_ar")
                & (F.col("unit") > F.col("ar_from")))
     kept = units.filter((F.col("text") != "") & ~F.coalesce(dropped, F.lit(False)))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("order", "unit", "text"))), lambda p: p["text"])
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("order", "unit", "text"))), lambda p: p["text"])
     grouped = kept.groupBy("key", "head", "scope", "cls").agg(parts.alias("parts"))
     unique = F.when(F.col("scope") == "section", F.array_distinct("parts")).otherwise(F.col("parts"))
     grouped = grouped.withColumn("content", F.array_join(unique, "\n"))

@@ -156,7 +156,7 @@ def boxplot(df: DataFrame, by: str = "form", measure: str = "words") -> DataFram
     reach = (F.col("p2") - F.col("p0")) * 1.5
     inside = F.col(measure).between(F.col("p0") - reach, F.col("p2") + reach)
     return (
-        counts.join(quarts, by)
+        _null_safe_join(counts, quarts, [by])
         .groupBy(by)
         .agg(
             F.round(F.max("p0"), 6).alias("q1"),

@@ -30,7 +30,7 @@ def duration_histogram(df: DataFrame, value: str, bounds: Sequence[int], *labels
 def format_lines(samples: DataFrame) -> DataFrame:
     """Text form of samples (name, labels map, value): ``name{k="v",…} value``."""
     pairs = F.transform(
-        F.array_sort(F.map_entries("labels")),
+        F.sort_array(F.map_entries("labels")),
         lambda e: F.concat(e["key"], F.lit('="'), e["value"], F.lit('"')))
     body = F.when(F.size("labels") > 0, F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))).otherwise("")
     return samples.withColumn("line", F.concat("name", body, F.lit(" "), F.col("value").cast("string")))

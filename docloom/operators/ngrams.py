@@ -29,7 +29,7 @@ def ngram_counts(docs: DataFrame, n: int, min_docs: int = 2, text: str = "text")
     """
     kept = F.filter(tokens(F.col(text), K.GRAM_TOKEN), lambda t: ~t.isin(*K.STOP_WORDS))
     rows = hold(docs.select(text), t=kept).filter(F.size("t") >= n)
-    grams = F.array_sort(F.transform(
+    grams = F.sort_array(F.transform(
         F.sequence(F.lit(1), F.size("t") - (n - 1)),
         lambda i: F.array_join(F.slice(F.col("t"), i, F.lit(n)), " ")))
     rows = hold(rows.select("t"), g=grams)

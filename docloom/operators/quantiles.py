@@ -66,9 +66,11 @@ def percentiles(counts: DataFrame, by: Sequence[str], value: str,
     keys = [*by, "bucket"]
     fine = counts.select(*by, value, "n", bucket)
     renamed = hits.select(*[F.col(k).alias(f"_{k}") for k in keys], "total", "below", "ranks")
+    # Null-safe on every key: groups may be null, and no filter is inferred that would make this
+    # branch differ from the one above and keep their common counts from being computed once.
     same = F.lit(True)
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}")) if k in by else same & (F.col(k) == F.col(f"_{k}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
     inside = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     upper = F.col("below") + F.col("running")
     found = (

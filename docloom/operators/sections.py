@@ -11,7 +11,7 @@ PART = 64
 
 
 def _ordered(order: str, value: str) -> Column:
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(value).alias("v"))))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(order), F.col(value).alias("v"))))
     return F.transform(rows, lambda r: r["v"])
 
 
@@ -48,7 +48,7 @@ def backfill_word_counts(sections: DataFrame, content: str) -> DataFrame:
 def nested(sections: DataFrame, key: str, order: str) -> DataFrame:
     """One row per document with its sections as an ordered array of structs."""
     item = F.struct("title", "content", F.col("section_type").alias("type"))
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), item.alias("s"))))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), item.alias("s"))))
     return sections.groupBy(key).agg(F.transform(rows, lambda r: r["s"]).alias("sections"))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.session import materialise
+
 # --- building the schema from document records ---------------------------------------------
 
 
@@ -152,8 +154,10 @@ def top_pairs(links: DataFrame, doc: str, member: str, k: int, seeds: int = 64)
     The pairs among the few most frequent members give a lower bound for the k-th best count.
     A pair never occurs more often than its rarer member, so members below that bound cannot
     take part and are dropped before any pair is formed.  The bound is a scalar, not a sample:
-    every pair that can reach the result is still counted in full.
+    every pair that can reach the result is still counted in full.  The distinct links are
+    written once, as four steps read them.
     """
+    links = materialise(links.select(doc, member), "links")
     degree = links.groupBy(member).agg(F.count(F.lit(1)).alias("degree"))
     seed = degree.orderBy(F.desc("degree"), member).limit(seeds).select(member)
     bound = (

@@ -24,6 +24,7 @@ URL_WITH_SCHEME = r"https?://[!$-_a-z]+"
 URL_WWW = r"www\.[!$-_a-z]+"
 CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 TWO_LETTERS = "[a-zA-Z]{2,}"
+WITHOUT_WORDS = r"(?s)\A(?!.*?[a-zA-Z]{2}).+"
 
 # --- fixed values: identifiers and dates -------------------------------------------------
 IDENTIFIER = r"^[A-Z]/\d{4}/\d+(/[A-Z]+)?$"

@@ -44,8 +44,7 @@ def clean(text: Column) -> Column:
         (r"(?U)\n\s+", "\n"),
     ):
         t = F.regexp_replace(t, pattern, replacement)
-    t = strip(t)
-    return F.when(is_meaningful(t), t).otherwise(F.lit(""))
+    return F.regexp_replace(strip(t), K.WITHOUT_WORDS, "")
 
 
 def distinct_lines(text: Column) -> Column:

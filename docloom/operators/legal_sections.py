@@ -1,8 +1,9 @@
 """Class-marked legal pages to ordered sections, as one relational job over page tokens.
 
 Raw pages are shuffled once, by page, before they are cut into tokens; every window and
-aggregation below is keyed by page first and therefore runs in place.  Elements that are not
-void must be closed, as they are in the published pages.
+aggregation below is keyed by page first and therefore runs in place.  What an element is
+travels as one integer of flags, so the token rows stay narrow.  Elements that are not void must
+be closed, as they are in the published pages.
 """
 
 from __future__ import annotations
@@ -18,193 +19,212 @@ from docloom.session import by_key
 # Fixed values of HTML: elements without a closing tag.
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
+# Flags of an element.  The lowest four name the heading class, in the order of HEADING_CLASSES.
+HEADING = 0b1111
+(ANNEX, TITLE, PREAMBLE, BOX, SUBDIVISION, NORMAL, NOTE, ENUM, UNWANTED, TABLE, CELL, SPAN, ROW, PARA,
+ INLINE) = (1 << i for i in range(4, 19))
+FLAG_RANGE = 1 << 20
 
-def _has(cls: Column, *names: str) -> Column:
-    return F.arrays_overlap(cls, F.array(*[F.lit(n) for n in names]))
+# Parts a token can take.
+HEADER, OPENING, MAIN, HEAD_TITLE, SECTION = range(5)
+WHOLE, LISTED, STRING = range(3)
+
+
+def _flags(tok: Column, tag: Column, cls: Column) -> Column:
+    has = lambda *names: F.arrays_overlap(cls, F.array(*[F.lit(n) for n in names]))
+    div, para = tag == "div", tag == "p"
+    tests = [(has(name), 1 << i) for i, name in enumerate(K.HEADING_CLASSES)] + [
+        (has("oj-doc-ti"), ANNEX), (div & has("eli-main-title"), TITLE), (div & has("eli-preamble"), PREAMBLE),
+        (div & has("eli-container"), BOX), (div & has("eli-subdivision"), SUBDIVISION),
+        (para & has("oj-normal"), NORMAL), (tag.isin("a", "span") & has("oj-note-tag"), NOTE),
+        (div & has("oj-enumeration-spacing"), ENUM), (has(*K.UNWANTED_CLASSES), UNWANTED), (tag == "table", TABLE),
+        (tag.isin("td", "th"), CELL), (tag == "span", SPAN), (tag == "tr", ROW), (para, PARA),
+        (para & (attribute(tok, "style") == "display: inline;"), INLINE)]
+    total = F.lit(0)
+    for test, flag in tests:
+        total = total + F.when(test, flag).otherwise(0)
+    return total
+
+
+def _is(column: str, flag: int) -> Column:
+    return F.coalesce(F.col(column).bitwiseAND(F.lit(flag)) != 0, F.lit(False))
+
+
+def _kinds() -> tuple[Column, Column, Column]:
+    return F.col("kind") == "open", F.col("kind") == "close", F.col("kind") == "text"
+
+
+def _inside(flag: int, window) -> Column:
+    """How many elements with the flag are open around a token."""
+    opening, closing, _ = _kinds()
+    return F.sum(F.when(opening & _is("flags", flag), 1).when(closing & _is("opener", flag), -1).otherwise(0)).over(window)
 
 
 def tokens(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, pos, kind, tag, cls, level, depth, …) with unwanted elements removed.
+    """(key, pos, tok, kind, flags, depth, level, opener, …) with unwanted elements removed.
 
     level is that of the element a tag opens or closes; depth is the number of elements open
-    around a text.  A closing tag knows the classes of its opener, an opening tag its parent.
+    around a text.  A closing tag knows the flags of its opener, an opening tag its parent.
     """
+    opening, closing, _ = _kinds()
     df = by_key(pages.select(F.col(key).alias("key"), F.col(html).alias("html")), "key")
     df = df.select("key", F.posexplode(F.regexp_extract_all(
         without_scripts(F.col("html")), F.lit("<[^>]+>|[^<]+"), F.lit(0))).alias("pos", "tok"))
     df = df.withColumn("tag", F.lower(F.regexp_extract("tok", "^</?([a-zA-Z][a-zA-Z0-9]*)", 1)))
-    kind = (
+    df = df.withColumn("kind", (
         F.when(~F.startswith("tok", F.lit("<")), "text")
         .when(F.col("tag") == "", "other")
         .when(F.startswith("tok", F.lit("</")), "close")
         .when(F.col("tag").isin(*VOID) | F.endswith("tok", F.lit("/>")), "void")
-        .otherwise("open")
-    )
-    df = df.withColumn("kind", kind)
-    opening = F.col("kind") == "open"
+        .otherwise("open"))).filter(F.col("kind") != "other")
     df = df.withColumn("cls", F.when(opening, F.split(attribute(F.col("tok"), "class"), r"\s+", -1)))
+    df = df.select(
+        "key", "pos", "tok", "kind", F.when(opening, _flags(F.col("tok"), F.col("tag"), F.col("cls"))).alias("flags"))
     page = Window.partitionBy("key").orderBy("pos")
     upto = page.rowsBetween(Window.unboundedPreceding, 0)
     before = page.rowsBetween(Window.unboundedPreceding, -1)
-    step = F.when(opening, 1).when(F.col("kind") == "close", -1).otherwise(0)
-    df = df.withColumn("depth", F.sum(step).over(upto))
-    df = df.withColumn("level", F.when(opening, F.col("depth")).when(
-        F.col("kind") == "close", F.col("depth") + 1).otherwise(0))
-    is_tag = F.col("kind").isin("open", "close")
-    df = df.withColumn("prev_tag", F.last(F.when(is_tag, F.struct("kind", "pos", "cls", "tag")), True).over(before))
+    # An opening tag right after another one is its first child; a closing tag is marked -1.
+    place = F.when(opening, F.col("pos").cast("long") * FLAG_RANGE + F.col("flags")).when(closing, F.lit(-1))
+    df = df.withColumns({
+        "depth": F.sum(F.when(opening, 1).when(closing, -1).otherwise(0)).over(upto).cast("int"),
+        "previous": F.last(place, True).over(before),
+    })
+    df = df.withColumn("level", F.when(opening, F.col("depth")).when(closing, F.col("depth") + 1).otherwise(0))
     siblings = Window.partitionBy("key", "level").orderBy("pos")
-    first_child = F.when(opening & (F.col("prev_tag.kind") == "open"),
-                         F.struct(F.col("prev_tag.pos").alias("pos"), F.col("prev_tag.cls").alias("cls")))
-    df = df.withColumn("opener", F.when(F.col("kind") == "close", F.lag(F.struct("pos", "cls", "tag")).over(siblings)))
-    df = df.withColumn("parent", F.when(opening, F.last(first_child, True).over(
-        siblings.rowsBetween(Window.unboundedPreceding, 0))))
-    gone = inside(lambda c, t: _has(c, *K.UNWANTED_CLASSES), upto)
-    df = df.withColumn("removed", gone)
-    closes_gone = F.coalesce(_has(F.col("opener.cls"), *K.UNWANTED_CLASSES), F.lit(False))
-    return df.filter((F.col("removed") == 0) & ~closes_gone).drop("removed", "prev_tag")
-
-
-def inside(test, window) -> Column:
-    """How many elements that pass the test are open around a token."""
-    opens = F.coalesce(test(F.col("cls"), F.col("tag")), F.lit(False))
-    closes = F.coalesce(test(F.col("opener.cls"), F.col("opener.tag")), F.lit(False))
-    return F.sum(F.when((F.col("kind") == "open") & opens, 1)
-                 .when((F.col("kind") == "close") & closes, -1).otherwise(0)).over(window)
-
-
-def _joined(text: Column, order: Column, glue: str) -> Column:
-    rows = F.sort_array(F.collect_list(F.struct(order.alias("o"), text.alias("t"))))
-    return F.array_join(F.transform(rows, lambda r: r["t"]), glue)
+    first_child = F.when(opening & (F.col("previous") >= 0), F.col("previous"))
+    df = df.withColumns({
+        "opener": F.when(closing, F.lag("flags").over(siblings)),
+        "opener_pos": F.when(closing, F.lag("pos").over(siblings)),
+        "parent": F.when(opening, F.last(first_child, True).over(siblings.rowsBetween(Window.unboundedPreceding, 0))),
+    })
+    df = df.withColumn("gone", _inside(UNWANTED, upto))
+    return df.filter((F.col("gone") == 0) & ~_is("opener", UNWANTED)).drop("gone", "previous")
 
 
 def _memberships(df: DataFrame) -> DataFrame:
     """Every token once per part it takes: title, preamble, main content, and each heading level."""
+    opening, closing, is_text = _kinds()
     page = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("key")
-    opening, closing = F.col("kind") == "open", F.col("kind") == "close"
-
-    def first_region(name):
-        test = lambda c, t: _has(c, name) & (t == "div")
-        number = F.sum(F.when(opening & test(F.col("cls"), F.col("tag")), 1).otherwise(0)).over(page)
-        return (inside(test, page) > 0) & (number == 1)
-
-    heading = F.coalesce(_has(F.col("cls"), *K.HEADING_CLASSES), F.lit(False))
-    was_heading = F.coalesce(_has(F.col("opener.cls"), *K.HEADING_CLASSES), F.lit(False))
-    normal = opening & (F.col("tag") == "p") & _has(F.col("cls"), "oj-normal")
-    in_sub = F.coalesce(_has(F.col("parent.cls"), "eli-subdivision"), F.lit(False))
-    in_box = F.coalesce(_has(F.col("parent.cls"), "eli-container"), F.lit(False))
-    number_of = lambda *tags: F.sum(F.when(opening & F.col("tag").isin(*tags), 1).otherwise(0)).over(page)
-
-    df = df.withColumns({
-        "in_title": first_region("eli-main-title"),
-        "in_preamble": first_region("eli-preamble"),
-        "in_container": first_region("eli-container"),
-        "in_note": inside(lambda c, t: _has(c, "oj-note-tag") & t.isin("a", "span"), page) > 0,
-        "in_enum": inside(lambda c, t: _has(c, "oj-enumeration-spacing") & (t == "div"), page) > 0,
-        "in_cell": inside(lambda c, t: t.isin("td", "th"), page) > 0,
-        "tr_no": number_of("tr"), "cell_no": number_of("td", "th"),
-        "levels": F.collect_set(F.when(opening & heading, F.col("level"))).over(whole),
-        "mark": opening & (_has(F.col("cls"), "oj-normal") & (F.col("tag") == "p") | (F.col("tag") == "span")),
-        "narrow": (F.col("tag") == "col") & F.contains(attribute(F.col("tok"), "width"), F.lit("4%")),
-    })
-    # Blocks of the main content: where they begin and, by level, where they end.
-    rank = (F.when(normal & in_sub, 0).when(opening & (F.col("tag") == "table") & in_sub, 1)
-            .when(opening & (F.col("tag") == "span") & in_sub & ~F.col("in_note"), 2).when(normal & in_box, 3))
-    df = df.withColumn("block", F.last(
-        F.when(rank.isNotNull(), F.struct(
-            F.when(rank == 3, F.lit(1)).otherwise(0).alias("group"),
-            F.when(rank == 3, F.lit(0)).otherwise(F.col("parent.pos")).alias("sub"),
-            rank.alias("rank"), F.col("pos").alias("unit"), F.col("level").alias("level"), F.col("tag").alias("tag"))), True).over(page))
+    count = lambda flag: F.sum(F.when(opening & _is("flags", flag), 1).otherwise(0)).over(page).cast("int")
+    first = lambda flag: (_inside(flag, page) > 0) & (count(flag) == 1)
+    parent_pos = F.floor(F.col("parent") / FLAG_RANGE)
+    last = lambda cond, value: F.last(F.when(cond, value), True).over(page)
+    pos = F.col("pos").cast("long")
+    # Blocks of the main content, by rank: paragraphs, tables and spans of a subdivision, then
+    # paragraphs directly in the container.
+    rank = (F.when(_is("flags", NORMAL) & _is("parent", SUBDIVISION), 0)
+            .when(_is("flags", TABLE) & _is("parent", SUBDIVISION), 1)
+            .when(_is("flags", SPAN) & ~_is("flags", NOTE) & _is("parent", SUBDIVISION), 2)
+            .when(_is("flags", NORMAL) & _is("parent", BOX), 3))
+    df = df.withColumn("rank", F.when(opening, rank))
     df = df.withColumns({
-        "block_open": (F.col("depth") >= F.col("block.level")),
-        "enum_pos": F.last(F.when(opening & _has(F.col("cls"), "oj-enumeration-spacing"), F.col("pos")), True).over(page),
-        "inline_p": F.last(F.when(opening & (F.col("tag") == "p"), F.struct(
-            "pos", "level", attribute(F.col("tok"), "style").alias("style"))), True).over(page),
+        "in_title": first(TITLE), "in_preamble": first(PREAMBLE), "in_box": first(BOX),
+        "in_note": _inside(NOTE, page) > 0, "in_enum": _inside(ENUM, page) > 0, "in_cell": _inside(CELL, page) > 0,
+        "row_no": count(ROW), "cell_no": count(CELL),
+        "levels": F.collect_set(F.when(opening & _is("flags", HEADING), F.col("level"))).over(Window.partitionBy("key")),
+        "block": last(F.col("rank").isNotNull(), pos * 4 + F.col("rank")),
+        "block_level": last(F.col("rank").isNotNull(), F.col("level")),
+        "block_parent": last(F.col("rank").isNotNull(), parent_pos),
+        "enum_pos": last(opening & _is("flags", ENUM), pos),
+        "para": last(opening & _is("flags", PARA), pos * 2 + _is("flags", INLINE).cast("int")),
+        "para_level": last(opening & _is("flags", PARA), F.col("level")),
     })
     # A block ends when depth falls below its level once; later text belongs to no block.
-    low = F.min(F.when(F.col("block.unit").isNotNull(), F.col("depth"))).over(
-        Window.partitionBy("key", "block.unit").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn("in_block", F.coalesce(low >= F.col("block.level"), F.lit(False)))
+    low = F.min("depth").over(
+        Window.partitionBy("key", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("in_block", F.coalesce(low >= F.col("block_level"), F.lit(False)))
 
-    rows = df.withColumn("lv", F.explode(F.concat(F.array(F.lit(0).cast("long")), F.filter(
-        F.col("levels"), lambda v: (F.col("depth") >= v - 2)))))
+    # Level 0 stands for title, preamble and main content; the others for headings of that level.
+    rows = df.withColumn("lv", F.explode(F.concat(F.array(F.lit(0)), "levels"))).filter(F.col("depth") >= F.col("lv") - 2)
     at_level = Window.partitionBy("key", "lv").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     on = F.col("level") == F.col("lv")
-    state = lambda pos, cls, part: F.struct(pos.alias("pos"), cls.alias("cls"), F.lit(part).alias("part"))
-    nothing = state(F.lit(None).cast("int"), F.lit(None).cast("array<string>"), "none")
-    rows = rows.withColumn("head", F.last(
-        F.when(opening & on & heading, state(F.col("pos"), F.col("cls"), "title"))
-        .when(closing & on & was_heading, state(F.col("opener.pos"), F.col("opener.cls"), "body"))
-        .when(closing & (F.col("level") == F.col("lv") - 1), nothing), True).over(at_level))
-    rows = rows.withColumn("sib", F.last(F.when(opening & on, F.struct("pos", "tag")), True).over(at_level))
-
-    text = F.col("kind") == "text"
-    unit = lambda scope, part, head, cls, order, unit, tag, sub: F.struct(
-        F.lit(scope).alias("scope"), F.lit(part).alias("part"), head.cast("int").alias("head"), cls.alias("cls"),
-        order.alias("order"), unit.cast("int").alias("unit"), tag.alias("unit_tag"), sub.cast("int").alias("sub"))
-    no_cls = F.lit(None).cast("array<string>")
-    order = lambda g, s, r: F.struct(g.cast("int").alias("g"), s.cast("int").alias("s"), r.cast("int").alias("r"))
+    state = lambda p, flags, part: p.cast("long") * 128 + flags.bitwiseAND(F.lit(HEADING | ANNEX)) * 4 + part
+    head = (F.when(opening & on & _is("flags", HEADING), state(F.col("pos"), F.col("flags"), 1))
+            .when(closing & on & _is("opener", HEADING), state(F.col("opener_pos"), F.col("opener"), 2))
+            .when(closing & (F.col("level") == F.col("lv") - 1), F.lit(0)))
+    rows = rows.withColumns({
+        "head": F.last(head, True).over(at_level),
+        "sib": F.last(F.when(opening & on, pos * 2 + _is("flags", TABLE).cast("int")), True).over(at_level),
+    })
+    part = F.col("head") % 4
+    head_pos, head_flags = F.floor(F.col("head") / 128), F.floor(F.col("head") % 128 / 4)
+    block_pos, block_rank = F.floor(F.col("block") / 4), F.col("block") % 4
+    sib_pos, sib_table = F.floor(F.col("sib") / 2), F.col("sib") % 2 == 1
     zero = F.lit(0)
-    enum = F.col("in_enum") & (F.col("inline_p.style") == "display: inline;") & (F.col("depth") >= F.col("inline_p.level"))
-    lists = F.array(
-        F.when((F.col("lv") == 0) & F.col("in_title") & text,
-               unit("header", "whole", zero, no_cls, order(zero, zero, zero), zero, F.lit("div"), zero)),
-        F.when((F.col("lv") == 0) & F.col("in_preamble") & text,
-               unit("preamble", "whole", zero, no_cls, order(zero, zero, zero), zero, F.lit("div"), zero)),
-        F.when((F.col("lv") == 0) & F.col("in_container") & enum & text,
-               unit("main", "enum", zero, no_cls, order(F.lit(-1), zero, zero), F.col("enum_pos"), F.lit("div"), F.col("inline_p.pos"))),
-        F.when((F.col("lv") == 0) & F.col("in_container") & F.col("in_block"),
-               unit("main", "whole", zero, no_cls, order(F.col("block.group"), F.col("block.sub"), F.col("block.rank")),
-                    F.col("block.unit"), F.col("block.tag"), zero)),
-        F.when((F.col("lv") > 0) & (F.col("head.part") == "title") & text,
-               unit("title", "whole", F.col("head.pos"), F.col("head.cls"), order(zero, zero, zero), zero, F.lit("p"), zero)),
-        F.when((F.col("lv") > 0) & (F.col("head.part") == "body") & (F.col("depth") >= F.col("lv"))
-               & (text | (F.col("sib.tag") == "table")),
-               unit("section", "string", F.col("head.pos"), F.col("head.cls"), order(zero, zero, zero),
-                    F.when(F.col("sib.tag") == "table", F.col("sib.pos")).otherwise(F.col("pos")), F.col("sib.tag"), F.col("sib.pos"))),
+
+    def take(scope, way, head=zero, flags=zero, order=(zero, zero, zero), unit=zero, table=F.lit(False), sub=zero):
+        return F.struct(
+            F.lit(scope).alias("scope"), F.lit(way).alias("way"), head.cast("long").alias("head"),
+            flags.cast("int").alias("head_flags"), *[o.cast("long").alias(n) for o, n in zip(order, ("o1", "o2", "o3"))],
+            unit.cast("long").alias("unit"), table.alias("table"), sub.cast("long").alias("sub"))
+
+    top, below = F.col("lv") == 0, F.col("lv") > 0
+    listed = F.col("in_enum") & (F.col("para") % 2 == 1) & (F.col("depth") >= F.col("para_level"))
+    direct = block_rank == 3
+    takes = F.array(
+        F.when(top & is_text & F.col("in_title"), take(HEADER, WHOLE)),
+        F.when(top & is_text & F.col("in_preamble"), take(OPENING, WHOLE)),
+        F.when(top & is_text & F.col("in_box") & listed, take(
+            MAIN, LISTED, order=(F.lit(-1), zero, zero), unit=F.col("enum_pos"), sub=F.floor(F.col("para") / 2))),
+        F.when(top & F.col("in_box") & F.col("in_block"), take(
+            MAIN, WHOLE, order=(direct.cast("int"), F.when(direct, 0).otherwise(F.col("block_parent")), block_rank),
+            unit=block_pos, table=block_rank == 1)),
+        F.when(below & is_text & (part == 1), take(HEAD_TITLE, WHOLE, head_pos, head_flags)),
+        F.when(below & (part == 2) & (F.col("depth") >= F.col("lv")) & (is_text | sib_table), take(
+            SECTION, STRING, head_pos, head_flags, unit=F.when(sib_table, sib_pos).otherwise(pos), table=sib_table, sub=sib_pos)),
     )
+    is_col = F.lower("tok").rlike("^<col[ />]")
     return rows.select(
-        "key", "pos", "kind", "tag", "tok", "tr_no", "cell_no", "in_cell", "in_note", "mark", "narrow",
-        F.explode(lists).alias("m")).filter(F.col("m").isNotNull()).select("*", "m.*").drop("m")
+        "key", "pos", "row_no", "cell_no", "in_cell", F.explode(takes).alias("m"),
+        F.when(is_text, F.when(F.col("in_note"), F.lit("")).otherwise(F.col("tok"))).alias("plain"),
+        F.when(is_text, F.col("tok")).alias("full"),
+        (opening & (_is("flags", NORMAL) | _is("flags", SPAN))).alias("mark"),
+        is_col.alias("is_col"), (is_col & F.contains(attribute(F.col("tok"), "width"), F.lit("4%"))).alias("narrow"),
+    ).filter(F.col("m").isNotNull()).select("*", "m.*").drop("m")
+
+
+def _joined(text: Column, order: Column, glue: str) -> Column:
+    rows = F.sort_array(F.collect_list(F.when(text.isNotNull(), F.struct(order.alias("o"), text.alias("t")))))
+    return F.array_join(F.transform(rows, lambda r: r["t"]), glue)
 
 
 def _units(df: DataFrame) -> DataFrame:
     """One text per unit: a block, an enumeration, a table, or a single string of a section."""
-    table = F.col("unit_tag") == "table"
-    raw = F.when((F.col("kind") == "text") & ~(table & F.col("in_note")), T.decode_entities(F.col("tok")))
-    base = ["key", "scope", "part", "head", "cls", "order", "unit", "unit_tag"]
+    base = ["key", "scope", "way", "head", "head_flags", "o1", "o2", "o3", "unit", "table"]
+    table = F.col("table")
+    raw = T.decode_entities(F.when(table, F.col("plain")).otherwise(F.col("full")))
     cells = (
-        df.withColumn("raw", raw)
-        .withColumn("row_no", F.when(table, F.col("tr_no")).otherwise(0))
-        .withColumn("col_no", F.when(table & F.col("in_cell"), F.col("cell_no"))
-                    .when(table, F.lit(-1)).when(F.col("part") == "enum", F.col("sub")).otherwise(F.lit(0)))
-        .groupBy(*base, "row_no", "col_no")
-        .agg(_joined(F.col("raw"), F.col("pos"), "").alias("text"),
-             F.max(F.col("mark")).alias("marked"), F.count_if(F.col("tag") == "col").alias("n_cols"),
-             F.max("narrow").alias("narrow"),
-             F.max(F.when(F.col("part") == "string", F.col("sub"))).alias("sib"))
+        df.withColumns({
+            "raw": raw,
+            "line": F.when(table, F.col("row_no")).otherwise(0),
+            "cell": F.when(table & F.col("in_cell"), F.col("cell_no").cast("long")).when(table, F.lit(-1))
+            .when(F.col("way") == LISTED, F.col("sub")).otherwise(F.lit(0)),
+        })
+        .groupBy(*base, "line", "cell")
+        .agg(_joined(F.col("raw"), F.col("pos"), "").alias("text"), F.max("mark").alias("mark"),
+             F.count_if("is_col").alias("n_cols"), F.max("narrow").alias("narrow"),
+             F.max(F.when(F.col("way") == STRING, F.col("sub"))).alias("sib"))
     )
-    is_cell = table & (F.col("col_no") >= 0)
-    cells = cells.withColumn("clean", F.when(F.col("part") == "string", T.clean(T.strip(F.col("text")))).otherwise(T.clean(F.col("text"))))
-    n_cells = F.count_if(is_cell).over(Window.partitionBy(*base, "row_no"))
-    cells = cells.withColumn("n_cells", n_cells)
-    shown = F.when(
-        is_cell & (F.col("clean") != "") & ~F.col("clean").rlike("^[0-9]+$") & (F.col("marked") | (F.col("n_cells") > 1)),
-        F.col("clean")).when(~table & (F.col("clean") != ""), F.col("clean"))
-    rows = cells.groupBy(*base, "row_no").agg(
-        _joined(F.when(shown.isNotNull(), shown), F.col("col_no"), " ").alias("line"),
+    is_cell = table & (F.col("cell") >= 0)
+    cells = cells.withColumns({
+        "clean": T.clean(T.strip(F.col("text"))),
+        "n_cells": F.count_if(is_cell).over(Window.partitionBy(*base, "line")),
+    })
+    wanted = (F.col("clean") != "") & (~table | (
+        is_cell & ~F.col("clean").rlike("^[0-9]+$") & (F.col("mark") | (F.col("n_cells") > 1))))
+    lines = cells.groupBy(*base, "line").agg(
+        _joined(F.when(wanted, F.col("clean")), F.col("cell"), " ").alias("shown"),
         F.sum("n_cols").alias("n_cols"), F.max("narrow").alias("narrow"), F.max("sib").alias("sib"),
         F.max(F.contains(F.col("text"), F.lit("AR"))).alias("has_ar"),
-        F.sort_array(F.collect_list(F.when(is_cell, F.struct("col_no", T.strip(F.col("text")).alias("t"))))).alias("cells"))
-    rows = rows.groupBy(*base).agg(
-        _joined(F.when(F.col("line") != "", F.col("line")), F.col("row_no"), "\n").alias("regular"),
+        F.sort_array(F.collect_list(F.when(is_cell, F.struct("cell", T.strip(F.col("text")).alias("t"))))).alias("cells"))
+    units = lines.groupBy(*base).agg(
+        _joined(F.when(F.col("shown") != "", F.col("shown")), F.col("line"), "\n").alias("regular"),
         F.sum("n_cols").alias("n_cols"), F.max("narrow").alias("narrow"), F.max("sib").alias("sib"),
-        F.max("has_ar").alias("has_ar"),
-        F.sort_array(F.flatten(F.collect_list("cells"))).alias("cells"))
+        F.max("has_ar").alias("has_ar"), F.sort_array(F.flatten(F.collect_list("cells"))).alias("cells"))
     first, second = F.get("cells", F.lit(0))["t"], F.get("cells", F.lit(1))["t"]
     numbered = F.when(F.coalesce(second, F.lit("")) != "", F.concat(first, F.lit(" "), second)).otherwise("")
-    is_numbered = table & (F.col("n_cols") == 2) & F.coalesce(F.col("narrow"), F.lit(False))
-    return rows.withColumn("text", F.when(is_numbered, numbered).otherwise(F.col("regular")))
+    return units.withColumn("text", F.when(
+        table & (F.col("n_cols") == 2) & F.col("narrow"), numbered).otherwise(F.col("regular")))
 
 
 def sections(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -217,35 +237,33 @@ def sections(pages: DataFrame, key: str, html: str) -> DataFrame:
     units = _units(_memberships(tokens(pages, key, html)))
     by_section = Window.partitionBy("key", "scope", "head")
     starts_ar = F.startswith(T.strip(F.col("text")), F.lit("AR"))
-    units = units.withColumn("ar_from", F.min(F.when(starts_ar, F.col("unit"))).over(by_section))
-    units = units.withColumn("sib_ar", F.max("has_ar").over(Window.partitionBy("key", "scope", "head", "sib")))
-    dropped = ((F.col("part") == "string") & (F.col("unit_tag") != "table") & F.col("sib_ar")
-               & (F.col("unit") > F.col("ar_from")))
+    units = units.withColumns({
+        "ar_from": F.min(F.when(starts_ar, F.col("unit"))).over(by_section),
+        "sib_ar": F.max("has_ar").over(Window.partitionBy("key", "scope", "head", "sib")),
+    })
+    dropped = ((F.col("way") == STRING) & ~F.col("table") & F.col("sib_ar") & (F.col("unit") > F.col("ar_from")))
     kept = units.filter((F.col("text") != "") & ~F.coalesce(dropped, F.lit(False)))
-    parts = F.transform(F.sort_array(F.collect_list(F.struct("order", "unit", "text"))), lambda p: p["text"])
-    grouped = kept.groupBy("key", "head", "scope", "cls").agg(parts.alias("parts"))
-    unique = F.when(F.col("scope") == "section", F.array_distinct("parts")).otherwise(F.col("parts"))
-    grouped = grouped.withColumn("content", F.array_join(unique, "\n"))
-    # Heading and body of a section meet in one row.
-    is_title, is_body = F.col("scope") == "title", F.col("scope") == "section"
-    merged = grouped.withColumn("kind", F.when(is_title | is_body, "section").otherwise(F.col("scope"))).groupBy(
-        "key", "kind", "head", "cls").agg(
-        F.max(F.when(is_title, F.col("content"))).alias("heading"),
-        F.max(F.when(~is_title, F.col("content"))).alias("content"))
-    rank = F.lit(None).cast("int")
-    kind_type = F.lit(None).cast("string")
-    for i, name in reversed(list(enumerate(K.HEADING_CLASSES))):
-        rank = F.when(F.array_contains("cls", name), F.lit(i)).otherwise(rank)
-        kind_type = F.when(F.array_contains("cls", name), F.lit(name)).otherwise(kind_type)
-    annex = F.array_contains("cls", "oj-doc-ti") & F.col("heading").rlike("^ANNEX [IVX]+$")
-    place = (F.when(F.col("kind") == "header", -3).when(F.col("kind") == "preamble", -2)
-             .when(F.col("kind") == "main", -1).otherwise(rank))
-    title = (F.when(F.col("kind") == "header", "Document Title").when(F.col("kind") == "preamble", "Preamble")
-             .when(F.col("kind") == "main", "Main Content").otherwise(F.col("heading")))
-    out = merged.select(
-        "key", place.alias("place"), "head", title.alias("title"), "content",
-        F.coalesce(kind_type, F.col("kind")).alias("section_type"),
-        F.coalesce(annex, F.lit(False)).alias("annex"))
+    ordered = lambda cond: F.transform(F.sort_array(F.collect_list(
+        F.when(cond, F.struct("o1", "o2", "o3", "unit", "text")))), lambda p: p["text"])
+    # Heading and body of a section share the heading's position and meet in one row.
+    kind = F.when(F.col("scope") == HEAD_TITLE, SECTION).otherwise(F.col("scope"))
+    rows = kept.withColumn("kind", kind).groupBy("key", "kind", "head", "head_flags").agg(
+        ordered(F.col("scope") == HEAD_TITLE).alias("heading"), ordered(F.col("scope") != HEAD_TITLE).alias("parts"))
+    is_section = F.col("kind") == SECTION
+    heading = F.array_join("heading", "\n")
+    content = F.array_join(F.when(is_section, F.array_distinct("parts")).otherwise(F.col("parts")), "\n")
+    rank, name = F.lit(-1), F.lit("")
+    for i, cls in reversed(list(enumerate(K.HEADING_CLASSES))):
+        rank = F.when(_is("head_flags", 1 << i), i).otherwise(rank)
+        name = F.when(_is("head_flags", 1 << i), cls).otherwise(name)
+    titles = {HEADER: "Document Title", OPENING: "Preamble", MAIN: "Main Content"}
+    types = {HEADER: "header", OPENING: "preamble", MAIN: "main"}
+    by_kind = lambda names, other: F.coalesce(*[
+        F.when(F.col("kind") == k, F.lit(v)) for k, v in names.items()], other)
+    out = rows.select(
+        "key", F.when(is_section, rank + SECTION).otherwise(F.col("kind")).alias("place"), "head",
+        by_kind(titles, heading).alias("title"), content.alias("content"), by_kind(types, name).alias("section_type"),
+        (_is("head_flags", ANNEX) & heading.rlike("^ANNEX [IVX]+$")).alias("annex"))
     out = out.filter(~F.col("annex") & T.is_meaningful(F.col("content")) & T.is_meaningful(F.col("title")))
     order = Window.partitionBy("key").orderBy("place", "head")
     return out.select(F.col("key").alias(key), (F.row_number().over(order) - 1).alias("section_order"),

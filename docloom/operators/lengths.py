@@ -49,13 +49,8 @@ def _null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: s
 
 def describe(df: DataFrame, measures: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, mean, std, min, quartiles, max of every measure, one row per (group, measure)."""
+    long = _long_form(df, measures, by)
     by = [*by, "measure"]
-    long = df.select(
-        *by[:-1],
-        F.explode(F.array(*[
-            F.struct(F.lit(m).alias("measure"), F.col(m).cast("long").alias("value")) for m in measures
-        ])).alias("m"),
-    ).select(*by[:-1], "m.measure", "m.value").filter(F.col("value").isNotNull())
     counts = Q.value_counts(long, by, "value")
     base = counts.groupBy(*by).agg(*[c.alias(k) for k, c in Q.moments("value").items()])
     quarts = Q.percentiles(counts, by, "value", (0.25, 0.5, 0.75))
@@ -94,12 +89,31 @@ def profile(df: DataFrame, by: str = "form") -> DataFrame:
     return both.groupBy(by).agg(*cols)
 
 
-def corpus_percentiles(df: DataFrame, measure: str, probs: Sequence[float]) -> DataFrame:
-    counts = Q.value_counts(df.filter(F.col(measure).isNotNull()), [], measure)
-    return Q.percentiles(counts, [], measure, probs).select(
-        F.lit(measure).alias("measure"),
-        *[F.round(f"p{i}", 6).alias(f"p{round(p * 100)}") for i, p in enumerate(probs)],
-    )
+def _long_form(df: DataFrame, measures: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One row per (document, measure), so that one scan of the texts feeds every measure."""
+    cells = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).cast("long").alias("value")) for m in measures])
+    return df.select(*by, F.explode(cells).alias("m")).select(*by, "m.measure", "m.value").filter(
+        F.col("value").isNotNull())
+
+
+def corpus_percentiles(df: DataFrame, measures: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    counts = Q.value_counts(_long_form(df, measures), ["measure"], "value")
+    return Q.percentiles(counts, ["measure"], "value", probs).select(
+        "measure", *[F.round(f"p{i}", 6).alias(f"p{round(p * 100)}") for i, p in enumerate(probs)])
+
+
+def form_report(df: DataFrame, threshold: int, prob: float = 0.9) -> DataFrame:
+    """Size, percentile of words and characters, and long documents, from one table of counts."""
+    counts = Q.value_counts(_long_form(df, ("words", "chars")), ["measure"], "value")
+    is_words = F.col("measure") == "words"
+    sizes = counts.groupBy("measure").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("value") > threshold, F.col("n")).otherwise(0)).alias("n_long"))
+    both = _null_safe_join(sizes, Q.percentiles(counts, ["measure"], "value", (prob,)), ["measure"])
+    name = f"p{round(prob * 100)}"
+    pick = lambda cond, c: F.max(F.when(cond, F.col(c)))
+    return both.agg(
+        pick(is_words, "n").alias("n_docs"), F.round(pick(is_words, "p0"), 6).alias(f"words_{name}"),
+        F.round(pick(~is_words, "p0"), 6).alias(f"chars_{name}"), pick(is_words, "n_long").alias("n_long"))
 
 
 def average_by(df: DataFrame, by: str = "form", measure: str = "words") -> DataFrame:

@@ -139,9 +139,7 @@ def length_profile_filtered(spark, sf):
     f"SELECT '{c}' AS measure, round(quantile_cont({c}, 0.9), 6) AS p90, round(quantile_cont({c}, 0.95), 6) AS p95 FROM lengths"
     for c in ("words", "chars")))
 def length_percentiles(spark, sf):
-    df = lengths(spark, sf)
-    return L.corpus_percentiles(df, "words", (0.9, 0.95)).unionByName(
-        L.corpus_percentiles(df, "chars", (0.9, 0.95)))
+    return L.corpus_percentiles(lengths(spark, sf), ("words", "chars"), (0.9, 0.95))
 
 
 @query("form_percentiles", f"""WITH {LENGTHS_SQL}
@@ -149,12 +147,7 @@ SELECT count(*)::BIGINT AS n_docs, round(quantile_cont(words, 0.9), 6) AS words_
        count(*) FILTER (WHERE words > {LONG_WORDS})::BIGINT AS n_long FROM lengths WHERE form = 'src3'""")
 def form_percentiles(spark, sf):
     """One form: size, 90th percentiles and the number of long documents."""
-    df = lengths(spark, sf).filter(F.col("form") == "src3").withColumn("one", F.lit("src3"))
-    sizes = L.long_documents(df, LONG_WORDS, "one")
-    for m in ("words", "chars"):
-        p = L.corpus_percentiles(df, m, (0.9,)).select(F.lit("src3").alias("one"), F.col("p90").alias(f"{m}_p90"))
-        sizes = sizes.join(p, "one")
-    return sizes.select("n_docs", "words_p90", "chars_p90", "n_long")
+    return L.form_report(lengths(spark, sf).filter(F.col("form") == "src3"), LONG_WORDS)
 
 
 @query("long_docs_by_form", f"""WITH {LENGTHS_SQL}

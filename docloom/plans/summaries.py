@@ -15,6 +15,7 @@ from docloom.operators import summary as U
 from docloom.plans.lengths import LENGTHS_SQL, WORDS_SQL
 from docloom.plans.registry import query
 from docloom.plans.text import docs, strip_sql
+from docloom.session import materialise
 from docloom.sources.tables import load
 
 
@@ -171,8 +172,8 @@ def processed(spark, sf):
     for t, c in ((1, "words <= 600 AND words > 0"), (2, "words > 600 AND words <= 2500"),
                  (3, "words > 2500 AND words <= 20000"), (4, "words > 20000"))))
 def pending_by_tier(spark, sf):
-    """The next 25 documents of every tier."""
-    rows = processed(spark, sf)
+    """The next 25 documents of every tier, from one pass over the texts."""
+    rows = materialise(processed(spark, sf).select("doc_id", "total_words", "summary"), "pending")
     parts = [U.pending(rows, t, 25, "doc_id").select(F.lit(t).alias("tier"), "doc_id", "total_words") for t in (1, 2, 3, 4)]
     out = parts[0]
     for p in parts[1:]:

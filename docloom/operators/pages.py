@@ -122,11 +122,11 @@ def links(pages: DataFrame, html: str, key: str, base_url: str, main: Column | N
     df = hold(pages.select(key, html), _clean=without_scripts(F.col(html)))
     opening = r"""(?i)<div\b[^>]*\sid\s*=\s*["']MainContent["'][^>]*>"""
     df = hold(df, _main=element(F.col("_clean"), opening, "div") if main is None else main)
-    # Cut before every anchor; what precedes it in its own block is kept for the fallback title.
-    pieces = F.split("_main", r"(?i)(?=<a\s)", -1)
-    rows = df.filter(F.col("_main").isNotNull()).select(key, "_main", F.posexplode(pieces).alias("link_no", "piece"))
-    before = F.get(F.split("_main", r"(?i)(?=<a\s)", -1), F.col("link_no") - 1)
-    rows = rows.filter(F.col("link_no") > 0).select(key, "link_no", "piece", before.alias("before"))
+    # Cut before every anchor.  Each piece takes along what precedes it, for the fallback title.
+    df = hold(df.filter(F.col("_main").isNotNull()), _p=F.split("_main", r"(?i)(?=<a\s)", -1))
+    pairs = F.transform(F.col("_p"), lambda p, i: F.struct(p.alias("piece"), F.get(F.col("_p"), i - 1).alias("before")))
+    rows = df.select(key, pairs.alias("_pairs")).select(key, F.posexplode("_pairs").alias("link_no", "_pair"))
+    rows = rows.filter(F.col("link_no") > 0).select(key, "link_no", "_pair.*")
     href = T.decode_entities(attribute(F.regexp_extract("piece", r"(?i)^<a\s[^>]*>", 0), "href"))
     rows = rows.withColumn("href", href).filter(F.contains("href", F.lit(K.LEGAL_PATH)))
     rows = rows.withColumn("document_id", I.uri_document_id(F.col("href")))

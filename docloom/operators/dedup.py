@@ -9,7 +9,7 @@ from docloom.functions.ids import path_date
 
 
 def keep_earliest(files: DataFrame, key: str, path: str = "path") -> DataFrame:
-    """Marks every file keep, duplicate or unparsed.
+    """Marks every file keep, duplicate or unparsed (no date in its path, or no key: left alone).
 
     The winner of a key is the smallest (date, path), a map-side combined minimum, and is found
     again by its path.  A key with a third of all copies therefore costs one row per task in
@@ -23,7 +23,7 @@ def keep_earliest(files: DataFrame, key: str, path: str = "path") -> DataFrame:
         .select(F.col(f"_best.{path}").alias(path), F.lit(True).alias("_won"))
     )
     status = (
-        F.when(F.col("_date").isNull(), "unparsed")
+        F.when(F.col("_date").isNull() | F.col(key).isNull(), "unparsed")
         .when(F.col("_won"), "keep")
         .otherwise("duplicate")
     )

@@ -165,8 +165,8 @@ def page_metadata(pages: DataFrame, html: str) -> DataFrame:
         return F.transform(
             F.regexp_extract_all(part, F.lit(cell), F.lit(0)),
             lambda c, i: let(F.regexp_replace(c, r"(?is)^<[^>]*>|</[^>]*>$", ""), lambda body: F.struct(
-                F.lower(F.substring(c, 2, 2)).alias("kind"), body.alias("body"),
-                F.when(F.lower(F.substring(c, 2, 2)) == "dt", raw_text(body)).alias("term"), i.alias("i"))))
+                F.when(c.rlike("(?i)^<dt"), "dt").otherwise("dd").alias("kind"), body.alias("body"),
+                F.when(c.rlike("(?i)^<dt"), raw_text(body)).alias("term"), i.alias("i"))))
 
     # The date list is the first definition list of its class.
     date_list = element(F.col("_c"), r"""(?i)<dl\b[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?NMetadata(?:\s[^"']*)?["'][^>]*>""", "dl")

@@ -78,20 +78,20 @@ def _long_documents(spark, sf):
     return d.filter(F.col("total_words") > K.TIER_BOUNDS[0])
 
 
-def selection_sql(source: str, lower: str, upper: str, keys: str) -> str:
+def selection_sql(source: str, lower: str, upper: str, keys: str, p: str = "x") -> str:
     """Rows (keys, chunk, lower, upper) to rows (keys, extract), by the selection rule as a fold."""
-    return f"""b AS (SELECT {keys}, chunk, ({lower})::BIGINT AS lo, ({upper})::BIGINT AS hi FROM {source}),
-xs AS (SELECT {keys}, lo, hi, unnest({sentence_list_sql('chunk')}) AS s, generate_subscripts({sentence_list_sql('chunk')}, 1) AS i FROM b),
-xt AS (SELECT {keys}, i, sum(c * c)::DOUBLE AS q FROM (SELECT {keys}, i, t, count(*) AS c FROM (
-  SELECT {keys}, i, unnest(regexp_extract_all(lower(s), '{K.WORD_TOKEN}')) AS t FROM xs) GROUP BY ALL) GROUP BY ALL),
-xq AS (SELECT xs.*, {count_sql('s')} AS n, coalesce(sqrt(q), 0) AS score FROM xs LEFT JOIN xt USING ({keys}, i)),
-xf AS (SELECT *, first_value(score) OVER (PARTITION BY {keys} ORDER BY i) AS f FROM xq),
-xl AS (SELECT {keys}, list({{n: n, i: i, score: score, f: f, lo: lo, hi: hi, words: n, kept: [i], done: false}} ORDER BY score DESC, i) AS l FROM xf GROUP BY {keys}),
-xr AS (SELECT {keys}, unnest(list_reduce(l, lambda a, x: {{n: x.n, i: x.i, score: x.score, f: x.f, lo: x.lo, hi: x.hi,
+    return f"""{p}b AS (SELECT {keys}, chunk, ({lower})::BIGINT AS lo, ({upper})::BIGINT AS hi FROM {source}),
+{p}s AS (SELECT {keys}, lo, hi, unnest({sentence_list_sql('chunk')}) AS s, generate_subscripts({sentence_list_sql('chunk')}, 1) AS i FROM {p}b),
+{p}t AS (SELECT {keys}, i, sum(c * c)::DOUBLE AS q FROM (SELECT {keys}, i, t, count(*) AS c FROM (
+  SELECT {keys}, i, unnest(regexp_extract_all(lower(s), '{K.WORD_TOKEN}')) AS t FROM {p}s) GROUP BY ALL) GROUP BY ALL),
+{p}q AS (SELECT {p}s.*, {count_sql('s')} AS n, coalesce(sqrt(q), 0) AS score FROM {p}s LEFT JOIN {p}t USING ({keys}, i)),
+{p}f AS (SELECT *, first_value(score) OVER (PARTITION BY {keys} ORDER BY i) AS f FROM {p}q),
+{p}l AS (SELECT {keys}, list({{n: n, i: i, score: score, f: f, lo: lo, hi: hi, words: n, kept: [i], done: false}} ORDER BY score DESC, i) AS l FROM {p}f GROUP BY {keys}),
+{p}r AS (SELECT {keys}, unnest(list_reduce(l, lambda a, x: {{n: x.n, i: x.i, score: x.score, f: x.f, lo: x.lo, hi: x.hi,
   words: CASE WHEN a.done OR (a.words >= x.lo AND (x.score < x.f * 0.5::DOUBLE OR a.words >= x.hi)) OR a.words + x.n > x.hi * 1.1::DOUBLE THEN a.words ELSE a.words + x.n END,
   kept: CASE WHEN a.done OR (a.words >= x.lo AND (x.score < x.f * 0.5::DOUBLE OR a.words >= x.hi)) OR a.words + x.n > x.hi * 1.1::DOUBLE THEN a.kept ELSE list_append(a.kept, x.i) END,
-  done: a.done OR (a.words >= x.lo AND (x.score < x.f * 0.5::DOUBLE OR a.words >= x.hi))}}).kept) AS i FROM xl),
-ex AS (SELECT {keys}, string_agg(s, ' ' ORDER BY i) AS extract FROM xr JOIN xs USING ({keys}, i) GROUP BY {keys})"""
+  done: a.done OR (a.words >= x.lo AND (x.score < x.f * 0.5::DOUBLE OR a.words >= x.hi))}}).kept) AS i FROM {p}l),
+{p}e AS (SELECT {keys}, string_agg(s, ' ' ORDER BY i) AS extract FROM {p}r JOIN {p}s USING ({keys}, i) GROUP BY {keys})"""
 
 
 SHARE_SQL = "coalesce(([0.34::DOUBLE, 0.30, 0.245, 0.20, 0.165])[chunk_no], 0.125::DOUBLE)"
@@ -101,7 +101,7 @@ lc AS (SELECT ch.* FROM ch JOIN documents d USING (doc_id) WHERE {WORDS_SQL.repl
                f"floor({count_sql('chunk')} * ({SHARE_SQL} * 1.25::DOUBLE))", 'doc_id, chunk_no')}"""
 
 
-@query("tier3_first_pass", f"WITH {FIRST_PASS_SQL} SELECT doc_id, chunk_no, extract, {count_sql('extract')} AS words FROM ex")
+@query("tier3_first_pass", f"WITH {FIRST_PASS_SQL} SELECT doc_id, chunk_no, extract, {count_sql('extract')} AS words FROM xe")
 def tier3_first_pass(spark, sf):
     """Share extraction over the 1,000-word chunks of every document above the first tier."""
     df = hold(_long_documents(spark, sf), chunks=C.sentence_chunks(F.col("text")))
@@ -114,10 +114,36 @@ def tier3_first_pass(spark, sf):
 REDUCE_TARGET = 200
 
 
+@query("summaries_tier3", f"""WITH {FIRST_PASS_SQL},
+fp AS (SELECT doc_id, string_agg(extract, ' ' ORDER BY chunk_no) AS chunk FROM xe JOIN documents d USING (doc_id)
+  WHERE {WORDS_SQL.replace('text', 'd.text')} > 2500 AND {WORDS_SQL.replace('text', 'd.text')} <= 20000 GROUP BY doc_id),
+fn AS (SELECT *, {count_sql('chunk')} AS n FROM fp), long AS (SELECT * FROM fn WHERE n > 2250),
+{selection_sql('long', "floor(n * greatest(0.15::DOUBLE, 1500::DOUBLE / n * 0.75::DOUBLE))",
+               "floor(n * greatest(0.15::DOUBLE, 1500::DOUBLE / n * 1.25::DOUBLE))", 'doc_id', 'y')},
+fe AS (SELECT doc_id, coalesce(ye.extract, fn.chunk) AS e FROM fn LEFT JOIN ye USING (doc_id))
+SELECT doc_id, {count_sql('e')} AS extract_words, '[BART summary (480-600 words)]: ' ||
+  array_to_string((regexp_extract_all(e, '{K.WORD_SPELLED}'))[1:480], ' ') || '...' AS summary FROM fe""")
+def summaries_tier3(spark, sf):
+    """Third-tier documents; the SQL states the first pass and one dependent pass."""
+    d = hold(docs(spark, sf), total_words=T.word_count(F.col("text"))).withColumn("summary", F.lit(None).cast("string"))
+    return U.summarise(U.pending(d, tier=3).select("doc_id", "text")).select("doc_id", "extract_words", "summary")
+
+
+@query("structure_chunk_words", f"""SELECT doc_id, {WORDS_SQL} AS words, md5(array_to_string(regexp_extract_all(text, '{K.WORD_SPELLED}'), ' ')) AS digest,
+  true AS all_fit FROM documents""")
+def structure_chunk_words(spark, sf):
+    """What structure chunks must keep: every word once and in order, and the limit."""
+    df = hold(docs(spark, sf), chunks=C.structure_chunks(F.col("text")))
+    df = hold(df, kept=F.flatten(F.transform("chunks", T.words)), all_fit=F.forall(
+        "chunks", lambda c: T.word_count(c) <= K.MAX_TOKENS))
+    return df.select("doc_id", F.size("kept").cast("long").alias("words"),
+                     F.md5(F.array_join("kept", " ")).alias("digest"), "all_fit")
+
+
 @query("tier3_reduced", f"""WITH lc AS (SELECT doc_id, text AS chunk, {WORDS_SQL} AS n FROM documents WHERE {WORDS_SQL} > 600),
 {selection_sql('lc', f"floor(n * greatest(0.15::DOUBLE, {REDUCE_TARGET}.0::DOUBLE / n * 0.75::DOUBLE))",
                f"floor(n * greatest(0.15::DOUBLE, {REDUCE_TARGET}.0::DOUBLE / n * 1.25::DOUBLE))", 'doc_id')}
-SELECT doc_id, extract, {count_sql('extract')} AS words FROM ex""")
+SELECT doc_id, extract, {count_sql('extract')} AS words FROM xe""")
 def tier3_reduced(spark, sf):
     """One dependent pass towards 200 words, so that every longer document takes part."""
     held = hold(_long_documents(spark, sf), extract=E.reduce_to(F.col("text"), F.lit(float(REDUCE_TARGET))))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import schemas
 
+TABLE = "celex_number string, title string, content string, file string"
+
 
 def _first_copies(batch: DataFrame) -> DataFrame:
     """One row per key: the smallest (file, text digest), found by a combined minimum of digests.
@@ -22,25 +25,36 @@ def _first_copies(batch: DataFrame) -> DataFrame:
 
 
 def append_unseen(target: str):
-    """Batch writer: anti-join against the keys already stored, then append.
+    """Batch writer: drop the keys already stored, then append.
 
-    Only the key column of the target is read.  A batch that is run again after a failure finds
-    its keys stored and adds nothing, so no state grows outside the table itself.
+    Only the key column of the target is scanned, and it is reduced to the keys of the batch
+    first: a semi-join, for which Spark broadcasts small key sets or filters the scan by a bloom
+    filter.  What is shuffled grows with the batch, not with history.  A batch that is run
+    again after a failure finds its keys stored and adds nothing, so no state grows outside
+    the table itself.
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        known = spark.read.schema("celex_number string").parquet(target)
-        fresh = batch.join(known, "celex_number", "left_anti")
+        known = batch.sparkSession.read.schema("celex_number string").parquet(target)
+        hits = known.join(batch.select("celex_number").distinct(), "celex_number", "left_semi")
+        fresh = batch.join(hits, "celex_number", "left_anti")
         _first_copies(fresh).select("celex_number", "title", "content", "file").write.mode("append").parquet(target)
 
     return write
 
 
+def _ensure_table(spark: SparkSession, target: str) -> None:
+    try:
+        spark.read.schema(TABLE).parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.createDataFrame([], TABLE).write.mode("append").parquet(target)
+
+
 def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, files_per_batch: int = 1000) -> DataFrame:
     """Runs all files that have arrived below `source` into `target`; returns the target table."""
-    empty = "celex_number string, title string, content string, file string"
-    spark.createDataFrame([], empty).write.mode("append").parquet(target)
+    _ensure_table(spark, target)
     stream = (
         spark.readStream.schema(schemas.DOCUMENT)
         .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
@@ -53,4 +67,4 @@ def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, files
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    return spark.read.schema(empty).parquet(target)
+    return spark.read.schema(TABLE).parquet(target)

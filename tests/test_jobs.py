@@ -154,3 +154,33 @@ def test_shared_dir_follows_the_session(spark):
     assert one != two
     if base:
         assert one.startswith(base.rstrip("/") + "/x-")
+
+
+def test_ingest_keeps_one_copy_per_key_over_restarts(spark, tmp_path):
+    from docloom.streaming.ingest import ingest
+
+    src, table, ck = (str(tmp_path / n) for n in ("src", "table", "ck"))
+    (tmp_path / "src" / "a").mkdir(parents=True)
+    line = '{"metadata": {"celex_number": "%s", "title": "t"}, "content": "%s"}\n'
+    (tmp_path / "src" / "a" / "1.json").write_text(line % ("k1", "x") + line % ("k1", "x") + line % ("k2", "y") + '{"content": "no key"}\n')
+    assert sorted(r.celex_number for r in ingest(spark, src, table, ck).collect()) == ["k1", "k2"]
+    (tmp_path / "src" / "a" / "2.json").write_text(line % ("k2", "z") + (line % ("k3", "hot")) * 200)
+    got = sorted((r.celex_number, r.content) for r in ingest(spark, src, table, ck).collect())
+    assert got == [("k1", "x"), ("k2", "y"), ("k3", "hot")]
+    # A checkpoint lost together with its memory of files adds nothing either.
+    again = ingest(spark, src, table, str(tmp_path / "ck2"))
+    assert again.count() == 3
+
+
+def test_scores_with_a_hot_token(spark):
+    import math
+
+    from docloom.operators.extraction import tfidf_scores
+
+    texts = [(i, f"the the word{i}. the only!") for i in range(60)]
+    df = spark.createDataFrame(texts, "id long, text string")
+    idf = lambda d: math.log((60 + 1) / (d + 1)) + 1
+    got = {(r.id, r.pos): r.score for r in tfidf_scores(df, "id").collect()}
+    assert len(got) == 120
+    assert math.isclose(got[(7, 0)], math.hypot(2 * idf(60), idf(1)))
+    assert math.isclose(got[(7, 1)], math.hypot(idf(60), idf(60)))

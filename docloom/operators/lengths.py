@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from docloom import constants as K
 from docloom.functions import measures as M
 from docloom.functions import text as T
+from docloom.functions.arrays import hold
 from docloom.operators import quantiles as Q
 
 
@@ -18,6 +19,11 @@ def with_lengths(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("words", T.word_count(F.col(text))).withColumn("chars", T.char_count(F.col(text)))
 
 
+def settle(df: DataFrame, column: str) -> DataFrame:
+    """Computes a costly column once, ahead of filters on it that would otherwise repeat it per condition."""
+    return hold(df, _settled=F.col(column)).drop(column).withColumnRenamed("_settled", column)
+
+
 def tier_distribution(df: DataFrame, words: str = "words") -> DataFrame:
     """Documents per tier, ordered by the shortest member; unknown lengths are left out."""
     return (

@@ -131,7 +131,7 @@ PROFILED_FORMS = ("src0", "src1", "src2", "src3", "src4", "src5", "src6")
 @query("length_profile_filtered", _profile_sql(
     f"WHERE form IN {PROFILED_FORMS} AND words < {LONG_WORDS}"))
 def length_profile_filtered(spark, sf):
-    df = lengths(spark, sf)
+    df = L.settle(lengths(spark, sf), "words")
     return L.profile(df.filter(F.col("form").isin(*PROFILED_FORMS) & (F.col("words") < LONG_WORDS)))
 
 
@@ -168,7 +168,7 @@ SELECT range, count(doc_id)::BIGINT AS n_docs, round(count(doc_id) * 100.0 / (SE
 FROM r LEFT JOIN picked ON words BETWEEN lo AND hi GROUP BY range""")
 def length_ranges(spark, sf):
     """Over the processed tier, as the run report shows it."""
-    df = lengths(spark, sf)
+    df = L.settle(lengths(spark, sf), "words")
     return L.report_ranges(df.filter((F.col("words") > 600) & (F.col("words") <= 2500)))
 
 
@@ -230,7 +230,7 @@ def length_breakpoints(spark, sf):
 @query("length_breakpoints_filtered", DENSITY_SQL.replace(
     "FROM documents)", f"FROM documents WHERE {WORDS_SQL} < {LONG_WORDS})") + PEAKS_SQL)
 def length_breakpoints_filtered(spark, sf):
-    df = lengths(spark, sf).filter(F.col("words") < LONG_WORDS)
+    df = L.settle(lengths(spark, sf), "words").filter(F.col("words") < LONG_WORDS)
     return L.density_peaks(L.kernel_density(df))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +31,10 @@ def build_session(app: str = "docloom", master: str | None = None, **conf) -> Sp
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    The folder is read from ``spark.checkpoint.dir``.  Only a local-mode session, where driver
-    and executors are one machine, may fall back to a temporary folder of its own.
+    The folder is read from ``spark.checkpoint.dir``; where that is unset, the warehouse, which
+    driver and executors share as well, takes its place.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="docloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

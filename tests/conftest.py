@@ -7,10 +7,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from docloom.session import build_session
 
-    s = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="6g")
+    s = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="6g",
+                      spark__checkpoint__dir=f"file:{tmp_path_factory.mktemp('shared')}")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

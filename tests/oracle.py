@@ -9,6 +9,7 @@ import datetime as dt
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -73,7 +74,8 @@ def main(argv):
     import __spark_entry__ as entry
 
     folder = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+                          spark__checkpoint__dir=f"file:{tempfile.mkdtemp(prefix='docloom-oracle-')}")
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(folder)
     qs, sqls = entry.queries(), entry.oracle_sql()

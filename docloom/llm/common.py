@@ -38,25 +38,31 @@ def hex_hash_sql(*parts: str) -> str:
 BUCKET_BITS = 12
 
 
-def running(df: DataFrame, group: list[str], hash_col: str, order: list[str], value: Column, name: str) -> DataFrame:
-    """Adds the total of ``value`` over all earlier rows of the group, in order of the 60-bit hash.
+def group_keys(group: str) -> list[Column]:
+    """A nullable group column as two join keys that are never null."""
+    return [F.coalesce(F.col(group).cast("string"), F.lit("")).alias("__group"), F.col(group).isNull().alias("__null")]
+
+
+GROUP_KEYS = ["__group", "__null"]
+
+
+def running(df: DataFrame, group: str, hash_col: str, value: str, name: str, narrow: DataFrame | None = None) -> DataFrame:
+    """Adds the total of ``value`` over all earlier rows of the group, in order of a 60-bit hash.
 
     A group may hold any share of the rows: its rows are windowed bucket by bucket (a bucket is
     a range of the hash), and only the bucket totals, a number fixed by ``BUCKET_BITS``, meet in
-    one window per group.
+    one window per group. ``narrow``: the same rows with the columns named here alone, if they
+    are at hand in a cheaper form.
     """
-    bucket = F.shiftrightunsigned(F.col(hash_col), 60 - BUCKET_BITS)
-    rows = df.withColumn("__bucket", bucket).withColumn("__value", value)
-    # NULL groups are groups of their own; a join key must not be null.
-    keys = [F.coalesce(F.col(g).cast("string"), F.lit("")).alias(f"__k{i}") for i, g in enumerate(group)]
-    keys += [F.col(g).isNull().alias(f"__n{i}") for i, g in enumerate(group)]
-    names = [f"__k{i}" for i in range(len(group))] + [f"__n{i}" for i in range(len(group))]
-    rows = rows.select("*", *keys)
-    totals = rows.groupBy(*names, "__bucket").agg(F.sum("__value").alias("__total"))
-    before = F.coalesce(F.sum("__total").over(
-        Window.partitionBy(*names).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    totals = totals.select(*names, "__bucket", before.alias("__before"))
-    within = Window.partitionBy(*names, "__bucket").orderBy(hash_col, *order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__within", F.coalesce(F.sum("__value").over(within), F.lit(0)))
-    out = rows.join(totals, [*names, "__bucket"])
-    return out.select(*df.columns, (F.col("__before") + F.col("__within")).alias(name))
+    def bucketed(rows: DataFrame) -> DataFrame:
+        return rows.select("*", *group_keys(group), F.shiftrightunsigned(F.col(hash_col), 60 - BUCKET_BITS).alias("__bucket"))
+
+    totals = bucketed(narrow or df).groupBy(*GROUP_KEYS, "__bucket").agg(F.sum(value).alias("__total"))
+    before = F.sum("__total").over(
+        Window.partitionBy(*GROUP_KEYS).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.select(*GROUP_KEYS, "__bucket", F.coalesce(before, F.lit(0)).alias("__before"))
+    within = F.sum(value).over(Window.partitionBy(*GROUP_KEYS, "__bucket").orderBy(hash_col)
+                               .rowsBetween(Window.unboundedPreceding, -1))
+    rows = bucketed(df).withColumn("__within", F.coalesce(within, F.lit(0)))
+    return rows.join(totals, [*GROUP_KEYS, "__bucket"]).select(
+        *df.columns, (F.col("__before") + F.col("__within")).alias(name))

@@ -264,8 +264,8 @@ def joined_crc(pieces: pd.Series) -> pd.Series:
     """CRC of each document from those of its pieces, in block order."""
     out = []
     for row in pieces:
-        crc = 0
-        for p in row:
+        crc = row[0]["crc"]
+        for p in row[1:]:
             crc = crc_join(crc, p["crc"], 4 * p["n"])
         out.append(crc)
     return pd.Series(out, dtype="int64")

@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,15 +44,17 @@ CHUNK_BITS = 8
 RANK_STEP = 512
 BLOCK_IDS = 1 << 18
 END_ID = 2
-#: Entries of the memo from a piece of text to its ids; it is emptied when full.
-MEMO_PIECES = 400_000
-#: Characters encoded at a time.
-SLICE_CHARS = 1 << 20
+#: The memo from a piece of text to its ids: two generations of at most so many pieces.
+MEMO_PIECES = 600_000
+#: Bytes of text encoded at a time.
+SLICE_BYTES = 4 << 20
 
 #: A space between two characters that are not white space: the tokenizer's pattern always
 #: ends a piece there and starts the next one with the space, so both sides encode alone.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-BESIDE_SPACE = re.compile(r"\s | \s|^ | $")
+#: Texts with a space that is not of that kind. White space as Python's \s has it, spelled for RE2.
+WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+BESIDE_SPACE = f"{WHITE} | {WHITE}|^ | $"
 
 BLOCKS = ("part int, block int, first long, n int, doc_no array<long>, doc_id array<long>, "
           "doc_n array<int>, payload binary")
@@ -111,9 +114,11 @@ class Codes:
 
 
 class Encoder:
-    """Whole texts to ids with the tokenizers library, each distinct piece encoded once.
+    """Whole texts to ids with the tokenizers library; a piece met again comes from a memo.
 
-    The memo lives as long as the Python worker and holds at most ``MEMO_PIECES`` pieces.
+    Texts are cut at single spaces by Arrow and the pieces of a slice are made distinct before any
+    Python object is built. The memo lives as long as the Python worker: pieces used while the
+    newer generation fills up stay for the next one, the others go.
     """
 
     shared: dict[str, "Encoder"] = {}
@@ -124,7 +129,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -132,36 +138,60 @@ class Encoder:
             cls.shared[path] = cls(path)
         return cls.shared[path]
 
-    def pieces(self, text: str) -> list[str]:
-        parts = CUT.split(text) if BESIDE_SPACE.search(text) else text.split(" ")
-        return parts[:1] + [" " + x for x in parts[1:]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian uint32 ids of each text."""
-        split = [self.pieces(t) for t in texts]
-        fresh = {p for pieces in split for p in pieces} - self.memo.keys()
-        if len(self.memo) + len(fresh) > MEMO_PIECES:
-            self.memo.clear()
-            fresh = {p for pieces in split for p in pieces}
-        fresh = list(fresh)
+    def look_up(self, pieces: list[str]) -> list[bytes]:
+        """Little-endian uint32 ids of each piece."""
+        out = [self.new.get(p) or self.old.get(p) for p in pieces]
+        fresh = list({p for p, found in zip(pieces, out) if found is None})
+        encoded = {}
         for lo in range(0, len(fresh), 50_000):
             some = fresh[lo:lo + 50_000]
             for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.memo[piece] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.memo.__getitem__, pieces)) for pieces in split]
-
-
-def slices(texts: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """(key, text) pairs in lists of about ``SLICE_CHARS`` characters."""
-    held, size = [], 0
-    for key, text in texts:
-        held.append((key, text))
-        size += len(text)
-        if size >= SLICE_CHARS:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+                encoded[piece] = np.array(found.ids, "<u4").tobytes()
+        if fresh:
+            out = [encoded[p] if found is None else found for p, found in zip(pieces, out)]
+        if len(self.new) + len(pieces) > MEMO_PIECES:
+            self.old, self.new = self.new, {}
+        self.new.update(zip(pieces, out))
+        return out
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each with the end id behind it, and how many each has."""
+        texts = pc.fill_null(texts, "")
+        other = pc.match_substring_regex(texts, BESIDE_SPACE)
+        heads = {}
+        for i in np.flatnonzero(other.to_numpy(zero_copy_only=False)):
+            first, *rest = CUT.split(texts[i].as_py())
+            heads[int(i)] = b"".join(self.look_up([first, *(" " + x for x in rest)]))
+        lists = pc.split_pattern(pc.if_else(other, "", texts), " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        found = lists.flatten().dictionary_encode()
+        distinct, at = found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
+        values = self.look_up([" " + x for x in distinct])
+        # The first piece of a text has no space before it.
+        firsts = offsets[:-1]
+        plain = self.look_up([distinct[i] for i in at[firsts]])
+        at[firsts] = len(values) + np.arange(len(firsts))
+        values += [heads.get(i, ids) for i, ids in enumerate(plain)]
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        starts = np.cumsum(lengths) - lengths
+        pool = np.frombuffer(b"".join(values), "<u4")
+        take = lengths[at]
+        ends = np.cumsum(take)
+        ids = pool[np.repeat(starts[at] - (ends - take), take) + np.arange(ends[-1])]
+        counts = np.add.reduceat(take, firsts)
+        return np.insert(ids, np.cumsum(counts), end_id).astype("<u4"), counts + 1
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``SLICE_BYTES`` of text (column 1), one at least."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < b.num_rows:
+            before = size[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(size, before + SLICE_BYTES, side="right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
 
 def block_rows(path: str, end_id: int):
@@ -169,7 +199,7 @@ def block_rows(path: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encoder, end = Encoder.of(path), np.uint32(end_id).tobytes()
+        encoder = Encoder.of(path)
         schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n", pa.int32()),
                             ("doc_no", pa.list_(pa.int64())), ("doc_id", pa.list_(pa.int64())),
                             ("doc_n", pa.list_(pa.int32())), ("payload", pa.binary())])
@@ -177,7 +207,7 @@ def block_rows(path: str, end_id: int):
 
         def flush():
             nonlocal held, size, docs
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.concatenate(held)
             row = [[part], [state["block"]], [state["first"]], [len(ids)], [[d[0] for d in docs]], [[d[1] for d in docs]],
                    [[d[2] for d in docs]], [encode_levels(ids)]]
             state["block"] += 1
@@ -185,20 +215,17 @@ def block_rows(path: str, end_id: int):
             held, size, docs = [], 0, []
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, schema.types)], schema=schema)
 
-        def rows():
-            for b in batches:
-                for doc_id, text in zip(b.column(0), b.column(1)):
-                    yield doc_id.as_py(), text.as_py() or ""
-
         number = 0
-        for some in slices(rows()):
-            for (doc_id, _), ids in zip(some, encoder.encode([t for _, t in some])):
-                ids, at = ids + end, 0
-                while at < len(ids):
-                    take = min(len(ids) - at, 4 * (BLOCK_IDS - size))
+        for some in slices(batches):
+            ids, counts = encoder.encode(some.column(1), end_id)
+            at = 0
+            for doc_id, count in zip(some.column(0).to_pylist(), counts.tolist()):
+                last = at + count
+                while at < last:
+                    take = min(last - at, BLOCK_IDS - size)
                     held.append(ids[at:at + take])
-                    docs.append((number, doc_id, take // 4))
-                    size, at = size + take // 4, at + take
+                    docs.append((number, doc_id, take))
+                    size, at = size + take, at + take
                     if size == BLOCK_IDS:
                         yield flush()
                 number += 1

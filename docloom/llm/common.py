@@ -66,3 +66,12 @@ def running(df: DataFrame, group: str, hash_col: str, value: str, name: str, nar
     rows = bucketed(df).withColumn("__within", F.coalesce(within, F.lit(0)))
     return rows.join(totals, [*GROUP_KEYS, "__bucket"]).select(
         *df.columns, (F.col("__before") + F.col("__within")).alias(name))
+
+
+#: A-Z to lower case, the other ASCII characters outside a-z and 0-9 to spaces; bytes from 0x80 stay.
+FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 32 for c in range(256))
+
+
+def split_words(text: str) -> list[bytes]:
+    """Lower-cased runs of letters, digits and everything outside ASCII."""
+    return text.encode().translate(FOLD).split()

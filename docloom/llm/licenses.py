@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm.common import split_words
 from docloom.llm.registry import query
 from docloom.sources.tables import load
 
@@ -58,14 +59,6 @@ NOTICES = [
 RARE = 4
 MIN_SHARE = 0.7
 
-#: A-Z to lower case, the other ASCII characters outside a-z and 0-9 to spaces; bytes from 0x80 stay.
-FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 32 for c in range(256))
-
-
-def split_words(text: str) -> list[bytes]:
-    return text.encode().translate(FOLD).split()
-
-
 class Template(NamedTuple):
     label: str
     words: list[bytes]

@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing a module registers its queries."""
 
-from docloom.llm import decontamination, licenses, mixture, quality, sharding, simhash, token_files  # noqa: F401
+from docloom.llm import decontamination, licenses, mixture, quality, sharding, simhash, suffix_dedup, token_files  # noqa: F401
 from docloom.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from docloom.llm import common as C
 from docloom.llm.registry import query
+from docloom.session import materialise
 from docloom.sources.tables import load
 
 MIN_WORDS = 10
@@ -101,6 +102,7 @@ def ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text").join(trusted, "doc_id", "left")
     found = rows.select("__trusted", F.explode(features(C.words(F.col("text")))).alias("bucket"))
     counts = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("__trusted").alias("target"))
+    counts = materialise(counts, "ngram-counts")  # BUCKETS rows; both uses below read them
     everything = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))  # one row
     rows = counts.crossJoin(F.broadcast(everything))
     raw = F.col("raw") / F.col("raws")

@@ -1,4 +1,5 @@
 """All queries of this subpackage; importing a module registers its queries."""
 
-from docloom.llm import decontamination, licenses, lm_score, mixture, quality, sharding, simhash, suffix_dedup, token_files  # noqa: F401
+from docloom.llm import (  # noqa: F401
+    decontamination, licenses, line_dedup, lm_score, mixture, quality, sharding, simhash, suffix_dedup, token_files)
 from docloom.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -10,8 +10,9 @@ least ``THRESHOLD``, the same for every document: nothing is drawn at random.
 
 The target is fitted on at most ``TRUSTED_ROWS`` labelled rows (quality 1, toxic 0), those with
 the smallest hash of doc_id; that bound is also what makes their ids fit a broadcast. The raw
-counts come from all documents. The target is smoothed by ``PRIOR`` raw-distributed features, so
-a bucket that it never saw has a finite ratio, and an empty label table gives ratios of 0.
+counts come from all documents. Both are smoothed by ``PRIOR`` raw features per bucket, of which
+the trusted documents are given their overall share: a bucket that was hardly seen says little,
+and an empty label table gives ratios of 0.
 
 Defined results: a null or empty text has no words and fails the base rules; a null doc_id is
 scored and never trusted; labels with nulls are no trust, and of repeated labels the worst
@@ -35,8 +36,8 @@ SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
 BUCKETS = 1 << 16
 TRUSTED_ROWS = 20_000
-PRIOR = 2000.0
-THRESHOLD = -0.25
+PRIOR = 100.0
+THRESHOLD = -0.12
 
 
 def repeated_words(words: Column) -> Column:
@@ -105,9 +106,9 @@ def ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counts = materialise(counts, "ngram-counts")  # BUCKETS rows; both uses below read them
     everything = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))  # one row
     rows = counts.crossJoin(F.broadcast(everything))
-    raw = F.col("raw") / F.col("raws")
-    target = (F.col("target") + PRIOR * raw) / (F.col("targets") + PRIOR)
-    return rows.select("bucket", F.ln(target / raw).alias("ratio"))
+    share = F.col("targets") / F.col("raws")
+    ratio = (F.col("target") + PRIOR * share) / ((F.col("raw") + PRIOR) * share)
+    return rows.select("bucket", F.when(F.col("targets") > 0, F.ln(ratio)).otherwise(F.lit(0.0)).alias("ratio"))
 
 
 def scored(rows: DataFrame, table: DataFrame) -> DataFrame:

@@ -128,17 +128,17 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
 
 
 def with_removed(docs: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    gone = removed_lines(docs, edits, min_chars).withColumnRenamed("doc_id", "__id").withColumnRenamed("hash", "__hash")
+    gone = removed_lines(docs, edits, min_chars).select(
+        F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"), F.col("removed").alias("__removed"))
     rows = docs.withColumn("__text_hash", text_hash(F.col("text")))
     joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left")
-    return joined.drop("__id", "__hash", "__text_hash").withColumns({
-        "removed": F.coalesce("removed", F.array().cast("array<int>")), "n_near": F.coalesce("n_near", F.lit(0).cast("long"))})
+    return joined.withColumn("__removed", F.coalesce("__removed", F.array().cast("array<int>")))
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents without the lines that go; blank lines stay."""
     rows = with_removed(docs, edits, min_chars)
-    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("removed", i))
+    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("__removed", i))
     return rows.withColumn("text", F.array_join(kept, "\n")).select(*docs.columns)
 
 

@@ -136,13 +136,15 @@ def draws(sized: DataFrame, narrow: DataFrame, shards: int = SHARDS, block_words
 def mix(docs: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_WORDS, seed: int = SEED, **kw) -> DataFrame:
     """The mixed corpus: every row as often as it is taken, with its shard and its place there.
 
-    Sort by (shard, shard_place) to read it; a document taken twice has two places.
+    Sort by (mix_shard, mix_place) to read it; a document taken twice has two places.
     """
-    narrow = materialise(sizes(docs, seed).select("doc_id", "source", "size", "place"), "mixture-sizes")
-    drawn = draws(sizes(docs, seed), narrow, shards, block_words, seed, **kw)
-    rows = drawn.withColumn("draw", F.explode("drawn"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "source", "text")
+    rows = sizes(rows, seed).drop("text")
+    narrow = materialise(rows.drop("row"), "mixture-sizes")
+    drawn = draws(rows, narrow, shards, block_words, seed, **kw)
+    drawn = drawn.select("row", "place", F.explode("drawn").alias("draw"))
     place = F.xxhash64(F.lit(seed), F.col("draw.shard"), F.col("draw.pass"), F.col("place"))
-    return rows.select(*docs.columns, F.col("draw.shard").alias("shard"), place.alias("shard_place"))
+    return drawn.select("row.*", F.col("draw.shard").alias("mix_shard"), place.alias("mix_place"))
 
 
 DIGEST = """WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,

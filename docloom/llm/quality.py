@@ -122,12 +122,19 @@ def scored(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Adds the counts, base_failed, score and kept to every document."""
-    rows = scored(measures(docs), ratios(docs, labels))
+    """Adds the counts, base_failed, score and kept to every document; columns of these names are replaced."""
+    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
+    rows = scored(measures(docs.drop(*added)), ratios(docs, labels))
     kept = ~F.col("base_failed") & (F.coalesce("score", F.lit(0.0)) >= threshold)
     return rows.withColumn("kept", kept).drop("__words")
 
 
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The kept documents, with the columns that came in."""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "doc_id", "text")
+    return quality(rows, labels, threshold).filter("kept").select("row.*")
+
+
 @query("op6_quality_rules")
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")

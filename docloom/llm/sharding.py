@@ -73,8 +73,8 @@ def descend(shards: list[Shard], key: Column, level: int = 0, name: str = "") ->
 
 
 def place(docs: DataFrame, topology: list[Shard]) -> DataFrame:
-    """Adds shard and slot, its gapless number within the shard from 0, by doc_id and text."""
-    rows = docs.withColumn("shard", descend(topology, F.col("doc_id").cast("string")))
+    """Adds shard and slot, its gapless number within the shard from 0; columns of these names are replaced."""
+    rows = docs.drop("shard", "slot").withColumn("shard", descend(topology, F.col("doc_id").cast("string")))
     rows = rows.withColumn("__order", C.hex_hash(F.col("doc_id").cast("string"), F.col("text"))).withColumn("__one", F.lit(1).cast("long"))
     return C.running(rows, "shard", "__order", "__one", "slot").drop("__order", "__one")
 

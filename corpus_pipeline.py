@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.decontamination import decontaminate
 from docloom.llm.mixture import mix
-from docloom.llm.quality import quality
+from docloom.llm.quality import good_documents
 from docloom.llm.simhash import one_of_each
 from docloom.llm.token_files import default_tokenizer, token_files
 from docloom.session import materialise
@@ -20,7 +20,7 @@ from docloom.sources.tables import load
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio (operator 6)."""
-    return quality(docs, load(spark, sf_dir, "labels")).filter("kept").select(*docs.columns)
+    return good_documents(docs, load(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them (operator 1)."""
-    return mix(docs).select(*docs.columns)
+    return mix(docs).drop("mix_shard", "mix_place")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -290,8 +290,9 @@ def repeats(docs: DataFrame, length: int, gram: int, shard_bytes: int, merge_row
     texts = keyed(docs).select("id", "hash", "text")
     # Anchors are counted first; only places of anchors that occur twice are kept, of all texts.
     counts = texts.mapInArrow(place_rows(length, gram, True), "anchor long").groupBy("anchor").count().filter("count > 1")
+    counts = materialise(counts.select("anchor"), "repeated-anchors")  # as a table it lets the join split a hot anchor
     places = texts.mapInArrow(place_rows(length, gram, False), PLACES)
-    places = materialise(places.join(counts.select("anchor"), "anchor", "left_semi"), "places")
+    places = materialise(places.join(counts, "anchor", "left_semi"), "places")
     one = F.min(F.struct("id", "hash", "first", "windows")).alias("one")
     distinct = places.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("copies"), one)
     distinct = materialise(distinct.select("anchor", "digest", "copies", "one.*"), "pieces")

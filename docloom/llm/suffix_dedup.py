@@ -267,16 +267,25 @@ def result_rows(length: int):
         unpack = zstandard.ZstdDecompressor()
         for b in batches:
             out = []
-            for doc_id, text, found in zip(b.column(0), b.column(1), b.column(2)):
+            found = b.column(2)
+            of_doc = found.offsets.to_numpy()
+            pieces = found.values
+            ends = []
+            for name, behind in (("froms", 0), ("tos", length)):
+                part = pieces.field(name)
+                of_piece = part.offsets.to_numpy()
+                at = part.values.to_numpy() + np.repeat(pieces.field("first").to_numpy(), np.diff(of_piece)) + behind
+                ends.append((at, of_piece[of_doc]))
+            for i, (doc_id, text) in enumerate(zip(b.column(0), b.column(1))):
                 data = np.frombuffer(unpack.decompress(text.as_py()), np.uint8)
                 edge = np.zeros(len(data) + 1, np.int32)
-                for p in found.as_py() or []:
-                    np.add.at(edge, np.array(p["froms"], np.int64) + p["first"], 1)
-                    np.add.at(edge, np.array(p["tos"], np.int64) + p["first"] + length, -1)
+                for (at, of), step in zip(ends, (1, -1)):  # a window is in one piece, so no place comes twice
+                    edge[at[of[i]:of[i + 1]]] += step
                 gone = np.cumsum(edge[:-1]) > 0
                 first, last = runs(gone)
-                out.append((doc_id.as_py(), len(data), int(gone.sum()), len(first), hashlib.sha256(data[~gone].tobytes()).hexdigest(),
-                            [{"first": a, "last": z} for a, z in zip(first, last)]))
+                kept = data[~gone] if first else data
+                out.append((doc_id.as_py(), len(data), len(data) - len(kept), len(first), hashlib.sha256(kept.tobytes()).hexdigest(),
+                            [{"first": x, "last": y} for x, y in zip(first, last)]))
             spans = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), spans]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)],

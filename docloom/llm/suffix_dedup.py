@@ -279,8 +279,8 @@ def result_rows(length: int):
             for i, (doc_id, text) in enumerate(zip(b.column(0), b.column(1))):
                 data = np.frombuffer(unpack.decompress(text.as_py()), np.uint8)
                 edge = np.zeros(len(data) + 1, np.int32)
-                for (at, of), step in zip(ends, (1, -1)):  # a window is in one piece, so no place comes twice
-                    edge[at[of[i]:of[i + 1]]] += step
+                for (at, of), step in zip(ends, (1, -1)):  # what repeats within a shard and across shards comes twice
+                    np.add.at(edge, at[of[i]:of[i + 1]], step)
                 gone = np.cumsum(edge[:-1]) > 0
                 first, last = runs(gone)
                 kept = data[~gone] if first else data

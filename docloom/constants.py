@@ -42,7 +42,6 @@ TIER3_SUMMARY = (480, 600)
 TIER4_SUMMARY = (600, 800)
 EXTRACT_RATIO, EXTRACT_MIN, EXTRACT_MAX = 0.3, 300, 600
 REPORT_RANGES = ((600, 1000), (1001, 1500), (1501, 2000), (2001, 2500))
-OUTLIER_WORDS = 500000
 PASS_TARGET = {3: 1500, 4: 2500}
 
 # --- fixed values: chunking and selection -------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,16 @@ from docloom.operators import chunking as C
 from docloom.operators import extraction as E
 
 Generator = Callable[[Column, Column, Column, Column], Column]
-MAX_PASSES = 4
+
+
+def pass_numbers(words: Column, target: Column) -> Column:
+    """As many dependent passes as a text of so many words can need.
+
+    A pass keeps at most 0.15 times 1.1 of the words, under a sixth, or comes within 1.5 times the
+    target; one that cannot (its first sentence is longer) returns what the next would return too.
+    """
+    steps = F.ceil(F.log(F.greatest(words, F.lit(1)) / target) / F.lit(math.log(6))) + 2
+    return F.sequence(F.lit(1).cast("long"), F.greatest(steps, F.lit(1).cast("long")))
 
 
 def first_pass(text: Column, scorer: E.Scorer = E.term_norm) -> Column:
@@ -49,7 +59,7 @@ def summarise(docs: DataFrame, text: str = "text", scorer: E.Scorer = E.term_nor
     """Adds tier, extract, summary, summary_word_count, compression_ratio and status.
 
     Tier 1 goes straight to the generator; tier 2 through structure chunks; tiers 3 and 4
-    through a first pass over 1,000-word chunks and up to four dependent passes.  Every stage is
+    through a first pass over 1,000-word chunks and dependent passes until the text fits.  Every stage is
     guarded by its tier, so a row pays only for its own.  The generator is a column function
     of (text, low, high, model name) and may wrap a pandas UDF.
     """
@@ -59,9 +69,9 @@ def summarise(docs: DataFrame, text: str = "text", scorer: E.Scorer = E.term_nor
     target = F.when(tier == 3, F.lit(float(K.PASS_TARGET[3]))).otherwise(F.lit(float(K.PASS_TARGET[4])))
     # A pass that is no longer needed returns its input at once.
     passes = F.aggregate(
-        F.sequence(F.lit(1), F.lit(MAX_PASSES)), first_pass(F.col(text), scorer),
+        pass_numbers(total, target), first_pass(F.col(text), scorer),
         lambda e, _: E.reduce_to(e, target, scorer=scorer))
-    ok = (total > 0) & M.supported_tier(total).isNotNull()
+    ok = total > 0
     df = hold(df, tier=tier, extract=F.when(~ok, F.lit(None).cast("string"))
               .when(tier == 1, F.col(text))
               .when(tier == 2, by_chunk(F.col(text), scorer))
@@ -74,8 +84,7 @@ def summarise(docs: DataFrame, text: str = "text", scorer: E.Scorer = E.term_nor
     df = hold(df, summary=F.when(F.col("extract").isNotNull(), generator(
         F.col("extract"), M.summary_low(size), M.summary_high(size), model)))
     summary_words = F.when(F.col("summary").isNotNull(), T.word_count(F.col("summary")))
-    status = (F.when(total == 0, "empty").when(F.col("summary").isNull(), "unsupported")
-              .otherwise("done"))
+    status = F.when(total == 0, "empty").when(F.col("summary").isNull(), "failed").otherwise("done")
     return df.withColumn("summary_word_count", summary_words).withColumns({
         "compression_ratio": M.compression_ratio(F.col("summary_word_count"), total),
         "status": status,

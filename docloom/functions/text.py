@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom import constants as K
+from docloom.functions.arrays import let
 
 
 def words(text: Column) -> Column:
@@ -92,8 +95,26 @@ def comma_list(text: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """The five predefined entities and the no-break space; the ampersand last."""
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                       ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    """Character references, numeric and named, each once; a no-break space becomes a space.
+
+    The names are the standard library's table of HTML 4. What is no reference stays as it is.
+    """
+    names = F.create_map(*[F.lit(x) for pair in sorted(
+        {**{n: chr(c) for n, c in name2codepoint.items()}, "nbsp": " ", "apos": "'"}.items()) for x in pair])
+
+    def character(point: Column) -> Column:
+        valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        return F.when(point == 160, F.lit(" ")).when(valid, char)
+
+    def piece(p: Column) -> Column:
+        ref = F.regexp_extract(p, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        decimal = F.regexp_extract(ref, "^#([0-9]+)$", 1).try_cast("bigint")
+        hexadecimal = F.conv(F.nullif(F.regexp_extract(ref, "^#[xX]([0-9a-fA-F]+)$", 1), F.lit("")), 16, 10).try_cast("bigint")
+        char = F.coalesce(character(F.coalesce(decimal, hexadecimal)), F.try_element_at(names, ref))
+        return F.when(char.isNull(), F.concat(F.lit("&"), p)).otherwise(F.concat(char, F.substr(p, F.length(ref) + 2)))
+
+    def decoded(parts: Column) -> Column:
+        return F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), piece), ""))
+
+    return F.when(F.contains(text, F.lit("&")), let(F.split(text, "&", -1), decoded)).otherwise(text)

@@ -12,7 +12,8 @@ from docloom.functions import text as T
 from docloom.functions.arrays import let, pack
 
 TokenCounter = Callable[[Column], Column]
-MARK = "\ue000"  # private-use character set before each header
+# Private-use characters: what is set before each header, and the spelling of both in a text.
+MARK, ESCAPE = "\ue000", "\ue001"
 
 
 def sentence_chunks(text: Column, limit: int = K.CHUNK_WORDS) -> Column:
@@ -24,9 +25,18 @@ def _non_empty(parts: Column) -> Column:
     return F.filter(F.transform(parts, T.strip), lambda p: p != "")
 
 
+def _replace(text: Column, *pairs: tuple[str, str]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 def _by_header(pattern: str) -> Callable[[Column], Column]:
-    """Pieces that each begin with their header."""
-    return lambda p: _non_empty(F.split(F.regexp_replace(p, f"({pattern})", MARK + "$1"), MARK, -1))
+    """Pieces that each begin with their header; a text may hold the mark itself."""
+    escape = lambda p: _replace(p, (ESCAPE, ESCAPE + "1"), (MARK, ESCAPE + "0"))
+    restore = lambda p: _replace(p, (ESCAPE + "0", MARK), (ESCAPE + "1", ESCAPE))
+    return lambda p: _non_empty(F.transform(
+        F.split(F.regexp_replace(escape(p), f"({pattern})", MARK + "$1"), MARK, -1), restore))
 
 
 def _by_paragraph(limit: int, count: TokenCounter) -> Callable[[Column], Column]:

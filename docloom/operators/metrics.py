@@ -46,18 +46,19 @@ def parse_line(line: Column) -> tuple[Column, Column]:
 
 
 def sessions(files: DataFrame) -> DataFrame:
-    """One row per snapshot file (name, text): its time and the last sample of each known metric.
+    """One row per snapshot file (path, name, text): its time and the last sample of each known metric.
 
     A metric is recognised by a known name inside its own, the first known name winning.
     """
-    lines = files.select("name", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    keys = [c for c in ("path", "name") if c in files.columns]
+    lines = files.select(*keys, F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     metric, value = parse_line(F.col("line"))
     known = None
     for m in K.SESSION_METRICS:
         cond = F.contains(F.lower("metric"), F.lit(m))
         known = F.when(cond, m) if known is None else known.when(cond, m)
-    samples = lines.select("name", "pos", metric.alias("metric"), value.alias("value")).withColumn("known", known)
-    picked = samples.groupBy("name").agg(*[
+    samples = lines.select(*keys, "pos", metric.alias("metric"), value.alias("value")).withColumn("known", known)
+    picked = samples.groupBy(*keys).agg(*[
         F.coalesce(
             F.max_by(F.when(F.col("known") == m, F.col("value")), F.when(F.col("known") == m, F.col("pos"))),
             F.lit(0.0),

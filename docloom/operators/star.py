@@ -81,8 +81,12 @@ def star_schema(docs: DataFrame) -> dict[str, DataFrame]:
 
 
 def enrich(docs: DataFrame, forms: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Left lookups of form and body names.  No forced broadcast: the planner checks the size
-    of each lookup and falls back to a skew-split join when it is large."""
+    """Left lookups of form and body names.
+
+    The lookups are written first, so the planner sees their true size: the facts stay where they
+    are beside small ones, and a large one gets a skew-split join.
+    """
+    bodies, forms = materialise(bodies, "bodies"), materialise(forms, "forms")
     return docs.join(bodies, "responsible_body_id", "left").join(forms, "form_id", "left")
 
 

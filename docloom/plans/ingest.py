@@ -149,10 +149,9 @@ def unprocessed_documents(spark, sf):
     return D.unseen(docs, load(spark, sf, "labels"), "doc_id")
 
 
-@query("seen_set_union", "SELECT doc_id FROM labels UNION SELECT doc_id FROM documents WHERE lang = 'en'")
+@query("seen_set_union", "SELECT doc_id FROM labels UNION SELECT doc_id FROM documents")
 def seen_set_union(spark, sf):
-    new = load(spark, sf, "documents").filter(F.col("lang") == "en")
-    return D.grow_seen(load(spark, sf, "labels"), new, "doc_id")
+    return D.grow_seen(load(spark, sf, "labels"), load(spark, sf, "documents"), "doc_id")
 
 
 @query("json_roundtrip", """SELECT '3' || strftime(o_orderdate, '%Y') || 'R' || lpad(o_orderkey::VARCHAR, 9, '0') AS celex_number,
@@ -164,7 +163,7 @@ def json_roundtrip(spark, sf):
     records = document_records(spark, sf).withColumn("doc_id", F.col("metadata.celex_number"))
     day = I.parse_date(F.element_at("metadata.dates", "Date of document"))
     records = store.with_partitions(records, day, F.date_format(day, "yyyyMM"))
-    store.store(records, path)
+    store.store(records.unionByName(records.filter(F.col("metadata.celex_number").isNotNull())), path)
     even = records.filter(F.regexp_extract("content", "([0-9]+)$", 1).cast("long") % 2 == 0)
     store.store(even.withColumn("content", F.concat(F.lit("revised "), F.col("content"))), path)
     return store.scan_tree(spark, path).select(

@@ -28,12 +28,12 @@ def assembled_text(spark, sf):
     return X.assemble(load(spark, sf, "conversations"), "conv_id", "turn", "text")
 
 
-@query("total_words", f"""WITH s AS (SELECT conv_id, sum({WORDS_SQL})::BIGINT AS total_words FROM conversations WHERE role <> 'system' GROUP BY 1)
+@query("total_words", f"""WITH s AS (SELECT conv_id, sum({WORDS_SQL})::BIGINT AS total_words FROM conversations GROUP BY 1)
 SELECT conv_id, total_words FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN s USING (conv_id)""")
 def total_words(spark, sf):
     t = turns(spark, sf)
     docs = load(spark, sf, "conversations").select("conv_id").distinct()
-    sections = X.backfill_word_counts(t.filter(F.col("role") != "system"), "text")
+    sections = X.backfill_word_counts(t, "text")
     return X.total_words(docs, sections, "conv_id")
 
 
@@ -43,9 +43,9 @@ def section_type_counts(spark, sf):
 
 
 @query("section_ordinals", """SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS ordinal
-FROM conversations WHERE role <> 'system'""")
+FROM conversations""")
 def section_ordinals(spark, sf):
-    rows = load(spark, sf, "conversations").filter(F.col("role") != "system").select("conv_id", "turn")
+    rows = load(spark, sf, "conversations").select("conv_id", "turn")
     return S.with_ordinal(rows, "conv_id", "turn").select("conv_id", "turn", "ordinal")
 
 

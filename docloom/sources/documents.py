@@ -63,14 +63,22 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def one_per_key(rows: DataFrame) -> DataFrame:
+    """The row of the greatest hash of its content where a batch brings a key more than once."""
+    rest = [c for c in rows.columns if c not in ("doc_id", *PARTITIONS)]
+    last = F.max_by(F.struct(*rest), F.xxhash64(F.to_json(F.struct(*rest)))).alias("last")
+    return rows.groupBy("doc_id", *PARTITIONS).agg(last).select("doc_id", *PARTITIONS, "last.*").select(*rows.columns)
+
+
 def store(docs: DataFrame, path: str) -> None:
-    """Upsert by (partition, doc_id): a stored document is replaced, its neighbours stay.
+    """Upsert by (partition, doc_id): a stored document is replaced, its neighbours stay, and
+    a key that comes twice in the batch is stored once.
 
     Only the touched partitions are read (partition pruning) and overwritten.  The rebalance
     hint lets adaptive execution split a partition that received most of the rows.
     """
     spark = docs.sparkSession
-    rows = docs.select(*STORED.fieldNames(), *PARTITIONS)
+    rows = one_per_key(docs.select(*STORED.fieldNames(), *PARTITIONS))
     present = _stored(spark, path)
     if present is not None:
         touched = rows.select(*PARTITIONS).distinct()

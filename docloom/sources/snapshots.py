@@ -15,10 +15,16 @@ def write_snapshots(lines: DataFrame, path: str) -> None:
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """(name, text) per snapshot file, found at any depth."""
+    """(path, name, text) per snapshot file, found at any depth.
+
+    The path is the file's own, so equal names in two folders stay apart; the name is the last
+    part of it that is named as a snapshot, or else the file name.
+    """
     return (
         spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-        .select(F.regexp_extract("_metadata.file_path", SNAPSHOT_NAME, 1).alias("name"), F.col("value").alias("text"))
+        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+        .select("path", F.coalesce(F.nullif(F.regexp_extract("path", f".*{SNAPSHOT_NAME}", 1), F.lit("")),
+                                   F.substring_index("path", "/", -1)).alias("name"), "text")
     )
 
 

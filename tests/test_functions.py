@@ -89,3 +89,10 @@ def test_metric_lines(spark):
     s = got["metrics_20240105_101112.prom"]
     assert (s.documents_processed_total, s.storage_size_bytes, s.requests_total) == (13.0, 1.2, 0.0)
     assert str(s.timestamp) == "2024-01-05 10:11:12" and str(got["odd"].timestamp) == "1970-01-01 00:00:00"
+
+
+def test_character_references(spark):
+    cases = {"caf&eacute; &#8211; x&#160;y": "café – x y", "&amp;lt; &lt;b&gt;": "&lt; <b>", "&#x1F600;&#X41;": "😀A", "&bogus; & &; &#0; &#55296; &#99999999;":
+             "&bogus; & &; &#0; &#55296; &#99999999;", "plain": "plain", "": "", "&": "&", "a&b;c&apos;": "a&b;c'"}
+    df = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, e string")
+    assert [r.d for r in df.select(T.decode_entities(F.col("t")).alias("d"), "e").collect()] == list(cases.values())

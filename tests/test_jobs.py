@@ -184,3 +184,24 @@ def test_scores_with_a_hot_token(spark):
     assert len(got) == 120
     assert math.isclose(got[(7, 0)], math.hypot(2 * idf(60), idf(1)))
     assert math.isclose(got[(7, 1)], math.hypot(idf(60), idf(60)))
+
+
+def test_snapshots_of_one_name_in_two_folders_stay_apart(spark, tmp_path):
+    from docloom.operators import metrics as X
+    from docloom.sources import snapshots as S
+
+    for folder, name, n in (("a", "metrics_20240101_000000.prom", 3), ("b", "metrics_20240101_000000.prom", 5), ("b", "odd.txt", 7)):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_text(f"corpus_documents_processed_total {n}.0\n")
+    rows = X.sessions(S.read_snapshots(spark, str(tmp_path))).collect()
+    assert sorted((r["name"], r.documents_processed_total) for r in rows) == [
+        ("metrics_20240101_000000", 3.0), ("metrics_20240101_000000", 5.0), ("odd.txt", 7.0)]
+
+
+def test_reserved_characters_survive_chunking(spark):
+    from docloom.operators import chunking as C
+
+    text = " start " + "word " * 30 + "\nArticle 1. one0 " + "text " * 30
+    df = spark.createDataFrame([(text,)], "t string")
+    chunks = df.select(C.structure_chunks(F.col("t"), 40).alias("c")).first().c
+    assert " ".join(chunks).split() == text.split() and len(chunks) == 2

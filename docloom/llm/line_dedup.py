@@ -9,9 +9,9 @@ Edit join: a line is cut into EDITS + 1 even segments, so one of them survives a
 distinct line is indexed under (its length, segment number, segment). To find those that are up to EDITS
 characters shorter, or as long, it is probed with its own substrings where such a segment can stand: a segment i can
 be moved by i at most seen from the left, and by what is left of the edits seen from the right. Index
-and probes meet on a hash of all that. Every row carries 64 parity bits of its line's character pairs; an
-edit changes six of them at most, so pairs that differ in more are dropped inside the join, before they become
-rows. What is left is verified by Spark's banded edit distance, which only fills the cells
+and probes meet on a hash of all that. Keys of one line alone, nearly all, are dropped. Every other row carries 64 parity
+bits of its line's character pairs; an edit changes six of them at most, so pairs that differ in more are dropped
+inside the join, before they become rows. What is left is verified by Spark's banded edit distance, which only fills the cells
 within EDITS of the diagonal (a bit-parallel one cannot be said in built-in functions).
 
 Defined results: a null or blank text has no lines; rows that are equal in doc_id and text are one document and have equal
@@ -91,13 +91,21 @@ def similar_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     # One row per line, and the partitioning that the joins below use.
     distinct = lines.groupBy("a").agg(F.first("line").alias("line"))
     length = F.length("line")
-    marked = distinct.withColumn("bits", pair_bits(F.col("line")))
-    index = marked.select(F.col("a").alias("other"), F.col("bits").alias("other_bits"), F.explode(F.array(
-        *[index_key(F.col("line"), length, i, edits) for i in range(edits + 1)])).alias("key"))
-    probes = marked.select("a", "bits", F.explode(F.array(*probe_keys(F.col("line"), length, edits))).alias("key"))
+    keys = [F.struct(index_key(F.col("line"), length, i, edits).alias("key"), F.lit(False).alias("probe")) for i in range(edits + 1)]
+    keys += [F.struct(k.alias("key"), F.lit(True).alias("probe")) for k in probe_keys(F.col("line"), length, edits)]
+    keys = distinct.select("a", F.inline(F.array(*keys))).filter(F.col("key").isNotNull())
+    # Dealt by key once, for both uses: most keys are of one line alone and go no further.
+    keys = keys.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
+    shared = keys.groupBy("key").agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.bool_or("probe").alias("probed"),
+                                     F.bool_and("probe").alias("alone"))
+    shared = shared.filter((F.col("lo") != F.col("hi")) & F.col("probed") & ~F.col("alone")).select("key")
+    keys = materialise(keys.join(shared, "key", "left_semi"), "line-keys")
+    bits = distinct.join(keys.select("a").distinct(), "a", "left_semi").select("a", pair_bits(F.col("line")).alias("bits"))
+    keys = materialise(keys.join(bits, "a"), "line-bits")
+    probes = keys.filter("probe").select("key", "a", "bits")
+    index = keys.filter("not probe").select("key", F.col("a").alias("other"), F.col("bits").alias("other_bits"))
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("other_bits"))) <= 6 * edits
-    found = probes.filter(F.col("key").isNotNull()).join(
-        index, (probes["key"] == index["key"]) & (F.col("a") != F.col("other")) & near)
+    found = probes.join(index, (probes["key"] == index["key"]) & (F.col("a") != F.col("other")) & near)
     found = found.select(F.least("a", "other").alias("a"), F.greatest("a", "other").alias("b")).distinct()
     found = materialise(found, "line-pairs")
     left = found.join(distinct, "a").withColumnRenamed("line", "left")

@@ -88,28 +88,30 @@ def pair_bits(line: Column) -> Column:
 
 def similar_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Edges (a, b) between ids of lines within so many edits. ``lines``: columns a (id), line; ids may repeat."""
-    # One row per line, and the partitioning that the joins below use.
     distinct = lines.groupBy("a").agg(F.first("line").alias("line"))
     length = F.length("line")
-    keys = [F.struct(index_key(F.col("line"), length, i, edits).alias("key"), F.lit(False).alias("probe")) for i in range(edits + 1)]
-    keys += [F.struct(k.alias("key"), F.lit(True).alias("probe")) for k in probe_keys(F.col("line"), length, edits)]
-    keys = distinct.select("a", F.inline(F.array(*keys))).filter(F.col("key").isNotNull())
+    # The lowest bit tells a probe from an index entry.
+    keys = [F.shiftleft(index_key(F.col("line"), length, i, edits), 1) for i in range(edits + 1)]
+    keys += [F.shiftleft(k, 1).bitwiseOR(F.lit(1)) for k in probe_keys(F.col("line"), length, edits)]
+    keys = distinct.select("a", F.explode(F.array(*keys)).alias("key")).filter(F.col("key").isNotNull())
     # Dealt by key once, for both uses: most keys are of one line alone and go no further.
-    keys = keys.repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
-    shared = keys.groupBy("key").agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.bool_or("probe").alias("probed"),
-                                     F.bool_and("probe").alias("alone"))
-    shared = shared.filter((F.col("lo") != F.col("hi")) & F.col("probed") & ~F.col("alone")).select("key")
-    keys = materialise(keys.join(shared, "key", "left_semi"), "line-keys")
-    bits = distinct.join(keys.select("a").distinct(), "a", "left_semi").select("a", pair_bits(F.col("line")).alias("bits"))
-    keys = materialise(keys.join(bits, "a"), "line-bits")
-    probes = keys.filter("probe").select("key", "a", "bits")
-    index = keys.filter("not probe").select("key", F.col("a").alias("other"), F.col("bits").alias("other_bits"))
+    parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = keys.repartition(parts, F.shiftright("key", 1)).withColumn("pair", F.shiftright("key", 1))
+    shared = keys.groupBy("pair").agg(F.min("a").alias("lo"), F.max("a").alias("hi"),
+                                      F.bit_or("key").alias("probed"), F.bit_and("key").alias("alone"))
+    shared = shared.filter((F.col("lo") != F.col("hi")) & (F.col("probed") % 2 != 0) & (F.col("alone") % 2 == 0)).select("pair")
+    own = keys.join(shared, "pair", "left_semi").groupBy("a").agg(F.collect_list("key").alias("keys"))
+    # One table of the lines that may have a partner, at most as many keys in each as a line has.
+    some = materialise(own.join(distinct, "a").select("a", "line", "keys", pair_bits(F.col("line")).alias("bits")), "line-keys")
+    keys = some.select("a", "bits", F.explode("keys").alias("key")).withColumn("pair", F.shiftright("key", 1))
+    probes = keys.filter("key % 2 != 0").select("pair", "a", "bits")
+    index = keys.filter("key % 2 = 0").select(F.col("pair").alias("at"), F.col("a").alias("other"), F.col("bits").alias("other_bits"))
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("other_bits"))) <= 6 * edits
-    found = probes.join(index, (probes["key"] == index["key"]) & (F.col("a") != F.col("other")) & near)
+    found = probes.join(index, (F.col("pair") == F.col("at")) & (F.col("a") != F.col("other")) & near)
     found = found.select(F.least("a", "other").alias("a"), F.greatest("a", "other").alias("b")).distinct()
-    found = materialise(found, "line-pairs")
-    left = found.join(distinct, "a").withColumnRenamed("line", "left")
-    both = left.join(distinct.withColumnRenamed("a", "b"), "b")
+    texts = some.select("a", "line")
+    left = found.join(texts, "a").withColumnRenamed("line", "left")
+    both = left.join(texts.withColumnRenamed("a", "b"), "b")
     return both.filter(F.levenshtein("left", "line", edits) >= 0).select("a", "b")
 
 
@@ -120,9 +122,8 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHAR
     roots = components(similar_lines(long_lines, edits))
     found = found.drop("line")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "place")
-    lines = found.groupBy("a", "b").agg(F.min(first).alias("first"), F.max(first).alias("last"))
-    lines = lines.join(roots.withColumnRenamed("node", "a"), "a", "left").filter(
-        (F.col("first") != F.col("last")) | F.col("root").isNotNull())
+    lines = found.groupBy("a", "b").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
+    lines = lines.join(roots.withColumnRenamed("node", "a"), "a", "left").filter((F.col("n") > 1) | F.col("root").isNotNull())
     lines = materialise(lines.select("a", "b", "first", "root"), "repeated-lines")
     heads = lines.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("first").alias("head"))
     lines = lines.join(heads, "root", "left").select(

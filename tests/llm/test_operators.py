@@ -198,6 +198,24 @@ def test_codes_give_any_id():
 
 # 6
 
+def plain_scores(rows, trusted):
+    """The likelihood ratio of each (doc_id, text), from scratch."""
+    def buckets(w):
+        h = [xxhash.xxh64_intdigest(x.translate(LOW).encode(), 42) for x in w]
+        pairs = [xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)) for a, b in zip(h, h[1:])]
+        return [x & (quality.BUCKETS - 1) for x in h + pairs]
+
+    found = [(d, buckets(words(t))) for d, t in rows]
+    raw, target = Counter(), Counter()
+    for d, f in found:
+        raw.update(f)
+        if d in trusted:
+            target.update(f)
+    share = sum(target.values()) / sum(raw.values())
+    ratio = {b: math.log((target[b] + quality.PRIOR * share) / ((raw[b] + quality.PRIOR) * share)) for b in raw}
+    return [sum(ratio[b] for b in f) / len(f) if f else None for _, f in found]
+
+
 def test_quality(spark, docs, rows, none):
     labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 20)] + [(3, 0, 0), (None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
     expected, texts = [], []
@@ -213,25 +231,7 @@ def test_quality(spark, docs, rows, none):
         texts.append(w)
     out = quality.quality(docs, labels).collect()
     assert bag((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in out) == bag(expected)
-    # The ratio, from scratch.
-    trusted = set(range(20)) - {3, 5}
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-
-    def buckets(w):
-        h = [xxhash.xxh64_intdigest(x.translate(LOW).encode(), 42) for x in w]
-        pairs = [xxhash.xxh64_intdigest((b).to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42)) for a, b in zip(h, h[1:])]
-        return [x & (quality.BUCKETS - 1) for x in h + pairs]
-
-    raw, target = Counter(), Counter()
-    for (d, _, _), w in zip(rows, texts):
-        raw.update(buckets(w))
-        if d in trusted:
-            target.update(buckets(w))
-    share = sum(target.values()) / sum(raw.values())
-    score = {}
-    for (d, t, _), w in zip(rows, texts):
-        f = buckets(w)
-        score[d, len(w)] = sum(math.log((target[b] + quality.PRIOR * share) / ((raw[b] + quality.PRIOR) * share)) for b in f) / len(f) if f else None
+    score = {(d, len(w)): x for (d, _, _), w, x in zip(rows, texts, plain_scores([(d, t) for d, t, _ in rows], set(range(20)) - {3, 5}))}
     for r in out:
         want = score[r.doc_id, r.n_words]
         assert (r.score is None) == (want is None) and (want is None or math.isclose(r.score, want, abs_tol=1e-9))

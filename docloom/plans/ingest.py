@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from docloom.functions import ids as I
 from docloom.operators import dedup as D
+from docloom.operators import star as S
 from docloom.operators import validation as V
 from docloom.plans.registry import query
 from docloom.plans.star import document_records
 from docloom.session import shared_dir
 from docloom.sources import documents as store
+from docloom.sources.export import export_csv
 from docloom.sources.tables import load, load_texts
 
 BASE_URL = "https://example.org"
@@ -97,6 +99,49 @@ def metadata_validation(spark, sf):
     return V.validate(df).select("o_orderkey", F.array_join("errors", ",").alias("errors"), "metadata.identifier")
 
 
+RAW_SQL = """CASE o_orderkey % 8 WHEN 0 THEN '{"celex_number": ' || o_orderkey || ', "title": "T"}'
+  WHEN 1 THEN '{"celex_number": "3", "title": ["T"], "form": null}' WHEN 2 THEN '{"celex_number": "3", "title": "T", "authors": "A"}'
+  WHEN 3 THEN '{"title": "T", "authors": ["A", 1], "subject_matters": []}' WHEN 4 THEN '{"dates": {"Date of document": 20240101, "Date of effect": "x"}}'
+  WHEN 5 THEN 'no json ' || o_orderkey WHEN 6 THEN '["' || o_orderkey || '"]' ELSE '{"celex_number": "3", "title": "T", "authors": ["A", "B"]}' END"""
+
+
+@query("metadata_types", """SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN 'celex_number' WHEN 1 THEN 'title,form' WHEN 2 THEN 'authors' WHEN 3 THEN 'authors'
+  WHEN 4 THEN 'dates.Date of document' WHEN 5 THEN 'record' WHEN 6 THEN 'record' ELSE '' END AS errors FROM orders""")
+def metadata_types(spark, sf):
+    """Raw records with fields of wrong types, lists of mixed types, and texts that are no records."""
+    raw = load(spark, sf, "orders").select("o_orderkey", F.expr(RAW_SQL).alias("raw"))
+    return raw.select("o_orderkey", F.array_join(V.type_errors(F.col("raw")), ",").alias("errors"))
+
+
+@query("single_file_scan", """SELECT 'S' || s_suppkey AS celex_number, 'About ' || s_name AS title, 'Text of ' || s_name AS content FROM supplier""")
+def single_file_scan(spark, sf):
+    """One JSON file per document, written and scanned back."""
+    path = shared_dir(spark, "json-files")
+    meta = F.struct(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("celex_number"),
+                    F.concat(F.lit("About "), F.col("s_name")).alias("title"))
+    rows = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("file"), meta.alias("metadata"),
+                                              F.concat(F.lit("Text of "), F.col("s_name")).alias("content"))
+    rows.write.partitionBy("file").json(path)
+    return store.scan_single_files(spark, path).select("metadata.celex_number", "metadata.title", "content")
+
+
+@query("report_export", "SELECT source, count(*)::BIGINT AS n_docs, sum(n_chars)::BIGINT AS n_chars FROM documents GROUP BY source")
+def report_export(spark, sf):
+    """A report written as CSV with a header and read back."""
+    path = shared_dir(spark, "report")
+    report = load(spark, sf, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").alias("n_chars"))
+    export_csv(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
+@query("column_backfill", "SELECT doc_id, n_chars, lang || '/' || source AS label FROM documents")
+def column_backfill(spark, sf):
+    """A column that is missing is added, one that is there is left alone."""
+    docs = load(spark, sf, "documents").select("doc_id", "n_chars", "lang", "source")
+    docs = S.add_missing_column(docs, "label", F.concat_ws("/", "lang", "source"))
+    return S.add_missing_column(docs, "n_chars", F.lit(-1)).select("doc_id", "n_chars", "label")
+
+
 PATH_SQL = """'data/2024/' || CASE WHEN doc_id % 9 = 0 THEN 'misc' WHEN doc_id % 10 = 3 THEN '20240230'
   ELSE '202401' || lpad(((doc_id * 37) % 28 + 1)::VARCHAR, 2, '0') END || '/' || doc_id || '.json'"""
 

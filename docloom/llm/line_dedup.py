@@ -10,7 +10,7 @@ distinct line is indexed under (its length, segment number, segment). To find th
 characters shorter, or as long, it is probed with its own substrings where such a segment can stand: a segment i can
 be moved by i at most seen from the left, and by what is left of the edits seen from the right. Index
 and probes meet on a hash of all that. Keys of one line alone, nearly all, are dropped. Every other row carries 64 parity
-bits of its line's character pairs; an edit changes six of them at most, so pairs that differ in more are dropped
+bits of its line's character pairs; an edit changes four of them at most, so pairs that differ in more are dropped
 inside the join, before they become rows. What is left is verified by Spark's banded edit distance, which only fills the cells
 within EDITS of the diagonal (a bit-parallel one cannot be said in built-in functions).
 
@@ -103,11 +103,14 @@ def similar_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     own = keys.join(shared, "pair", "left_semi").groupBy("a").agg(F.collect_list("key").alias("keys"))
     # One table of the lines that may have a partner, at most as many keys in each as a line has.
     some = materialise(own.join(distinct, "a").select("a", "line", "keys", pair_bits(F.col("line")).alias("bits")), "line-keys")
-    keys = some.select("a", "bits", F.explode("keys").alias("key")).withColumn("pair", F.shiftright("key", 1))
-    probes = keys.filter("key % 2 != 0").select("pair", "a", "bits")
-    index = keys.filter("key % 2 = 0").select(F.col("pair").alias("at"), F.col("a").alias("other"), F.col("bits").alias("other_bits"))
-    near = F.bit_count(F.col("bits").bitwiseXOR(F.col("other_bits"))) <= 6 * edits
-    found = probes.join(index, (F.col("pair") == F.col("at")) & (F.col("a") != F.col("other")) & near)
+    keys = some.select("a", "bits", F.length("line").alias("n"), F.explode("keys").alias("key")).withColumn("pair", F.shiftright("key", 1))
+    probes = keys.filter("key % 2 != 0").select("pair", "a", "n", "bits")
+    index = keys.filter("key % 2 = 0").select(
+        F.col("pair").alias("at"), F.col("a").alias("other"), F.col("n").alias("other_n"), F.col("bits").alias("other_bits"))
+    near = F.bit_count(F.col("bits").bitwiseXOR(F.col("other_bits"))) <= 4 * edits
+    # Lines of one length probe each other; one direction is enough.
+    once = (F.col("n") > F.col("other_n")) | (F.col("a") < F.col("other"))
+    found = probes.join(index, (F.col("pair") == F.col("at")) & (F.col("a") != F.col("other")) & once & near)
     found = found.select(F.least("a", "other").alias("a"), F.greatest("a", "other").alias("b")).distinct()
     texts = some.select("a", "line")
     left = found.join(texts, "a").withColumnRenamed("line", "left")

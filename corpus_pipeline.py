@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.decontamination import decontaminate
 from docloom.llm.mixture import mix
+from docloom.llm.near_copies import first_of_each
 from docloom.llm.quality import good_documents
 from docloom.llm.simhash import one_of_each
 from docloom.llm.token_files import default_tokenizer, token_files
@@ -24,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group (operator 7)."""
-    return one_of_each(docs)
+    """One document of each SimHash group (operator 7), then of each set of near copies (five-word similarity of 0.8 or more)."""
+    return first_of_each(materialise(one_of_each(docs), "simhash-groups"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

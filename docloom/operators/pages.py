@@ -14,6 +14,7 @@ from docloom.functions.arrays import hold, let
 
 # Private-use characters that stand for markup inside a row.
 BLOCK, SKIPPED, INLINE = "", "", ""
+ANCHOR, EDGE = r"(?i)(?=<a\s)", r"(?i)</?(?:p|li|div|td|h[1-6])\b[^>]*>"
 BLOCK_TAGS = "p|div|table|tr|td|th|li|ul|ol|dl|dt|dd|h[1-6]|article|section|header|footer|nav"
 
 
@@ -117,28 +118,25 @@ def links(pages: DataFrame, html: str, key: str, base_url: str, main: Column | N
     """Links to documents inside the main container: valid ids only.
 
     The title is the text of the anchor, or of the list item or paragraph around it when the
-    anchor has none.
+    anchor has none: all text between the block edges before and behind it, other anchors' included.
     """
     df = hold(pages.select(key, html), _clean=without_scripts(F.col(html)))
     opening = r"""(?i)<div\b[^>]*\sid\s*=\s*["']MainContent["'][^>]*>"""
     df = hold(df, _main=element(F.col("_clean"), opening, "div") if main is None else main)
-    # Cut before every anchor.  Each piece takes along what precedes it, for the fallback title.
-    df = hold(df.filter(F.col("_main").isNotNull()), _p=F.split("_main", r"(?i)(?=<a\s)", -1))
-    pairs = F.transform(F.col("_p"), lambda p, i: F.struct(p.alias("piece"), F.get(F.col("_p"), i - 1).alias("before")))
+    # Cut before every anchor, and apart from that at block edges: an anchor's fallback title is all of its block's text.
+    df = hold(df.filter(F.col("_main").isNotNull()), _p=F.split("_main", ANCHOR, -1), _b=F.split("_main", EDGE, -1))
+    in_block = F.flatten(F.transform("_b", lambda b, i: F.array_repeat(i, F.size(F.split(b, ANCHOR, -1)) - F.when(b.rlike(r"(?i)^<a\s"), 0).otherwise(1))))
+    df = hold(df, _at=in_block)
+    own = lambda p: raw_text(F.regexp_extract(p, r"(?is)^<a\s[^>]*>(.*?)</a\s*>", 1))
+    around = lambda i: raw_text(F.get(F.col("_b"), F.get(F.col("_at"), i - 1)))
+    pairs = F.transform(F.col("_p"), lambda p, i: F.struct(p.alias("piece"), let(own(p), lambda t: F.when(t != "", t).otherwise(around(i))).alias("title")))
     rows = df.select(key, pairs.alias("_pairs")).select(key, F.posexplode("_pairs").alias("link_no", "_pair"))
     rows = rows.filter(F.col("link_no") > 0).select(key, "link_no", "_pair.*")
     href = T.decode_entities(attribute(F.regexp_extract("piece", r"(?i)^<a\s[^>]*>", 0), "href"))
     rows = rows.withColumn("href", href).filter(F.contains("href", F.lit(K.LEGAL_PATH)))
     rows = rows.withColumn("document_id", I.uri_document_id(F.col("href")))
     rows = rows.filter(I.valid_document_id(F.col("document_id")))
-    own = raw_text(F.regexp_extract("piece", r"(?is)^<a\s[^>]*>(.*?)</a\s*>", 1))
-    edge = r"(?is)</?(?:p|li|div|td|h[1-6])\b[^>]*>"
-    around = raw_text(F.concat(
-        F.try_element_at(F.split(F.col("before"), edge, -1), F.lit(-1)),
-        F.get(F.split("piece", edge, -1), F.lit(0))))
-    title = F.when(own != "", own).otherwise(around)
-    return rows.select(
-        key, "link_no", I.absolute_url(base_url, F.col("href")).alias("url"), title.alias("title"), "document_id")
+    return rows.select(key, "link_no", I.absolute_url(base_url, F.col("href")).alias("url"), "title", "document_id")
 
 
 # --- metadata pages -----------------------------------------------------------------------------

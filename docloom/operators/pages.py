@@ -12,12 +12,26 @@ from docloom.functions import ids as I
 from docloom.functions import text as T
 from docloom.functions.arrays import hold, let
 
-# Private-use characters that stand for markup inside a row.
-BLOCK, SKIPPED, INLINE = "", "", ""
+# Private-use characters that stand for markup inside a row, and the one that spells them in a text.
+BLOCK, SKIPPED, INLINE, ESCAPE = "\ue001", "\ue002", "\ue003", "\ue000"
+SPELT = [(c, f"{ESCAPE}{n}") for n, c in enumerate((ESCAPE, BLOCK, SKIPPED, INLINE))]
 ANCHOR, EDGE = r"(?i)(?=<a\s)", r"(?i)</?(?:p|li|div|td|h[1-6])\b[^>]*>"
 BLOCK_TAGS = "p|div|table|tr|td|th|li|ul|ol|dl|dt|dd|h[1-6]|article|section|header|footer|nav"
 
 
+def escape(text: Column) -> Column:
+    """A text that may hold the marks, without them."""
+    for char, spelt in SPELT:
+        text = F.replace(text, F.lit(char), F.lit(spelt))
+    return text
+
+
+def restore(text: Column) -> Column:
+    for char, spelt in reversed(SPELT):  # the escape itself last
+        text = F.replace(text, F.lit(spelt), F.lit(char))
+    return text
+
+
 def without_scripts(html: Column) -> Column:
     """Comments, scripts and styles go first: they may hold text that looks like markup."""
     return F.regexp_replace(
@@ -66,7 +80,7 @@ def container(html: Column, ids: Sequence[str] = K.TEXT_CONTAINERS) -> Column:
 
 def inner_text(fragment: Column) -> Column:
     """All text of a fragment with its pieces trimmed and joined without a separator."""
-    pieces = F.split(F.regexp_replace(fragment, "<[^>]+>", INLINE), INLINE, -1)
+    pieces = F.split(fragment, "<[^>]+>", -1)
     return F.array_join(F.transform(pieces, lambda p: T.strip(T.decode_entities(p))), "")
 
 
@@ -82,10 +96,10 @@ def block_lines(fragment: Column, skipped: Sequence[str] = K.SKIPPED_BLOCKS) ->
     opening tag.
     """
     skip = rf"""(?i)<(?:{BLOCK_TAGS})\b[^>]*\sclass\s*=\s*["']\s*(?:{'|'.join(skipped)})(?=[\s"'])[^>]*>"""
-    marked = F.regexp_replace(fragment, skip, BLOCK + SKIPPED)
+    marked = F.regexp_replace(escape(fragment), skip, BLOCK + SKIPPED)
     marked = F.regexp_replace(marked, rf"(?i)</?(?:{BLOCK_TAGS})\b[^>]*>", BLOCK)
     kept = F.filter(F.split(marked, BLOCK, -1), lambda s: ~F.startswith(s, F.lit(SKIPPED)))
-    return F.filter(F.transform(kept, inner_text), lambda s: s != "")
+    return F.filter(F.transform(kept, lambda s: inner_text(restore(s))), lambda s: s != "")
 
 
 def page_text(pages: DataFrame, html: str, region: Column | None = None) -> DataFrame:
@@ -103,8 +117,8 @@ def heading_sections(pages: DataFrame, html: str, key: str, region_tag: str, hea
     """(key, section_order, title, content) for pages whose headings are plain heading tags."""
     df = hold(pages.select(key, html), _clean=without_scripts(F.col(html)))
     df = hold(df, _region=element(F.col("_clean"), rf"(?i)<{region_tag}\b[^>]*>", region_tag))
-    cuts = F.split(F.regexp_replace("_region", rf"(?i)<({heading})\b[^>]*>", INLINE + "$0"), INLINE, -1)
-    pieces = F.filter(cuts, lambda p: p.rlike(rf"(?i)^<{heading}\b"))
+    cuts = F.split(F.regexp_replace(escape(F.col("_region")), rf"(?i)<({heading})\b[^>]*>", INLINE + "$0"), INLINE, -1)
+    pieces = F.filter(F.transform(cuts, restore), lambda p: p.rlike(rf"(?i)^<{heading}\b"))
     rows = df.select(key, F.posexplode(pieces).alias("section_order", "piece"))
     close = rf"(?i)</{heading}\s*>"
     halves = hold(rows, _h=F.split("piece", close, 2))

@@ -13,3 +13,15 @@ def test_fallback_title_is_all_of_the_block(spark):
     got = [(r.link_no, r.document_id, r.title) for r in P.links(df, "html", "id", "https://e.org").orderBy("link_no").collect()]
     assert got == [(2, "202401016", "Lead words one mid  more two tail"), (4, "202401017", "both of them"),
                    (5, "202401018", "both of them"), (7, "202401019", "first of four")]
+
+
+def test_private_use_characters_stay(spark):
+    marks = "\ue000\ue0001 \ue001 \ue0021 \ue003 \ue0010"
+    body = f"<p>\ue002a {marks} z</p><p>b\ue003c &#xE001; <b>d</b></p>"
+    lines = [f"\ue002a {marks} z", "b\ue003c \ue001d"]
+    html = f'<div id="TexteOnly">{body}<p class="navigation">menu</p></div>'
+    df = spark.createDataFrame([(1, html)], "id long, html string")
+    assert P.page_text(df, "html").first().full_text == "\n".join(lines)
+    df = spark.createDataFrame([(1, f"<article><h1>Ti\ue003tle</h1>{body}</article>")], "id long, html string")
+    got = [(r.title, r.content) for r in P.heading_sections(df, "html", "id", "article").collect()]
+    assert got == [("Ti\ue003tle", "\n".join(lines))]

@@ -1,186 +1,216 @@
-"""Class-marked legal pages to ordered sections, as one relational job over page tokens.
+"""Class-marked legal pages to ordered sections, as one relational job over page parts.
 
-Raw pages are shuffled once, by page, before they are cut into tokens; every window and
-aggregation below is keyed by page first and therefore runs in place.  What an element is
-travels as one integer of flags, so the token rows stay narrow.  Elements that are not void must
-be closed, as they are in the published pages.
+Raw pages are shuffled once, by page. A page's tokens are then folded over the stack of its open elements, inside the row, which
+leaves one entry for each part that a text takes: title, preamble, main content, the heading or body of a section. All that is done with the
+parts (cells, lines, tables, repeats, order) are aggregations keyed by page first, so they run in place.
+
+Elements need not be closed or nested well. A closing tag ends its own element and all that are still open inside it; one without
+an opening tag is ignored. ``IMPLIED`` names the tags that end an open element they cannot be inside of, as HTML has it:
+an item ends the item before it, a cell the cell, a block the paragraph.
 """
 
 from __future__ import annotations
 
+import itertools
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import text as T
-from docloom.operators.pages import attribute, without_scripts
+from docloom.operators.pages import without_scripts
 from docloom.session import by_key
 
-# Fixed values of HTML: elements without a closing tag.
-VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
+# Fixed values of HTML: elements without a closing tag, and blocks that end a paragraph.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+BLOCKS = "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
+#: Tag to the open elements that it ends, and to those beyond which it does not look.
+IMPLIED = {
+    "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
+    "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+    **{b: ({"p"}, {"td", "th", "li", "dd", *BLOCKS} - {"p"}) for b in BLOCKS}}
 
 # Flags of an element.  The lowest four name the heading class, in the order of HEADING_CLASSES.
 HEADING = 0b1111
 (ANNEX, TITLE, PREAMBLE, BOX, SUBDIVISION, NORMAL, NOTE, ENUM, UNWANTED, TABLE, CELL, SPAN, ROW, PARA,
  INLINE) = (1 << i for i in range(4, 19))
-FLAG_RANGE = 1 << 20
+#: Of these only a page's first element counts.
+FIRST_ONLY = TITLE | PREAMBLE | BOX
 
 # Parts a token can take.
 HEADER, OPENING, MAIN, HEAD_TITLE, SECTION = range(5)
 WHOLE, LISTED, STRING = range(3)
 
+TOKEN = re.compile("<[^>]+>|[^<]+")
+TAG = re.compile("</?([a-zA-Z][a-zA-Z0-9]*)")
+ATTRIBUTE = {n: re.compile(rf"""(?i)\s{n}\s*=\s*["']([^"']*)["']""") for n in ("class", "style", "width")}
+
+PART = ("pos int, scope int, way int, head long, head_flags int, o1 long, o2 long, o3 long, unit long, table boolean, sub long, "
+        "row_no int, cell_no int, in_cell boolean, tok string, in_note boolean, mark boolean, is_col boolean, narrow boolean")
+NAMES = [c.split()[0] for c in PART.split(", ")]
+TYPES = pa.struct([(n, {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "string": pa.string()}[t])
+                   for n, t in (c.split() for c in PART.split(", "))])
+
 
-def _flags(tok: Column, tag: Column, cls: Column) -> Column:
-    has = lambda *names: F.arrays_overlap(cls, F.array(*[F.lit(n) for n in names]))
+def attribute_of(tok: str, name: str) -> str:
+    found = ATTRIBUTE[name].search(tok)
+    return found[1] if found else ""
+
+
+def flags_of(tag: str, tok: str) -> int:
+    classes = set(re.split(r"\s+", attribute_of(tok, "class")))
     div, para = tag == "div", tag == "p"
-    tests = [(has(name), 1 << i) for i, name in enumerate(K.HEADING_CLASSES)] + [
-        (has("oj-doc-ti"), ANNEX), (div & has("eli-main-title"), TITLE), (div & has("eli-preamble"), PREAMBLE),
-        (div & has("eli-container"), BOX), (div & has("eli-subdivision"), SUBDIVISION),
-        (para & has("oj-normal"), NORMAL), (tag.isin("a", "span") & has("oj-note-tag"), NOTE),
-        (div & has("oj-enumeration-spacing"), ENUM), (has(*K.UNWANTED_CLASSES), UNWANTED), (tag == "table", TABLE),
-        (tag.isin("td", "th"), CELL), (tag == "span", SPAN), (tag == "tr", ROW), (para, PARA),
-        (para & (attribute(tok, "style") == "display: inline;"), INLINE)]
-    total = F.lit(0)
-    for test, flag in tests:
-        total = total + F.when(test, flag).otherwise(0)
-    return total
+    tests = [(name in classes, 1 << i) for i, name in enumerate(K.HEADING_CLASSES)] + [
+        ("oj-doc-ti" in classes, ANNEX), (div and "eli-main-title" in classes, TITLE), (div and "eli-preamble" in classes, PREAMBLE),
+        (div and "eli-container" in classes, BOX), (div and "eli-subdivision" in classes, SUBDIVISION),
+        (para and "oj-normal" in classes, NORMAL), (tag in ("a", "span") and "oj-note-tag" in classes, NOTE),
+        (div and "oj-enumeration-spacing" in classes, ENUM), (not classes.isdisjoint(K.UNWANTED_CLASSES), UNWANTED), (tag == "table", TABLE),
+        (tag in ("td", "th"), CELL), (tag == "span", SPAN), (tag == "tr", ROW), (para, PARA),
+        (para and attribute_of(tok, "style") == "display: inline;", INLINE)]
+    return sum(flag for test, flag in tests if test)
 
 
-def _is(column: str, flag: int) -> Column:
-    return F.coalesce(F.col(column).bitwiseAND(F.lit(flag)) != 0, F.lit(False))
+class Open:
+    """An open element; ``around``: the flags of it and all around it; ``head``: the last heading among its children, ``part``: 1 inside it, 2 after it."""
 
+    __slots__ = ("around", "flags", "head", "name", "part", "pos")
 
-def _kinds() -> tuple[Column, Column, Column]:
-    return F.col("kind") == "open", F.col("kind") == "close", F.col("kind") == "text"
+    def __init__(self, name: str, pos: int, flags: int, around: int) -> None:
+        self.name, self.pos, self.flags, self.around, self.head, self.part = name, pos, flags, flags | around, None, 0
 
 
-def _inside(flag: int, window) -> Column:
-    """How many elements with the flag are open around a token."""
-    opening, closing, _ = _kinds()
-    return F.sum(F.when(opening & _is("flags", flag), 1).when(closing & _is("opener", flag), -1).otherwise(0)).over(window)
+class Page:
+    """The fold's state: the open elements and what was last opened of each kind."""
 
+    def __init__(self) -> None:
+        self.stack = [Open("", -1, 0, 0)]
+        self.seen = self.rows = self.cells = 0
+        self.block = self.para = None
+        self.enum = 0
+        self.parts: list[tuple] = []
 
-def tokens(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, pos, tok, kind, flags, depth, level, opener, …) with unwanted elements removed.
+    def close(self, depth: int) -> None:
+        """Ends the elements from that depth on."""
+        while len(self.stack) > depth:
+            gone = self.stack.pop()
+            if gone.flags & HEADING and not gone.around & UNWANTED:
+                self.stack[-1].part = 2
+            if self.block and self.block[0] is gone:
+                self.block = None
+            if self.para is gone:
+                self.para = None
 
-    level is that of the element a tag opens or closes; depth is the number of elements open
-    around a text.  A closing tag knows the flags of its opener, an opening tag its parent.
-    """
-    opening, closing, _ = _kinds()
+    def ended_by(self, name: str) -> int:
+        """Depth of the outermost element that an opening tag ends, or that of the stack."""
+        ends, limits = IMPLIED.get(name, ((), ()))
+        depth = len(self.stack)
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].name in ends:
+                depth = i
+            elif self.stack[i].name in limits:
+                break
+        return depth
+
+    def opened(self, pos: int, name: str, tok: str) -> None:
+        up, flags = self.stack[-1], flags_of(name, tok)
+        new = Open(name, pos, flags & ~(self.seen & FIRST_ONLY), up.around)
+        self.stack.append(new)
+        if new.around & UNWANTED:
+            return
+        self.seen |= flags & FIRST_ONLY
+        self.rows += bool(flags & ROW)
+        self.cells += bool(flags & CELL)
+        if flags & HEADING:
+            up.head, up.part = new, 1
+        # Blocks of the main content, by rank: paragraphs, tables and spans of a subdivision, then paragraphs directly in the container.
+        rank = None
+        if up.flags & SUBDIVISION:
+            rank = 0 if flags & NORMAL else 1 if flags & TABLE else 2 if flags & SPAN and not flags & NOTE else None
+        elif up.flags & BOX and flags & NORMAL:
+            rank = 3
+        if rank is not None:
+            self.block = (new, rank, up.pos)
+        if flags & ENUM:
+            self.enum = pos
+        if flags & PARA:
+            self.para = new
+
+    def take(self, pos: int, tok: str | None, mark: bool = False, is_col: bool = False, narrow: bool = False) -> None:
+        """The parts of a text (or, in tables, of a cell, a marked element or a column)."""
+        top = self.stack[-1].around
+        if top & UNWANTED:
+            return
+
+        def part(scope, way, head=None, order=(0, 0, 0), unit=0, table=False, sub=0):
+            self.parts.append((pos, scope, way, head.pos if head else 0, head.flags & (HEADING | ANNEX) if head else 0, *order, unit, table, sub,
+                               self.rows, self.cells, bool(top & CELL), tok, bool(top & NOTE), mark, is_col, narrow))
+
+        text = tok is not None
+        if text and top & TITLE:
+            part(HEADER, WHOLE)
+        if text and top & PREAMBLE:
+            part(OPENING, WHOLE)
+        if top & BOX:
+            if text and top & ENUM and self.para and self.para.flags & INLINE:
+                part(MAIN, LISTED, order=(-1, 0, 0), unit=self.enum, sub=self.para.pos)
+            if self.block and (text or self.block[1] == 1):
+                block, rank, up = self.block
+                part(MAIN, WHOLE, order=(int(rank == 3), 0 if rank == 3 else up, rank), unit=block.pos, table=rank == 1)
+        for up, child in zip(self.stack, self.stack[1:]):
+            if up.part == 1 and text:
+                part(HEAD_TITLE, WHOLE, up.head)
+            elif up.part == 2:
+                table = bool(child.flags & TABLE)
+                if text or table:
+                    part(SECTION, STRING, up.head, unit=child.pos if table else pos, table=table, sub=child.pos)
+
+
+def parts_of(html: str | None, implied: bool = True) -> list[tuple]:
+    """The parts of a page, in the order of ``NAMES``."""
+    page = Page()
+    for pos, found in enumerate(TOKEN.finditer(html or "")):
+        tok = found[0]
+        if tok[0] != "<":
+            page.take(pos, tok)
+            continue
+        tag = TAG.match(tok)
+        if not tag:
+            continue
+        name = tag[1].lower()
+        if tok[1] == "/":
+            depth = next((i for i in range(len(page.stack) - 1, 0, -1) if page.stack[i].name == name), len(page.stack))
+            page.close(depth)
+            continue
+        if implied:
+            page.close(page.ended_by(name))
+        if name in VOID or tok.endswith("/>"):
+            if name == "col":
+                page.take(pos, None, is_col=True, narrow="4%" in attribute_of(tok, "width"))
+            continue
+        page.opened(pos, name, tok)
+        new = page.stack[-1]
+        if new.flags & (CELL | NORMAL | SPAN):
+            page.take(pos, None, mark=bool(new.flags & (NORMAL | SPAN)))
+    return page.parts
+
+
+def _parts(pages: DataFrame, key: str, html: str, implied: bool) -> DataFrame:
+    """One row per token and part it takes."""
+
+    def fold(texts: pa.Array) -> pa.Array:
+        found = [parts_of(t.as_py(), implied) for t in texts]
+        columns = list(zip(*(p for page in found for p in page))) or [()] * len(NAMES)
+        rows = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, TYPES)], fields=list(TYPES))
+        ends = [0, *itertools.accumulate(map(len, found))]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+
+    # A column function keeps the pages' partitioning, so what follows needs no further shuffle.
+    folded = F.arrow_udf(fold, f"array<struct<{PART.replace(' ', ':').replace(',:', ',')}>>")
     df = by_key(pages.select(F.col(key).alias("key"), F.col(html).alias("html")), "key")
-    df = df.select("key", F.posexplode(F.regexp_extract_all(
-        without_scripts(F.col("html")), F.lit("<[^>]+>|[^<]+"), F.lit(0))).alias("pos", "tok"))
-    df = df.withColumn("tag", F.lower(F.regexp_extract("tok", "^</?([a-zA-Z][a-zA-Z0-9]*)", 1)))
-    df = df.withColumn("kind", (
-        F.when(~F.startswith("tok", F.lit("<")), "text")
-        .when(F.col("tag") == "", "other")
-        .when(F.startswith("tok", F.lit("</")), "close")
-        .when(F.col("tag").isin(*VOID) | F.endswith("tok", F.lit("/>")), "void")
-        .otherwise("open"))).filter(F.col("kind") != "other")
-    df = df.withColumn("cls", F.when(opening, F.split(attribute(F.col("tok"), "class"), r"\s+", -1)))
-    df = df.select(
-        "key", "pos", "tok", "kind", F.when(opening, _flags(F.col("tok"), F.col("tag"), F.col("cls"))).alias("flags"))
-    page = Window.partitionBy("key").orderBy("pos")
-    upto = page.rowsBetween(Window.unboundedPreceding, 0)
-    before = page.rowsBetween(Window.unboundedPreceding, -1)
-    # An opening tag right after another one is its first child; a closing tag is marked -1.
-    place = F.when(opening, F.col("pos").cast("long") * FLAG_RANGE + F.col("flags")).when(closing, F.lit(-1))
-    df = df.withColumns({
-        "depth": F.sum(F.when(opening, 1).when(closing, -1).otherwise(0)).over(upto).cast("int"),
-        "previous": F.last(place, True).over(before),
-    })
-    df = df.withColumn("level", F.when(opening, F.col("depth")).when(closing, F.col("depth") + 1).otherwise(0))
-    siblings = Window.partitionBy("key", "level").orderBy("pos")
-    first_child = F.when(opening & (F.col("previous") >= 0), F.col("previous"))
-    df = df.withColumns({
-        "opener": F.when(closing, F.lag("flags").over(siblings)),
-        "opener_pos": F.when(closing, F.lag("pos").over(siblings)),
-        "parent": F.when(opening, F.last(first_child, True).over(siblings.rowsBetween(Window.unboundedPreceding, 0))),
-    })
-    df = df.withColumn("gone", _inside(UNWANTED, upto))
-    return df.filter((F.col("gone") == 0) & ~_is("opener", UNWANTED)).drop("gone", "previous")
-
-
-def _memberships(df: DataFrame) -> DataFrame:
-    """Every token once per part it takes: title, preamble, main content, and each heading level."""
-    opening, closing, is_text = _kinds()
-    page = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    count = lambda flag: F.sum(F.when(opening & _is("flags", flag), 1).otherwise(0)).over(page).cast("int")
-    first = lambda flag: (_inside(flag, page) > 0) & (count(flag) == 1)
-    parent_pos = F.floor(F.col("parent") / FLAG_RANGE)
-    last = lambda cond, value: F.last(F.when(cond, value), True).over(page)
-    pos = F.col("pos").cast("long")
-    # Blocks of the main content, by rank: paragraphs, tables and spans of a subdivision, then
-    # paragraphs directly in the container.
-    rank = (F.when(_is("flags", NORMAL) & _is("parent", SUBDIVISION), 0)
-            .when(_is("flags", TABLE) & _is("parent", SUBDIVISION), 1)
-            .when(_is("flags", SPAN) & ~_is("flags", NOTE) & _is("parent", SUBDIVISION), 2)
-            .when(_is("flags", NORMAL) & _is("parent", BOX), 3))
-    df = df.withColumn("rank", F.when(opening, rank))
-    df = df.withColumns({
-        "in_title": first(TITLE), "in_preamble": first(PREAMBLE), "in_box": first(BOX),
-        "in_note": _inside(NOTE, page) > 0, "in_enum": _inside(ENUM, page) > 0, "in_cell": _inside(CELL, page) > 0,
-        "row_no": count(ROW), "cell_no": count(CELL),
-        "levels": F.collect_set(F.when(opening & _is("flags", HEADING), F.col("level"))).over(Window.partitionBy("key")),
-        "block": last(F.col("rank").isNotNull(), pos * 4 + F.col("rank")),
-        "block_level": last(F.col("rank").isNotNull(), F.col("level")),
-        "block_parent": last(F.col("rank").isNotNull(), parent_pos),
-        "enum_pos": last(opening & _is("flags", ENUM), pos),
-        "para": last(opening & _is("flags", PARA), pos * 2 + _is("flags", INLINE).cast("int")),
-        "para_level": last(opening & _is("flags", PARA), F.col("level")),
-    })
-    # A block ends when depth falls below its level once; later text belongs to no block.
-    low = F.min("depth").over(
-        Window.partitionBy("key", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn("in_block", F.coalesce(low >= F.col("block_level"), F.lit(False)))
-
-    # Level 0 stands for title, preamble and main content; the others for headings of that level.
-    rows = df.withColumn("lv", F.explode(F.concat(F.array(F.lit(0)), "levels"))).filter(F.col("depth") >= F.col("lv") - 2)
-    at_level = Window.partitionBy("key", "lv").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    on = F.col("level") == F.col("lv")
-    state = lambda p, flags, part: p.cast("long") * 128 + flags.bitwiseAND(F.lit(HEADING | ANNEX)) * 4 + part
-    head = (F.when(opening & on & _is("flags", HEADING), state(F.col("pos"), F.col("flags"), 1))
-            .when(closing & on & _is("opener", HEADING), state(F.col("opener_pos"), F.col("opener"), 2))
-            .when(closing & (F.col("level") == F.col("lv") - 1), F.lit(0)))
-    rows = rows.withColumns({
-        "head": F.last(head, True).over(at_level),
-        "sib": F.last(F.when(opening & on, pos * 2 + _is("flags", TABLE).cast("int")), True).over(at_level),
-    })
-    part = F.col("head") % 4
-    head_pos, head_flags = F.floor(F.col("head") / 128), F.floor(F.col("head") % 128 / 4)
-    block_pos, block_rank = F.floor(F.col("block") / 4), F.col("block") % 4
-    sib_pos, sib_table = F.floor(F.col("sib") / 2), F.col("sib") % 2 == 1
-    zero = F.lit(0)
-
-    def take(scope, way, head=zero, flags=zero, order=(zero, zero, zero), unit=zero, table=F.lit(False), sub=zero):
-        return F.struct(
-            F.lit(scope).alias("scope"), F.lit(way).alias("way"), head.cast("long").alias("head"),
-            flags.cast("int").alias("head_flags"), *[o.cast("long").alias(n) for o, n in zip(order, ("o1", "o2", "o3"))],
-            unit.cast("long").alias("unit"), table.alias("table"), sub.cast("long").alias("sub"))
-
-    top, below = F.col("lv") == 0, F.col("lv") > 0
-    listed = F.col("in_enum") & (F.col("para") % 2 == 1) & (F.col("depth") >= F.col("para_level"))
-    direct = block_rank == 3
-    takes = F.array(
-        F.when(top & is_text & F.col("in_title"), take(HEADER, WHOLE)),
-        F.when(top & is_text & F.col("in_preamble"), take(OPENING, WHOLE)),
-        F.when(top & is_text & F.col("in_box") & listed, take(
-            MAIN, LISTED, order=(F.lit(-1), zero, zero), unit=F.col("enum_pos"), sub=F.floor(F.col("para") / 2))),
-        F.when(top & F.col("in_box") & F.col("in_block"), take(
-            MAIN, WHOLE, order=(direct.cast("int"), F.when(direct, 0).otherwise(F.col("block_parent")), block_rank),
-            unit=block_pos, table=block_rank == 1)),
-        F.when(below & is_text & (part == 1), take(HEAD_TITLE, WHOLE, head_pos, head_flags)),
-        F.when(below & (part == 2) & (F.col("depth") >= F.col("lv")) & (is_text | sib_table), take(
-            SECTION, STRING, head_pos, head_flags, unit=F.when(sib_table, sib_pos).otherwise(pos), table=sib_table, sub=sib_pos)),
-    )
-    is_col = F.lower("tok").rlike("^<col[ />]")
-    return rows.select(
-        "key", "pos", "row_no", "cell_no", "in_cell", F.explode(takes).alias("m"),
-        F.when(is_text, F.when(F.col("in_note"), F.lit("")).otherwise(F.col("tok"))).alias("plain"),
-        F.when(is_text, F.col("tok")).alias("full"),
-        (opening & (_is("flags", NORMAL) | _is("flags", SPAN))).alias("mark"),
-        is_col.alias("is_col"), (is_col & F.contains(attribute(F.col("tok"), "width"), F.lit("4%"))).alias("narrow"),
-    ).filter(F.col("m").isNotNull()).select("*", "m.*").drop("m")
+    rows = df.select("key", F.inline(folded(without_scripts(F.col("html")))))
+    return rows.withColumns({"plain": F.when(F.col("tok").isNotNull(), F.when(F.col("in_note"), F.lit("")).otherwise(F.col("tok"))), "full": F.col("tok")})
 
 
 def _joined(text: Column, order: Column, glue: str) -> Column:
@@ -188,6 +218,10 @@ def _joined(text: Column, order: Column, glue: str) -> Column:
     return F.array_join(F.transform(rows, lambda r: r["t"]), glue)
 
 
+def _is(column: str, flag: int) -> Column:
+    return F.coalesce(F.col(column).bitwiseAND(F.lit(flag)) != 0, F.lit(False))
+
+
 def _units(df: DataFrame) -> DataFrame:
     """One text per unit: a block, an enumeration, a table, or a single string of a section."""
     base = ["key", "scope", "way", "head", "head_flags", "o1", "o2", "o3", "unit", "table"]
@@ -227,14 +261,14 @@ def _units(df: DataFrame) -> DataFrame:
         table & (F.col("n_cols") == 2) & F.col("narrow"), numbered).otherwise(F.col("regular")))
 
 
-def sections(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, section_order, title, content, section_type), in emission order.
+def sections(pages: DataFrame, key: str, html: str, implied: bool = True) -> DataFrame:
+    """(key, section_order, title, content, section_type), in emission order. ``implied``: tags end elements by ``IMPLIED``.
 
     Title and preamble come first, then the main content, then one section per heading, class by
     class.  Inside a section repeated parts are dropped, and once a part begins with "AR" the
     later strings of elements that mention it.
     """
-    units = _units(_memberships(tokens(pages, key, html)))
+    units = _units(_parts(pages, key, html, implied))
     by_section = Window.partitionBy("key", "scope", "head")
     starts_ar = F.startswith(T.strip(F.col("text")), F.lit("AR"))
     units = units.withColumns({

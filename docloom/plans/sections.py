@@ -83,15 +83,25 @@ def _escape(c):
 
 
 def legal_pages(spark, sf):
-    """One page per conversation: title, preamble, and an article with text and tables per turn."""
+    """One page per conversation: title, preamble, and an article with text, tables and a list per turn.
+
+    Even turns leave out closing tags and close two elements in the wrong order; odd ones are well formed.
+    """
     n = (F.col("turn") + 1).cast("string")
+    role = F.col("role")
     cat = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
-    article = cat(
-        '<div class="eli-subdivision" id="art"><p class="oj-ti-art">Article ', n, '</p><p class="oj-normal">', _escape(F.col("text")), "</p>",
-        '<table><col width="4%"/><col width="96%"/><tbody><tr><td><p class="oj-normal">(', n, ")</p></td><td><p>said by ", F.col("role"),
-        '<a class="oj-note-tag"> (1)</a></p></td></tr></tbody></table>',
-        "<table><tr><td>", F.col("role"), "</td><td>123</td></tr><tr><td>alone</td></tr></table>",
-        '<div class="oj-signatory"><p class="oj-normal">Signed</p></div></div>')
+
+    def article(loose):
+        end = lambda *tags: "" if loose else "".join(f"</{t}>" for t in tags)
+        return cat(
+            '<div class="eli-subdivision" id="art"><p class="oj-ti-art">Article ', n, end("p"), '<p class="oj-normal">', _escape(F.col("text")), end("p"),
+            '<table><col width="4%"/><col width="96%"><tbody><tr><td><p class="oj-normal">(', n, ")", end("p", "td"), "<td><p>said by ", role,
+            '<a class="oj-note-tag"> (1)</a>', end("p", "td", "tr", "tbody"), "</table>",
+            "<table><tr><td>", role, end("td"), "<td>123", end("td", "tr"), "<tr><td>alone", end("td", "tr"), "</table>",
+            "<ul><li>point <b>of <i>", role, "</b></i>" if loose else "</i></b></li>", "<li>last point", end("li"), "</ul>",
+            '<div class="oj-signatory"><p class="oj-normal">Signed', end("p"), "</div></div></section>" if loose else "</div></div>")
+
+    article = F.when(F.col("turn") % 2 == 0, article(True)).otherwise(article(False))
     pages = load(spark, sf, "conversations").select("conv_id", "turn", article.alias("part"))
     body = X.assemble(pages, "conv_id", "turn", "part", "\n")
     key = F.col("conv_id").cast("string")
@@ -106,7 +116,8 @@ LEGAL_SQL = f"""c AS (SELECT conv_id, turn, role, {clean_sql(strip_sql('text'))}
 d AS (SELECT conv_id, turn, role, CASE WHEN regexp_matches(s, '[a-zA-Z]{{2,}}') THEN s END AS s, CASE WHEN regexp_matches(w, '[a-zA-Z]{{2,}}') THEN w END AS w,
   '(' || (turn + 1) || ') said by ' || role AS num FROM c),
 a AS (SELECT conv_id, turn, 'Article ' || (turn + 1) AS title,
-  concat_ws(chr(10), s, CASE WHEN s IS DISTINCT FROM num THEN num END, CASE WHEN s IS DISTINCT FROM role THEN role END) AS content FROM d),
+  concat_ws(chr(10), s, CASE WHEN s IS DISTINCT FROM num THEN num END, CASE WHEN s IS DISTINCT FROM role THEN role END,
+    'point', 'of', 'last point') AS content FROM d),
 m AS (SELECT conv_id, string_agg(concat_ws(chr(10), w, num, role), chr(10) ORDER BY turn) || chr(10) || 'Closing words' AS content FROM d GROUP BY conv_id)"""
 
 

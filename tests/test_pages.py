@@ -1,5 +1,6 @@
-"""Fallback titles of links with several anchors in a block."""
+"""Links, private-use characters, elements that are not closed."""
 
+from docloom.operators import legal_sections as G
 from docloom.operators import pages as P
 
 LINK = '<a href="/legal-content/EN/TXT/?uri=OJ:L_2024{}"></a>'
@@ -25,3 +26,32 @@ def test_private_use_characters_stay(spark):
     df = spark.createDataFrame([(1, f"<article><h1>Ti\ue003tle</h1>{body}</article>")], "id long, html string")
     got = [(r.title, r.content) for r in P.heading_sections(df, "html", "id", "article").collect()]
     assert got == [("Ti\ue003tle", "\n".join(lines))]
+
+
+def sections_of(spark, body, **options):
+    df = spark.createDataFrame([(1, f'<body><div class="eli-container">{body}</div></body>')], "id long, html string")
+    return [(r.title, r.content) for r in G.sections(df, "id", "html", **options).orderBy("section_order").collect()]
+
+
+def test_sections_of_elements_that_are_not_closed(spark):
+    head = '<div class="eli-subdivision"><p class="oj-ti-art">Article {}'
+    want = [("Main Content", "One body\nTwo words"), ("Article 1", "One body\nfirst item\nsecond\ncell\nnext cell"), ("Article 2", "Two words\nterm\nmeaning")]
+    loose = (head.format(1) + '<p class="oj-normal">One body<ul><li>first item<li>second</ul><div><table><tr><td>cell<td>next cell</table></div></div>'
+             + head.format(2) + '<p class="oj-normal">Two words<dl><dt>term<dd>meaning</dl></div></section></i>')
+    closed = (head.format(1) + '</p><p class="oj-normal">One body</p><ul><li>first item</li><li>second</li></ul><div><table><tr><td>cell</td><td>next cell</td></tr></table></div></div>'
+              + head.format(2) + '</p><p class="oj-normal">Two words</p><dl><dt>term</dt><dd>meaning</dd></dl></div>')
+    assert sections_of(spark, closed) == want
+    assert sections_of(spark, loose) == want
+    crossed = head.format(1) + '</p><p>some <b>bold <i>slanted</b> words</i> end</p><p>tail</p></div>'
+    assert sections_of(spark, crossed) == [("Article 1", "some\nbold\nslanted\nwords\nend\ntail")]
+
+
+def test_implied_ends_can_be_left_out(spark):
+    body = '<div class="eli-subdivision"><p class="oj-normal">one<p class="oj-normal">two</div>'
+    assert sections_of(spark, body) == [("Main Content", "one\ntwo")]
+    assert sections_of(spark, body, implied=False) == [("Main Content", "onetwo")]  # the second is inside the first
+
+
+def test_pages_without_text(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "<p>"), (4, "</p></div>"), (5, "< a <")], "id long, html string")
+    assert G.sections(df, "id", "html").count() == 0

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import measures as M
 from docloom.functions import text as T
-from docloom.functions.arrays import let
+from docloom.functions.arrays import hold, let
+from docloom.session import materialise
 
 Scorer = Callable[[Column], Column]
 
@@ -101,51 +106,97 @@ def reduce_to(text: Column, target: Column, smallest: float = 0.15, scorer: Scor
     return let(T.word_count(text), lambda n: F.when(n > target * F.lit(1.5), shrink(n)).otherwise(text))
 
 
+# --- scorers for whole passes ---------------------------------------------------------------------
+
+#: Adds a column of scores, one for each of an array of sentences. Called with the frame, its keys, the column of sentences and the new name.
+ArrayScorer = Callable[[DataFrame, list[str], str, str], DataFrame]
+
+
+def by_expression(scorer: Scorer = term_norm) -> ArrayScorer:
+    """Scores by an expression of built-in functions."""
+    return lambda df, keys, sentences, name: df.withColumn(name, F.transform(sentences, scorer))
+
+
+def by_batches(score: Callable[[pd.Series], pd.Series]) -> ArrayScorer:
+    """Scores by a Python function of many sentences at once, a model for instance; text stays in its row."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        counts = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+        flat = texts.flatten().to_pandas()
+        scores = np.asarray(score(flat), np.float64) if len(flat) else np.empty(0)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(scores, pa.float64()))
+
+    return lambda df, keys, sentences, name: df.withColumn(name, F.arrow_udf(run, "array<double>")(F.col(sentences)))
+
+
 # A token is hot when it fills at least one 2000th of all rows; so there are at most 2000.
 HOT_SHARE = 2000
 
 
-def tfidf_scores(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, pos, sentence, score): length of every sentence's TF-IDF vector over the corpus.
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(K.WORD_TOKEN), F.lit(0))
+
+
+def _token_counts(text: Column) -> Column:
+    """array<struct<token, tf>> of one sentence; an empty array for one without tokens."""
+
+    # Token counts of one sentence: positions where a new token starts in the sorted list.
+    def cut(t):
+        marks = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1)))
+        return let(marks, lambda m: F.transform(m, lambda i, k: F.struct(
+            F.get(t, i).alias("token"), (F.coalesce(F.get(m, k + 1), F.size(t)) - i).cast("double").alias("tf"))))
+
+    return let(F.sort_array(_tokens(text)), lambda t: F.when(F.size(t) > 0, cut(t)))
+
+
+def by_tfidf(corpus: DataFrame, text: str = "text", places: int | None = 9) -> ArrayScorer:
+    """Scores by the length of a sentence's TF-IDF vector, with document frequencies of the corpus.
 
     Tokens are reduced to (sentence, token, count) inside the row.  The few hot tokens, whose
     number is bounded by their share, are weighted through a broadcast; the rest, none of which
-    can skew a partition, through a shuffle join.
+    can skew a partition, through a shuffle join.  Only numbers come back: an array of scores for each row, rounded
+    to so many places, so that equal sentences score the same in whatever order their parts were added up.
     """
-    sents = docs.select(key, F.posexplode(T.sentences(F.col(text))).alias("pos", "sentence"))
-
-    def runs(tokens):
-        # Token counts of one sentence: positions where a new token starts in the sorted list.
-        def cut(t):
-            marks = F.filter(
-                F.sequence(F.lit(0), F.size(t) - 1),
-                lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1)))
-            return let(marks, lambda m: F.transform(m, lambda i, k: F.struct(
-                F.get(t, i).alias("token"),
-                (F.coalesce(F.get(m, k + 1), F.size(t)) - i).cast("double").alias("tf"))))
-
-        return F.when(F.size(tokens) > 0, let(F.sort_array(tokens), cut))
-
-    found = F.regexp_extract_all(F.lower("sentence"), F.lit(K.WORD_TOKEN), F.lit(0))
-    rows = sents.select(key, "pos", F.explode(runs(found)).alias("r")).select(key, "pos", "r.token", "r.tf")
-    doc_tokens = docs.select(key, F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(text), F.lit(K.WORD_TOKEN), F.lit(0)))).alias("token"))
-    df = doc_tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    tokens = corpus.select(F.explode(F.array_distinct(_tokens(F.col(text)))).alias("token"))
+    df = materialise(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "document-frequencies")
+    n_docs = corpus.count()
+    total = df.agg(F.sum("df")).first()[0] or 0
     idf = df.select("token", "df", (F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-    total = df.agg(F.sum("df")).scalar()
     hot = idf.filter(F.col("df") * HOT_SHARE >= total).select("token", F.col("idf").alias("hot_idf"))
     cold = idf.filter(F.col("df") * HOT_SHARE < total).select("token", F.col("idf").alias("cold_idf"))
-    marked = rows.join(F.broadcast(hot), "token", "left")
-    weight = lambda c: F.sum(F.pow(F.col("tf") * F.col(c), F.lit(2.0))).alias("part")
-    parts = (
-        marked.filter(F.col("hot_idf").isNotNull()).groupBy(key, "pos").agg(weight("hot_idf"))
-        .unionByName(
-            marked.filter(F.col("hot_idf").isNull()).join(cold, "token").groupBy(key, "pos").agg(weight("cold_idf")))
-    )
-    scores = parts.groupBy(key, "pos").agg(F.sqrt(F.sum("part")).alias("score"))
-    return sents.join(scores, [key, "pos"], "left").select(
-        key, "pos", "sentence", F.coalesce("score", F.lit(0.0)).alias("score"))
+    unseen = F.log(F.lit(n_docs + 1.0)) + 1.0
+
+    def add(df: DataFrame, keys: list[str], sentences: str, name: str) -> DataFrame:
+        # A sentence without tokens keeps a row, so that every place has a score.
+        rows = df.select(*keys, F.posexplode(sentences).alias("pos", "sentence"))
+        rows = rows.select(*keys, "pos", F.explode_outer(_token_counts(F.col("sentence"))).alias("r")).select(*keys, "pos", "r.token", "r.tf")
+        marked = rows.join(F.broadcast(hot), "token", "left")
+        weight = lambda c: F.sum(F.pow(F.col("tf") * c, F.lit(2.0))).alias("part")
+        known = marked.filter(F.col("hot_idf").isNotNull() | F.col("token").isNull()).groupBy(*keys, "pos").agg(weight(F.col("hot_idf")))
+        other = marked.filter(F.col("hot_idf").isNull() & F.col("token").isNotNull()).join(cold, "token", "left")
+        other = other.groupBy(*keys, "pos").agg(weight(F.coalesce(F.col("cold_idf"), unseen)))
+        score = F.sqrt(F.coalesce(F.sum("part"), F.lit(0.0)))
+        scores = known.unionByName(other).groupBy(*keys, "pos").agg((score if places is None else F.round(score, places)).alias("score"))
+        each = F.sort_array(F.collect_list(F.struct("pos", "score")))
+        return df.join(scores.groupBy(*keys).agg(F.transform(each, lambda x: x["score"]).alias(name)), keys, "left")
+
+    return add
+
+
+def tfidf_scores(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, pos, sentence, score): length of every sentence's TF-IDF vector over the corpus."""
+    df = by_tfidf(docs, text, places=None)(docs.select(key, T.sentences(F.col(text)).alias("_s")), [key], "_s", "_score")
+    return df.select(key, F.posexplode(F.arrays_zip(F.col("_s").alias("s"), F.col("_score").alias("score"))).alias("pos", "_x")).select(
+        key, "pos", F.col("_x.s").alias("sentence"), F.col("_x.score").alias("score"))
+
+
+def extract_units(units: DataFrame, keys: list[str], text: str, lower: Column, upper: Column, scorer: ArrayScorer) -> DataFrame:
+    """The units with ``extract``: their sentences scored by any scorer, and selected within the bounds inside the row."""
+    df = scorer(units.withColumn("_s", T.sentences(F.col(text))), keys, "_s", "_score")
+    scored = F.transform("_s", lambda s, i: F.struct(
+        s.alias("s"), T.word_count(s).alias("n"), F.coalesce(F.get("_score", i), F.lit(0.0)).alias("score")))
+    df = hold(df, _sc=scored)
+    return df.withColumn("extract", select_sentences(F.col("_sc"), lower, upper)).drop("_s", "_score", "_sc")
 
 
 def with_scorer(chunks: DataFrame, scorer: Scorer, *keys: str, chunk: str = "chunk") -> DataFrame:

@@ -14,6 +14,7 @@ from docloom.functions import text as T
 from docloom.functions.arrays import hold
 from docloom.operators import chunking as C
 from docloom.operators import extraction as E
+from docloom.session import materialise
 
 Generator = Callable[[Column, Column, Column, Column], Column]
 
@@ -76,7 +77,13 @@ def summarise(docs: DataFrame, text: str = "text", scorer: E.Scorer = E.term_nor
               .when(tier == 1, F.col(text))
               .when(tier == 2, by_chunk(F.col(text), scorer))
               .otherwise(passes))
+    return finished(df, generator)
+
+
+def finished(df: DataFrame, generator: Generator) -> DataFrame:
+    """Summaries and their measures from total_words, tier and extract."""
     df = hold(df, extract_words=T.word_count(F.col("extract")))
+    total = F.col("total_words")
     # Tiers 1 and 2 take their bounds from the words handed to the generator, 3 and 4 from their tier.
     tier = F.col("tier")
     size = F.when(tier <= 2, F.col("extract_words")).otherwise(total)
@@ -91,6 +98,53 @@ def summarise(docs: DataFrame, text: str = "text", scorer: E.Scorer = E.term_nor
     })
 
 
+def summarise_scored(docs: DataFrame, key: str, text: str, scorer: E.ArrayScorer, generator: Generator = T.lead_summary) -> DataFrame:
+    """As ``summarise``, with one scorer of any kind (TF-IDF over a corpus, a Python model) for every pass of every tier.
+
+    Such a scorer cannot run inside an expression, so each pass is a step over the texts that still need it, written
+    before the next one. The key must be unique and not null.
+    """
+    df = hold(docs, total_words=T.word_count(F.col(text)))
+    df = hold(df, tier=M.tier(F.col("total_words")))
+    chunks = F.when(F.col("tier") == 2, C.structure_chunks(F.col(text))).otherwise(C.sentence_chunks(F.col(text)))
+    units = hold(df.filter(F.col("tier") > 1).select(key, "tier", text), _c=chunks).select(key, "tier", F.posexplode("_c").alias("_no", "_chunk"))
+    units = materialise(units.withColumn("_n", T.word_count(F.col("_chunk"))), "chunks")
+    number, n = F.col("_no") + 1, F.col("_n")
+    share = M.chunk_share(number)
+    v = F.when(number <= 2, F.lit(0.25)).otherwise(F.lit(0.2))
+
+    def bound(sign: int) -> Column:
+        # Chunks of the second tier have a target of their own, the others a share of their words.
+        target = M.chunk_target(n, number) * (F.lit(1.0) + F.lit(float(sign)) * v)
+        return F.floor(F.when(F.col("tier") == 2, target).otherwise(n * (share * F.lit(1 + sign * 0.25)))).cast("long")
+
+    first = E.extract_units(units, [key, "_no"], "_chunk", bound(-1), bound(1), scorer)
+    ordered = F.sort_array(F.collect_list(F.struct("_no", "extract")))
+    whole = first.groupBy(key, "tier").agg(F.array_join(F.transform(ordered, lambda x: x["extract"]), " ").alias("_e"))
+    whole = materialise(whole.withColumn("_n", T.word_count(F.col("_e"))), "pass")
+    goal = F.when(F.col("tier") == 3, F.lit(float(K.PASS_TARGET[3]))).otherwise(F.lit(float(K.PASS_TARGET[4])))
+    most = df.agg(F.max(F.size(pass_numbers(F.col("total_words"), F.lit(float(min(K.PASS_TARGET.values()))))))).first()[0] or 0
+    done = []
+    for _ in range(most):
+        too_long = (F.col("tier") > 2) & (n > goal * F.lit(1.5))
+        done.append(whole.filter(~too_long))
+        left = whole.filter(too_long)
+        if left.isEmpty():
+            break
+        ratio = goal / n
+        reduced = lambda f: F.floor(n * F.greatest(F.lit(0.15), ratio * F.lit(f))).cast("long")
+        whole = E.extract_units(left, [key], "_e", reduced(0.75), reduced(1.25), scorer)
+        whole = materialise(whole.select(key, "tier", F.col("extract").alias("_e"), T.word_count(F.col("extract")).alias("_n")), "pass")
+    else:
+        done.append(whole)
+    extracts = done[0]
+    for part in done[1:]:
+        extracts = extracts.union(part)
+    df = df.join(extracts.select(key, "_e"), key, "left").withColumn("extract", F.when(
+        F.col("total_words") == 0, F.lit(None).cast("string")).when(F.col("tier") == 1, F.col(text)).otherwise(F.coalesce("_e", F.lit("")))).drop("_e")
+    return finished(df, generator)
+
+
 def run_statistics(df: DataFrame) -> DataFrame:
     """Documents, mean lengths, and the mean of the non-zero ratios."""
     ratio = F.col("compression_ratio")

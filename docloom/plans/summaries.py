@@ -45,9 +45,50 @@ def sentence_chunks(spark, sf):
         "doc_id", (F.col("pos") + 1).alias("chunk_no"), "chunk", T.word_count(F.col("chunk")).alias("words"))
 
 
-@query("structure_chunks")
+# The cascade, level by level: a path of places orders the pieces, those that fit pass through.
+def _level_sql(prev: str, name: str, pieces: str) -> str:
+    return f"""{name} AS (SELECT * FROM {prev} WHERE n <= {K.MAX_TOKENS} UNION ALL SELECT doc_id, list_append(path, i), p, {count_sql('p')} FROM (
+  SELECT doc_id, path, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (SELECT doc_id, path, {pieces} AS ps FROM {prev} WHERE n > {K.MAX_TOKENS})))"""
+
+
+def _stripped_sql(pieces: str) -> str:
+    return f"list_filter(list_transform({pieces}, lambda p: {strip_sql('p')}), lambda p: p <> '')"
+
+
+def _header_sql(pattern: str) -> str:
+    return _stripped_sql(f"string_split(regexp_replace(piece, '({pattern})', chr(57344) || '\\1', 'g'), chr(57344))")
+
+
+def _numbered_sql(items: str, fresh: str) -> str:
+    """Numbers of the chunks that items (n, and whether one begins anew) are packed to."""
+    begins = f"{fresh} OR a.cur + x.n > {K.MAX_TOKENS}"
+    return f"""list_reduce(list_transform({items}, lambda x: {{n: x.n, fresh: x.fresh, cur: x.n, c: 1, out: [1]}}), lambda a, x: {{n: x.n, fresh: x.fresh,
+  cur: CASE WHEN {begins} THEN x.n ELSE a.cur + x.n END, c: CASE WHEN {begins} THEN a.c + 1 ELSE a.c END,
+  out: list_append(a.out, CASE WHEN {begins} THEN a.c + 1 ELSE a.c END)}}).out"""
+
+
+STRUCTURE_SQL = f"""h0 AS (SELECT doc_id, [0] AS path, text AS piece, {count_sql('text')} AS n FROM documents WHERE length(text) > 0),
+{_level_sql('h0', 'h1', _header_sql(K.HEADER_PATTERNS[0]))},
+{_level_sql('h1', 'h2', _header_sql(K.HEADER_PATTERNS[1]))},
+{_level_sql('h2', 'h3', _header_sql(K.HEADER_PATTERNS[2]))},
+pa AS (SELECT doc_id, path, {_stripped_sql(f"string_split_regex(piece, '{K.BLANK_LINE}')")} AS ps FROM h3 WHERE n > {K.MAX_TOKENS}),
+pb AS (SELECT doc_id, path, ps, {_numbered_sql(f"list_transform(ps, lambda p: {{n: {count_sql('p')}, fresh: false}})", 'x.fresh')} AS out FROM pa WHERE len(ps) > 0),
+pc AS (SELECT doc_id, path, unnest(ps) AS p, unnest(out) AS c, generate_subscripts(ps, 1) AS i FROM pb),
+pd AS (SELECT doc_id, list_append(path, c) AS path, string_agg(p, chr(10) || chr(10) ORDER BY i) AS piece FROM pc GROUP BY doc_id, path, c),
+h4 AS (SELECT * FROM h3 WHERE n <= {K.MAX_TOKENS} UNION ALL SELECT doc_id, path, piece, {count_sql('piece')} FROM pd),
+sa AS (SELECT doc_id, path, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM (SELECT doc_id, path, {sentence_list_sql('piece')} AS s FROM h4 WHERE n > {K.MAX_TOKENS})),
+sb AS (SELECT *, regexp_extract_all(s, '{K.WORD_SPELLED}') AS w FROM sa),
+sc AS (SELECT doc_id, path, i, 0 AS j, s AS t, len(w) AS n, false AS fresh FROM sb WHERE len(w) <= {K.MAX_TOKENS}
+  UNION ALL SELECT doc_id, path, i, generate_subscripts(w, 1), unnest(w), 1, generate_subscripts(w, 1) = 1 FROM sb WHERE len(w) > {K.MAX_TOKENS}),
+sd AS (SELECT doc_id, path, list(t ORDER BY i, j) AS t, list({{n: n, fresh: fresh}} ORDER BY i, j) AS it FROM sc GROUP BY doc_id, path),
+sf AS (SELECT doc_id, path, unnest(t) AS t, unnest({_numbered_sql('it', 'x.fresh')}) AS c, generate_subscripts(t, 1) AS i FROM sd),
+h5 AS (SELECT doc_id, path, piece FROM h4 WHERE n <= {K.MAX_TOKENS}
+  UNION ALL SELECT doc_id, list_append(path, c), string_agg(t, ' ' ORDER BY i) FROM sf GROUP BY doc_id, path, c),
+st AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY path))::INT AS chunk_no, piece AS chunk FROM h5)"""
+
+
+@query("structure_chunks", f"WITH {STRUCTURE_SQL} SELECT doc_id, chunk_no, chunk, {count_sql('chunk')} AS words FROM st")
 def structure_chunks(spark, sf):
-    """No SQL form: the cascade recurses over pieces.  Tested against a plain checker."""
     df = hold(docs(spark, sf), chunks=C.structure_chunks(F.col("text")))
     return df.select("doc_id", F.posexplode("chunks").alias("pos", "chunk")).select(
         "doc_id", (F.col("pos") + 1).alias("chunk_no"), "chunk", T.word_count(F.col("chunk")).alias("words"))
@@ -63,28 +104,20 @@ def sentence_scores(spark, sf):
     return E.tfidf_scores(docs(spark, sf), "doc_id").withColumn("score", F.round("score", 6))
 
 
-@query("extract_sentences")
-def extract_sentences(spark, sf):
-    """Extract of every structure chunk by the tier targets.  Tested against a plain checker."""
-    df = hold(docs(spark, sf), chunks=C.structure_chunks(F.col("text")))
-    chunks = df.select("doc_id", F.posexplode("chunks").alias("pos", "chunk"))
-    held = hold(chunks, extract=E.extract(F.col("chunk"), F.col("pos") + 1))
-    return held.select("doc_id", (F.col("pos") + 1).alias("chunk_no"), "extract",
-                       T.word_count(F.col("extract")).alias("words"))
-
-
-def _long_documents(spark, sf):
-    d = hold(docs(spark, sf), total_words=T.word_count(F.col("text")))
-    return d.filter(F.col("total_words") > K.TIER_BOUNDS[0])
+#: What a sentence scores: by its term counts, by those weighted over the corpus (table idf: token, idf), by its length.
+SCORES_SQL = {"terms": ("sum(c * c)::DOUBLE", "", "coalesce(sqrt(q), 0)"),
+              "tfidf": ("sum(pow(c * idf, 2))", "JOIN idf ON idf.token = t", "round(coalesce(sqrt(q), 0), 9)"),
+              "length": ("sum(c * c)::DOUBLE", "", "length(s)::DOUBLE")}
 
 
-def selection_sql(source: str, lower: str, upper: str, keys: str, p: str = "x") -> str:
+def selection_sql(source: str, lower: str, upper: str, keys: str, p: str = "x", score: str = "terms") -> str:
     """Rows (keys, chunk, lower, upper) to rows (keys, extract), by the selection rule as a fold."""
+    total, weights, value = SCORES_SQL[score]
     return f"""{p}b AS (SELECT {keys}, chunk, ({lower})::BIGINT AS lo, ({upper})::BIGINT AS hi FROM {source}),
 {p}s AS (SELECT {keys}, lo, hi, unnest({sentence_list_sql('chunk')}) AS s, generate_subscripts({sentence_list_sql('chunk')}, 1) AS i FROM {p}b),
-{p}t AS (SELECT {keys}, i, sum(c * c)::DOUBLE AS q FROM (SELECT {keys}, i, t, count(*) AS c FROM (
-  SELECT {keys}, i, unnest(regexp_extract_all(lower(s), '{K.WORD_TOKEN}')) AS t FROM {p}s) GROUP BY ALL) GROUP BY ALL),
-{p}q AS (SELECT {p}s.*, {count_sql('s')} AS n, coalesce(sqrt(q), 0) AS score FROM {p}s LEFT JOIN {p}t USING ({keys}, i)),
+{p}t AS (SELECT {keys}, i, {total} AS q FROM (SELECT {keys}, i, t, count(*) AS c FROM (
+  SELECT {keys}, i, unnest(regexp_extract_all(lower(s), '{K.WORD_TOKEN}')) AS t FROM {p}s) GROUP BY ALL) {weights} GROUP BY {keys}, i),
+{p}q AS (SELECT {p}s.*, {count_sql('s')} AS n, {value} AS score FROM {p}s LEFT JOIN {p}t USING ({keys}, i)),
 {p}f AS (SELECT *, first_value(score) OVER (PARTITION BY {keys} ORDER BY i) AS f FROM {p}q),
 {p}l AS (SELECT {keys}, list({{n: n, i: i, score: score, f: f, lo: lo, hi: hi, words: n, kept: [i], done: false}} ORDER BY score DESC, i) AS l FROM {p}f GROUP BY {keys}),
 {p}r AS (SELECT {keys}, unnest(list_reduce(l, lambda a, x: {{n: x.n, i: x.i, score: x.score, f: x.f, lo: x.lo, hi: x.hi,
@@ -95,6 +128,28 @@ def selection_sql(source: str, lower: str, upper: str, keys: str, p: str = "x")
 
 
 SHARE_SQL = "coalesce(([0.34::DOUBLE, 0.30, 0.245, 0.20, 0.165])[chunk_no], 0.125::DOUBLE)"
+
+TARGET_SQL = f"CASE WHEN {count_sql('chunk')} <= 600 THEN {count_sql('chunk')}::DOUBLE ELSE floor({count_sql('chunk')} * {SHARE_SQL}) END"
+VARIANCE_SQL = "CASE WHEN chunk_no <= 2 THEN 0.25::DOUBLE ELSE 0.2::DOUBLE END"
+CHUNK_BOUNDS = (f"floor(({TARGET_SQL}) * (1.0::DOUBLE - {VARIANCE_SQL}))", f"floor(({TARGET_SQL}) * (1.0::DOUBLE + {VARIANCE_SQL}))")
+
+
+@query("extract_sentences", f"""WITH {STRUCTURE_SQL}, {selection_sql('st', *CHUNK_BOUNDS, 'doc_id, chunk_no')}
+SELECT doc_id, chunk_no, coalesce(extract, '') AS extract, {count_sql("coalesce(extract, '')")} AS words FROM st LEFT JOIN xe USING (doc_id, chunk_no)""")
+def extract_sentences(spark, sf):
+    """Extract of every structure chunk by the tier targets."""
+    df = hold(docs(spark, sf), chunks=C.structure_chunks(F.col("text")))
+    chunks = df.select("doc_id", F.posexplode("chunks").alias("pos", "chunk"))
+    held = hold(chunks, extract=E.extract(F.col("chunk"), F.col("pos") + 1))
+    return held.select("doc_id", (F.col("pos") + 1).alias("chunk_no"), "extract",
+                       T.word_count(F.col("extract")).alias("words"))
+
+
+def _long_documents(spark, sf):
+    d = hold(docs(spark, sf), total_words=T.word_count(F.col("text")))
+    return d.filter(F.col("total_words") > K.TIER_BOUNDS[0])
+
+
 FIRST_PASS_SQL = f"""{CHUNKS_SQL},
 lc AS (SELECT ch.* FROM ch JOIN documents d USING (doc_id) WHERE {WORDS_SQL.replace('text', 'd.text')} > 600),
 {selection_sql('lc', f"floor({count_sql('chunk')} * ({SHARE_SQL} * 0.75::DOUBLE))",
@@ -150,12 +205,71 @@ def tier3_reduced(spark, sf):
     return held.select("doc_id", "extract", T.word_count(F.col("extract")).alias("words"))
 
 
-@query("summaries")
+IDF_SQL = f"""fr AS (SELECT token, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '{K.WORD_TOKEN}')) AS token FROM documents) GROUP BY token),
+idf AS (SELECT token, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (df + 1)) + 1 AS idf FROM fr)"""
+
+
+def _reduced_sql(source: str, name: str, p: str, score: str) -> str:
+    """One dependent pass over (doc_id, words, chunk): those well over their goal are reduced, the others stay."""
+    reduced = lambda f: f"floor(n * greatest(0.15::DOUBLE, goal / n * {f}::DOUBLE))"
+    return f"""{p}g AS (SELECT *, {count_sql('chunk')} AS n, CASE WHEN words <= 20000 THEN 1500::DOUBLE ELSE 2500::DOUBLE END AS goal FROM {source}),
+{p}h AS (SELECT * FROM {p}g WHERE n > goal * 1.5::DOUBLE),
+{selection_sql(p + 'h', reduced(0.75), reduced(1.25), 'doc_id', p, score)},
+{name} AS (SELECT doc_id, words, coalesce(extract, chunk) AS chunk FROM {p}g LEFT JOIN {p}e USING (doc_id))"""
+
+
+def summaries_sql(score: str) -> str:
+    """The whole flow: structure chunks for the second tier; for the others a first pass and as many as three dependent ones."""
+    share = lambda f: f"floor({count_sql('chunk')} * ({SHARE_SQL} * {f}::DOUBLE))"
+    k = "greatest(300, least(floor(size * 0.3::DOUBLE), 600))"
+    return f"""WITH {IDF_SQL}, {CHUNKS_SQL}, {STRUCTURE_SQL},
+wo AS (SELECT doc_id, text, {WORDS_SQL} AS words FROM documents),
+ta AS (SELECT st.* FROM st JOIN wo USING (doc_id) WHERE words > 600 AND words <= 2500),
+{selection_sql('ta', *CHUNK_BOUNDS, 'doc_id, chunk_no', 'k', score)},
+tb AS (SELECT doc_id, string_agg(coalesce(extract, ''), ' ' ORDER BY chunk_no) AS chunk FROM ta LEFT JOIN ke USING (doc_id, chunk_no) GROUP BY doc_id),
+tc AS (SELECT ch.*, words FROM ch JOIN wo USING (doc_id) WHERE words > 2500),
+{selection_sql('tc', share(0.75), share(1.25), 'doc_id, chunk_no', 'm', score)},
+td AS (SELECT doc_id, any_value(words) AS words, string_agg(coalesce(extract, ''), ' ' ORDER BY chunk_no) AS chunk FROM tc LEFT JOIN me USING (doc_id, chunk_no) GROUP BY doc_id),
+{_reduced_sql('td', 'te', 'u', score)},
+{_reduced_sql('te', 'tf', 'v', score)},
+{_reduced_sql('tf', 'tg', 'z', score)},
+al AS (SELECT doc_id, words, CASE WHEN words = 0 THEN NULL WHEN words <= 600 THEN text ELSE coalesce(tb.chunk, tg.chunk, '') END AS extract,
+  CASE WHEN words <= 600 THEN 1 WHEN words <= 2500 THEN 2 WHEN words <= 20000 THEN 3 ELSE 4 END AS tier
+  FROM wo LEFT JOIN tb USING (doc_id) LEFT JOIN (SELECT doc_id, chunk FROM tg) tg USING (doc_id)),
+si AS (SELECT *, {count_sql('extract')} AS extract_words, CASE WHEN tier <= 2 THEN {count_sql('extract')} ELSE words END AS size FROM al),
+bo AS (SELECT *, (CASE WHEN size <= 150 THEN 15 WHEN size <= 300 THEN 50 WHEN size <= 600 THEN 100 WHEN size <= 2500 THEN floor({k} * 0.6::DOUBLE)
+    WHEN size <= 20000 THEN 480 ELSE 600 END)::BIGINT AS lo,
+  (CASE WHEN size <= 150 THEN 50 WHEN size <= 300 THEN 100 WHEN size <= 600 THEN 200 WHEN size <= 2500 THEN floor({k} * 0.8::DOUBLE)
+    WHEN size <= 20000 THEN 600 ELSE 800 END)::BIGINT AS hi FROM si),
+su AS (SELECT *, CASE WHEN tier = 4 THEN '[LongformerBART summary (' ELSE '[BART summary (' END || lo || '-' || hi || ' words)]: ' ||
+  array_to_string((regexp_extract_all(extract, '{K.WORD_SPELLED}'))[1:lo], ' ') || '...' AS summary FROM bo)
+SELECT doc_id, tier, CASE WHEN words = 0 THEN 'empty' ELSE 'done' END AS status, words AS total_words, extract_words, summary,
+  CASE WHEN summary IS NOT NULL THEN {count_sql('summary')} END AS summary_word_count,
+  CASE WHEN words > 0 THEN round({count_sql('summary')} / words, 6) ELSE 0 END AS compression_ratio FROM su"""
+
+
+def _digest(df):
+    return df.select("doc_id", "tier", "status", "total_words", "extract_words", "summary", "summary_word_count",
+                     F.round("compression_ratio", 6).alias("compression_ratio"))
+
+
+@query("summaries", summaries_sql("terms"))
 def summaries(spark, sf):
-    """The whole flow.  Tested against a plain checker."""
-    return U.summarise(docs(spark, sf)).select(
-        "doc_id", "tier", "status", "total_words", "extract_words", "summary", "summary_word_count",
-        F.round("compression_ratio", 6).alias("compression_ratio"))
+    """The whole flow, inside the row."""
+    return _digest(U.summarise(docs(spark, sf)))
+
+
+@query("summaries_tfidf", summaries_sql("tfidf"))
+def summaries_tfidf(spark, sf):
+    """The whole flow with sentences scored by TF-IDF over the corpus in every pass."""
+    d = docs(spark, sf)
+    return _digest(U.summarise_scored(d, "doc_id", "text", E.by_tfidf(d)))
+
+
+@query("summaries_model", summaries_sql("length"))
+def summaries_model(spark, sf):
+    """The whole flow with a scorer in Python, as a model would be: here it scores a sentence by its length."""
+    return _digest(U.summarise_scored(docs(spark, sf), "doc_id", "text", E.by_batches(lambda s: s.str.len())))
 
 
 SHORT_SQL = f"""n AS (SELECT doc_id, regexp_extract_all(text, '{K.WORD_SPELLED}') AS w, {WORDS_SQL} AS words FROM documents),

@@ -108,3 +108,31 @@ def test_query_rows_match_checker(spark, texts):
     for i, t in texts.items():
         want = {k: P.extract(c, k) for k, c in enumerate(P.structure_chunks(t, 514), 1)}
         assert got.get(i, {}) == want
+
+
+def test_one_scorer_through_every_tier(spark, texts):
+    book = " ".join(f"Sentence {i} of the book says {'more and ' * (i % 9)}less." for i in range(9000))
+    rows = [*list(texts.items())[:60], (10**6, book), (10**6 + 1, ""), (10**6 + 2, " .. ! ? " * 900 + "one two. " * 700), (10**6 + 3, structured(40)), (10**6 + 4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    columns = ["tier", "extract", "summary", "summary_word_count", "compression_ratio", "status"]
+    want = {r.doc_id: [r[c] for c in columns] for r in U.summarise(df).collect()}
+    assert {r[0] for r in want.values()} == {1, 2, 3, 4}
+    out = U.summarise_scored(df, "doc_id", "text", E.by_expression())
+    assert {r.doc_id: [r[c] for c in columns] for r in out.collect()} == want
+    in_python = E.by_batches(lambda s: s.map(P.score))
+    out = U.summarise_scored(df, "doc_id", "text", in_python)
+    assert {r.doc_id: [r[c] for c in columns] for r in out.collect()} == want
+    scored = U.summarise_scored(df, "doc_id", "text", E.by_tfidf(df)).collect()
+    assert {r.doc_id: r.tier for r in scored} == {d: w[0] for d, w in want.items()}
+    for r in scored:
+        if r.tier == 3 or r.tier == 4:
+            assert r.extract_words < r.total_words
+
+
+def test_scores_keep_their_places(spark):
+    df = spark.createDataFrame([(1, "One two. ?! Three. Two two two."), (2, ""), (3, None)], "k long, text string")
+    s = df.select("k", T.sentences(F.col("text")).alias("s"))
+    got = {r.k: r.x for r in E.by_tfidf(df)(s, ["k"], "s", "x").collect()}
+    assert [x > 0 for x in got[1]] == [True, False, True, True] and not got[2] and not got[3]
+    got = {r.k: r.x for r in E.by_batches(lambda t: t.str.len())(s, ["k"], "s", "x").collect()}
+    assert got == {1: [8.0, 2.0, 6.0, 12.0], 2: [], 3: []}

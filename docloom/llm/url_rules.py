@@ -106,7 +106,8 @@ ADDED = ["rule_host", "rule_path", "rule_tier", "rule_pattern", "rule_action"]
 
 def judge(table: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """The rows of ``table`` with the columns ``ADDED``, in place of any of these names."""
-    spark = table.sparkSession
+    # Written, so that the planner knows its size.
+    rules = materialise(rules, "rules")
     loose = rules.filter(F.size("tokens") == 0).limit(LOOSE + 1).collect()
     if len(loose) > LOOSE:
         raise ValueError(f"more than {LOOSE} rules without a literal token")

@@ -16,6 +16,7 @@ from docloom.session import materialise
 from docloom.sources.tables import load
 from tests import oracle
 from tests.llm import test_operators as P
+from tests.llm.test_near_copies import cut, similar
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -49,12 +50,17 @@ def plain_stage(name, rows, con):
         first = {}
         for r, root in sorted(zip(rows, roots), key=lambda x: x[0][0]):
             first.setdefault(root, r)
-        return list(first.values())
+        kept = []  # then, in order, what is no near copy of a kept one
+        for r in first.values():
+            found = cut(r[1])
+            if not any(similar(found, x) for _, x in kept):
+                kept.append((r, found))
+        return [r for r, _ in kept]
     if name == "benchmark decontamination":
         fold = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(P.LOW))
-        cut = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
-        items = [cut(fold(t)) for (t,) in con.execute("SELECT text FROM benchmark").fetchall()]
-        return [r for r in rows if all(len(s & cut(fold(r[1]))) < 0.8 * len(s) for s in items)]
+        parts = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+        items = [parts(fold(t)) for (t,) in con.execute("SELECT text FROM benchmark").fetchall()]
+        return [r for r in rows if all(len(s & parts(fold(r[1]))) < 0.8 * len(s) for s in items)]
     if name == "mixing sources":
         con.register("stage", pd.DataFrame(rows, columns=["doc_id", "text", "source"]))
         taken = con.execute(mixture.DIGEST.replace("FROM documents", "FROM stage")).fetchall()

@@ -15,22 +15,24 @@ from docloom.streaming import ingest as I
 
 @query("incremental_ingest", "SELECT md5(text) AS celex_number, any_value(length(text))::BIGINT AS n_chars FROM documents GROUP BY 1")
 def incremental_ingest(spark, sf):
-    """Documents arrive twice, in two folders; the stream stores every key once."""
+    """Documents arrive twice, in two folders; the stream stores every key once, in folders by a hash of the key."""
     arrivals, work = shared_dir(spark, "arrivals"), shared_dir(spark, "ingest")
     docs = load_texts(spark, sf, "documents", "doc_id", "text").select(
         F.struct(F.md5("text").alias("celex_number"), F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title")).alias("metadata"),
         F.col("text").alias("content"), "doc_id")
     docs.drop("doc_id").write.json(f"{arrivals}/first")
-    I.ingest(spark, arrivals, f"{work}/table", f"{work}/checkpoint", 5)
+    I.ingest(spark, arrivals, f"{work}/table", f"{work}/checkpoint", 5, buckets=32)
     docs.filter(F.col("doc_id") % 2 == 0).drop("doc_id").write.json(f"{arrivals}/second")
-    table = I.ingest(spark, arrivals, f"{work}/table", f"{work}/checkpoint", 5)
+    table = I.ingest(spark, arrivals, f"{work}/table", f"{work}/checkpoint", 5, buckets=32)
     return table.select("celex_number", F.length("content").cast("long").alias("n_chars"))
 
 
 @query("stream_counters", "SELECT event_type, user_id, count(*)::BIGINT AS value FROM events GROUP BY ALL")
 def stream_counters(spark, sf):
+    """The events arrive in four files and are counted one by one; every batch changes some of the label sets."""
     work = shared_dir(spark, "counters")
-    return C.running_counters(spark, sf, "events.parquet", f"{work}/table", f"{work}/checkpoint", "event_type", "user_id")
+    load(spark, sf, "events").repartition(4, "user_id").write.parquet(f"{work}/events")
+    return C.running_counters(spark, f"{work}/events", "*.parquet", f"{work}/table", f"{work}/checkpoint", "event_type", "user_id", files_per_batch=1)
 
 
 @query("ingest_batch", """WITH o AS (SELECT o_orderkey, '3' || strftime(o_orderdate, '%Y') || 'R' || o_orderkey AS celex_number, strftime(o_orderdate, '%Y-%m') AS journal,

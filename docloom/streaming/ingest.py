@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom import schemas
+from docloom.session import materialise
 
 TABLE = "celex_number string, title string, content string, file string"
+#: Folders of a target, several times the keys of an ordinary batch; fixed for the life of a table.
+BUCKETS = 1024
 
 
 def _first_copies(batch: DataFrame) -> DataFrame:
@@ -24,37 +27,51 @@ def _first_copies(batch: DataFrame) -> DataFrame:
     return chosen.dropDuplicates(["celex_number"])
 
 
-def append_unseen(target: str):
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def stored_keys(spark: SparkSession, target: str, buckets: list[int]) -> DataFrame | None:
+    """The keys of these folders, the only ones that are listed; none if no such folder is there."""
+    try:
+        return spark.read.schema("celex_number string").parquet(f"{target}/bucket={{{','.join(map(str, buckets))}}}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def append_unseen(target: str, buckets: int = BUCKETS):
     """Batch writer: drop the keys already stored, then append.
 
-    Only the key column of the target is scanned, and it is reduced to the keys of the batch
-    first: a semi-join, for which Spark broadcasts small key sets or filters the scan by a bloom
-    filter.  What is shuffled grows with the batch, not with history.  A batch that is run
+    The target is partitioned by a hash of the key. Only the folders that the batch's own keys fall into are listed, and only
+    their key column is scanned, reduced to the keys of the batch: a semi-join, for which Spark broadcasts small key sets or filters the scan by a bloom
+    filter.  So a batch costs what it brings, however long the history is, down to one folder.  A batch that is run
     again after a failure finds its keys stored and adds nothing, so no state grows outside
     the table itself.
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        known = batch.sparkSession.read.schema("celex_number string").parquet(target)
-        hits = known.join(batch.select("celex_number").distinct(), "celex_number", "left_semi")
-        fresh = batch.join(hits, "celex_number", "left_anti")
-        _first_copies(fresh).select("celex_number", "title", "content", "file").write.mode("append").parquet(target)
+        rows = materialise(batch.withColumn("bucket", bucket_of(F.col("celex_number"), buckets)), "arrivals")
+        # At most as many numbers as there are folders.
+        touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
+        if not touched:
+            return
+        known = stored_keys(batch.sparkSession, target, touched)
+        fresh = rows
+        if known is not None:
+            hits = known.join(rows.select("celex_number").distinct(), "celex_number", "left_semi")
+            fresh = rows.join(hits, "celex_number", "left_anti")
+        fresh = _first_copies(fresh).select("celex_number", "title", "content", "file", "bucket")
+        # One file a folder and batch, unless a folder gets most of it.
+        fresh.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(target)
 
     return write
 
 
-def _ensure_table(spark: SparkSession, target: str) -> None:
-    try:
-        spark.read.schema(TABLE).parquet(target)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        spark.createDataFrame([], TABLE).write.mode("append").parquet(target)
-
-
-def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, files_per_batch: int = 1000) -> DataFrame:
+def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, files_per_batch: int = 1000,
+           buckets: int = BUCKETS) -> DataFrame:
     """Runs all files that have arrived below `source` into `target`; returns the target table."""
-    _ensure_table(spark, target)
     stream = (
         spark.readStream.schema(schemas.DOCUMENT)
         .option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
@@ -63,8 +80,13 @@ def ingest(spark: SparkSession, source: str, target: str, checkpoint: str, files
         .filter(F.col("celex_number").isNotNull())
     )
     run = (
-        stream.writeStream.foreachBatch(append_unseen(target))
+        stream.writeStream.foreachBatch(append_unseen(target, buckets))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    return spark.read.schema(TABLE).parquet(target)
+    try:
+        return spark.read.schema(TABLE).parquet(f"{target}/bucket=*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], TABLE)

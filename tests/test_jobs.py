@@ -5,6 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+import pytest
 from docloom.operators import dedup as D
 from docloom.operators import legal_sections as G
 from docloom.operators import lengths as L
@@ -53,6 +54,14 @@ def test_store_upsert_lookup_and_bad_files(spark, tmp_path):
     assert store.lookup(spark, path, "2024", "01", "20240105", "9").count() == 0
 
 
+def test_a_plain_tree_is_read_whole(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    line = '{"metadata": {"celex_number": "%s"}, "content": "x"}\n'
+    (tmp_path / "a" / "1.json").write_text(line % "k1" + '{"metadata": {"celex_number": ')
+    (tmp_path / "a" / "b" / "2.json").write_text(line % "k2" + '{"metadata": {"title": "x"}}\n')
+    assert {r.metadata.celex_number for r in store.scan_tree(spark, str(tmp_path)).collect()} == {"k1", "k2"}
+
+
 def test_single_document_files(spark, tmp_path):
     (tmp_path / "2024" / "20240105").mkdir(parents=True)
     (tmp_path / "2024" / "20240105" / "a.json").write_text('{\n "metadata": {"celex_number": "c1", "dates": {"Date of effect": "x"}},\n "content": "t"\n}')
@@ -205,3 +214,72 @@ def test_reserved_characters_survive_chunking(spark):
     df = spark.createDataFrame([(text,)], "t string")
     chunks = df.select(C.structure_chunks(F.col("t"), 40).alias("c")).first().c
     assert " ".join(chunks).split() == text.split() and len(chunks) == 2
+
+
+def test_ingest_lists_only_the_folders_of_a_batch(spark, tmp_path):
+    from docloom.streaming import ingest as I
+
+    target = str(tmp_path / "table")
+    batch = lambda keys: spark.createDataFrame([(k, "t", "c", "f") for k in keys], I.TABLE)
+    write = I.append_unseen(target, 16)
+    write(batch([f"k{i}" for i in range(200)]), 0)
+    folders = lambda keys: {r.b for r in batch(keys).select(I.bucket_of(F.col("celex_number"), 16).alias("b")).collect()}
+    some = folders(["k1", "k2", "new"])
+    listed = {int(f.rsplit("bucket=", 1)[1].split("/")[0]) for f in I.stored_keys(spark, target, sorted(some)).inputFiles()}
+    assert len(some) < 16 and listed == some
+    assert I.stored_keys(spark, str(tmp_path / "none"), [1]) is None
+    before = {str(f) for f in (tmp_path / "table").rglob("*.parquet")}
+    write(batch(["k1", "k2", "new", "new"]), 1)
+    write(batch(["k1", "k2", "new", "new"]), 1)  # run again
+    added = {str(f) for f in (tmp_path / "table").rglob("*.parquet")} - before
+    assert {int(f.rsplit("bucket=", 1)[1].split("/")[0]) for f in added} == folders(["new"])
+    assert spark.read.parquet(target).count() == 201
+
+
+def test_counters_write_what_changed_and_keep_one_base(spark, tmp_path):
+    from docloom.streaming.counters import CounterTable
+
+    schema = spark.createDataFrame([], "label string, value long").schema
+    table = CounterTable(spark, str(tmp_path / "t"), ["label"], schema)
+    batch = lambda rows: spark.createDataFrame(rows, schema)
+    want = {}
+    for k, rows in enumerate([[(f"l{i}", 1) for i in range(50)], [("l1", 2)], [("l1", 3), (None, 1)], [(f"l{i}", 9) for i in range(49)], [("l2", 10)]]):
+        for _ in range(2):  # every batch is run again
+            table.write(batch(rows), k)
+        want.update(rows)
+        assert {r.label: r.value for r in table.table().collect()} == want
+        side, merged = table.current()
+        assert table.changes(side, merged).count() <= table.base(side).count()
+        if k in (1, 2):
+            assert spark.read.parquet(f"{table.path}/version-{side}/changes/batch={k}").count() == len(rows)
+    assert table.base(1 - side).count() == 0
+    # A merge that dies before it points to its version changes nothing.
+    real = table.table().collect()
+    table.table().limit(1).write.mode("overwrite").parquet(f"{table.path}/version-{1 - side}/base")
+    assert sorted(map(str, table.table().collect())) == sorted(map(str, real))
+
+
+def test_an_upsert_that_dies_leaves_the_store_as_it_was(spark, tmp_path, monkeypatch):
+    from docloom.sources import documents as store
+
+    path = str(tmp_path / "store")
+    schema = store.STORED
+    def docs(rows):
+        df = spark.createDataFrame([(d, {"celex_number": d, "title": "t"}, c) for d, c, _ in rows], schema)
+        days = spark.createDataFrame([(d, day) for d, _, day in rows], "doc_id string, day string")
+        return store.with_partitions(df.join(days, "doc_id"), F.to_date("day"), F.concat("day", F.lit(" a/b [c]=%")))
+    found = lambda: {r.metadata.celex_number: r.content for r in store.scan_tree(spark, path).collect()}
+    store.store(docs([("a", "one", "2024-01-05"), ("b", "two", "2024-01-05"), ("c", "three", "2023-12-01"), ("d", "no day", None)]), path)
+    assert found() == {"a": "one", "b": "two", "c": "three", "d": "no day"}
+    with monkeypatch.context() as m:
+        m.setattr(store, "publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            store.store(docs([("a", "new", "2024-01-05"), ("e", "more", "2024-01-06")]), path)
+    assert found() == {"a": "one", "b": "two", "c": "three", "d": "no day"}
+    store.store(docs([("a", "new", "2024-01-05"), ("d", "still no day", None), ("f", "f", None)]), path)
+    assert found() == {"a": "new", "b": "two", "c": "three", "d": "still no day", "f": "f"}
+    # What an upsert does not touch is neither read nor written.
+    commits = {p: c for p, c in store._entries(spark, path)[1].items()}
+    assert len(set(commits.values())) == 2 and len(commits) == 3
+    files = store._partitioned(spark, path, {p: c for p, c in commits.items() if p[0] == "2023"}).inputFiles()
+    assert files and all("year=2023" in f for f in files)

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +58,19 @@ def pack(items: Column, sizes: Callable[[Column], Column], limit: Column | int,
     """Greedy packing of text items into joined texts, for use inside larger expressions."""
     return let(items, lambda it: let(
         pack_starts(F.transform(it, sizes), limit), lambda st: groups(it, st, glue)))
+
+
+def of_each(fn: Callable[[pd.Series], pd.Series], kind: str) -> Callable[[Column], Column]:
+    """A Python function of many texts as a column function of arrays of texts: a number (long or double) for each, in its row.
+
+    A null array gives an empty one. Elements must not be null.
+    """
+    types = {"long": (pa.int64(), np.int64), "double": (pa.float64(), np.float64)}[kind]
+
+    def run(texts: pa.Array) -> pa.Array:
+        counts = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+        flat = texts.flatten().to_pandas()
+        values = np.asarray(fn(flat), types[1]) if len(flat) else np.empty(0, types[1])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values, types[0]))
+
+    return F.arrow_udf(run, f"array<{kind}>")

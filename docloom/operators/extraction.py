@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import measures as M
 from docloom.functions import text as T
-from docloom.functions.arrays import hold, let
+from docloom.functions.arrays import hold, let, of_each
 from docloom.session import materialise
 
 Scorer = Callable[[Column], Column]
@@ -120,13 +117,8 @@ def by_expression(scorer: Scorer = term_norm) -> ArrayScorer:
 def by_batches(score: Callable[[pd.Series], pd.Series]) -> ArrayScorer:
     """Scores by a Python function of many sentences at once, a model for instance; text stays in its row."""
 
-    def run(texts: pa.Array) -> pa.Array:
-        counts = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
-        flat = texts.flatten().to_pandas()
-        scores = np.asarray(score(flat), np.float64) if len(flat) else np.empty(0)
-        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(scores, pa.float64()))
-
-    return lambda df, keys, sentences, name: df.withColumn(name, F.arrow_udf(run, "array<double>")(F.col(sentences)))
+    each = of_each(score, "double")
+    return lambda df, keys, sentences, name: df.withColumn(name, each(F.col(sentences)))
 
 
 # A token is hot when it fills at least one 2000th of all rows; so there are at most 2000.

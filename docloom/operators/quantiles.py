@@ -89,3 +89,48 @@ def percentiles(counts: DataFrame, by: Sequence[str], value: str,
         weight = position - F.floor(position)
         picks.append((at(0) + (at(1) - at(0)) * weight).cast("double").alias(f"p{i}"))
     return found.groupBy(*by).agg(*picks)
+
+
+# --- sketches ------------------------------------------------------------------------------------
+
+#: Size of a sketch; its rank error is below 0.4 % in 99 of 100 cases, and below three times that in all but a vanishing part.
+SKETCH_SIZE = 800
+RANK_ERROR = 0.0133
+
+
+def sketches(df: DataFrame, by: Sequence[str], value: str, size: int = SKETCH_SIZE) -> DataFrame:
+    """(by, sketch): a few kilobytes a group, which can be stored and merged."""
+    return df.groupBy(*by).agg(F.kll_sketch_agg_bigint(F.col(value).cast("long"), F.lit(size)).alias("sketch"))
+
+
+def merged(sketched: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sketches of coarser groups, from those of finer ones and no other data."""
+    return sketched.groupBy(*by).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+
+
+def approximate_percentiles(sketched: DataFrame, by: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(by, p, n, estimate) for each probability."""
+    each = [F.struct(F.lit(float(p)).alias("p"), F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(p))).alias("estimate")) for p in probs]
+    rows = sketched.select(*by, F.kll_sketch_get_n_bigint("sketch").alias("n"), F.explode(F.array(*each)).alias("e"))
+    return rows.select(*by, "e.p", "n", "e.estimate")
+
+
+def rank_errors(estimates: DataFrame, counts: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Adds ``rank_error``: how far each estimate's exact ranks, as shares of the rows, are from its probability.
+
+    ``counts``: the groups' value counts (columns by, value, n); they meet the few estimates of their group, and are summed up before
+    the shuffle.
+    """
+    by = list(by)
+    given = estimates.groupBy(*by).agg(F.collect_list(F.struct("p", "estimate")).alias("es"))
+    renamed = given.select(*[F.col(b).alias(f"_{b}") for b in by], "es")
+    same = F.lit(True)
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col(f"_{b}"))
+    rows = counts.join(renamed, same).select(*by, F.col(value).alias("v"), F.col("n").alias("c"), F.explode("es").alias("e"))
+    below = rows.groupBy(*by, F.col("e.p").alias("p")).agg(
+        F.sum(F.when(F.col("v") < F.col("e.estimate"), F.col("c")).otherwise(0)).alias("lower"),
+        F.sum(F.when(F.col("v") <= F.col("e.estimate"), F.col("c")).otherwise(0)).alias("upper"))
+    below = below.select(*[F.col(b).alias(f"_{b}") for b in by], F.col("p").alias("_p"), "lower", "upper")
+    error = F.greatest(F.lit(0.0), F.col("lower") / F.col("n") - F.col("p"), F.col("p") - F.col("upper") / F.col("n"))
+    return estimates.join(below, same & (F.col("p") == F.col("_p"))).select(*estimates.columns, error.alias("rank_error"))

@@ -2,79 +2,127 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.functions.ids import parse_date
 from docloom.session import materialise
 
 # --- building the schema from document records ---------------------------------------------
 
 
-def surrogate(name: Column) -> Column:
-    """Key of a dimension member, derived from its natural key: no ordering, no single task."""
-    return F.xxhash64(name)
+def numbered(written: DataFrame, id_name: str) -> DataFrame:
+    """Numbers 1, 2, 3, ... without gaps, from a written table's column ``_at`` (its rows' increasing ids).
 
+    Every partition of the job that wrote the rows counted on from a start of its own; the partitions' sizes, one row each,
+    move them together. So numbers cannot collide, and no task sees all rows.
+    """
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = written.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    rows = written.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return rows.select((F.col("_before") + place + 1).alias(id_name), *[c for c in written.columns if c != "_at"])
 
-def dimension(docs: DataFrame, values: Column, id_name: str, name: str) -> DataFrame:
+
+def at_rest(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written once with the column ``_at``."""
+    return materialise(rows.withColumn("_at", F.monotonically_increasing_id()), purpose)
+
+
+def members(docs: DataFrame, values: Column, name: str) -> DataFrame:
     """Distinct members of an array column (or of a plain column wrapped in an array)."""
-    return (
-        docs.select(F.explode(values).alias(name))
-        .filter(F.col(name).isNotNull() & (F.col(name) != ""))
-        .distinct()
-        .select(surrogate(F.col(name)).alias(id_name), name)
-    )
+    return docs.select(F.explode(values).alias(name)).filter(F.col(name).isNotNull() & (F.col(name) != "")).distinct()
 
 
-def junction(docs: DataFrame, doc_key: str, values: Column, id_name: str) -> DataFrame:
+def dimension(docs: DataFrame, values: Column, id_name: str, name: str) -> DataFrame:
+    """A dimension numbered in order of its names: sorted by range, so that no task sorts all of them."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = members(docs, values, name).repartitionByRange(n, name).sortWithinPartitions(name)
+    return numbered(at_rest(ordered, "members"), id_name)
+
+
+def natural_dimension(docs: DataFrame, values: Column, id_name: str, name: str) -> DataFrame:
+    """A dimension whose members are their own keys."""
+    return members(docs, values, name).select(F.col(name).alias(id_name), name)
+
+
+def junction(docs: DataFrame, doc_key: str, values: Column, dim: DataFrame, id_name: str, name: str) -> DataFrame:
     """Distinct (document, member) pairs; repeats inside one document go before the shuffle."""
-    return (
-        docs.select(doc_key, F.explode(F.array_distinct(values)).alias("_v"))
-        .filter(F.col("_v").isNotNull() & (F.col("_v") != ""))
-        .select(doc_key, surrogate(F.col("_v")).alias(id_name))
-        .distinct()
-    )
+    links = docs.select(doc_key, F.explode(F.array_distinct(values)).alias(name))
+    return links.join(dim.select(id_name, name), name).select(doc_key, id_name)
 
 
-def star_schema(docs: DataFrame) -> dict[str, DataFrame]:
-    """Fact, lookup, dimension and junction tables from documents in the DOCUMENT schema."""
-    # The natural key identifies a document: a 64-bit digest would collide among billions of them.
-    m = docs.select("metadata.*", "content").withColumn("document_id", F.col("celex_number"))
-    one = lambda c: F.array(F.col(c))
-    lookup = lambda c: F.when(F.col(c) != "", surrogate(F.col(c)))
-    from docloom.functions.ids import parse_date
+def one_per_celex(docs: DataFrame) -> DataFrame:
+    """The documents with a key, each key once: of several the one with the greatest digest, found by a combined maximum."""
+    key = F.col("metadata.celex_number")
+    marked = docs.filter(key.isNotNull()).withColumn("_digest", F.md5(F.to_json(F.struct(*docs.columns))))
+    best = marked.groupBy(key.alias("_key")).agg(F.max("_digest").alias("_best"))
+    same = (key == F.col("_key")) & (F.col("_digest") == F.col("_best"))
+    return marked.withColumn("_k", key).join(best, same, "left_semi").dropDuplicates(["_k"]).select(*docs.columns)
 
-    date = lambda label: parse_date(F.try_element_at("dates", F.lit(label)))
-    tables = {
-        "documents": m.select(
-            "document_id", "celex_number", "title", "identifier", "eli_uri", "html_url", "pdf_url",
-            lookup("responsible_body").alias("responsible_body_id"), lookup("form").alias("form_id"),
-            date("Date of document").alias("date_of_document"),
-            date("Date of effect").alias("date_of_effect"),
-            date("Date of end of validity").alias("date_of_end_validity"),
-            "content",
-        ),
-        "forms": dimension(m, one("form"), "form_id", "form_name"),
-        "responsible_bodies": dimension(m, one("responsible_body"), "responsible_body_id", "body_name"),
-    }
-    for dim, col, key, name in (
-        ("authors", "authors", "author_id", "name"),
-        ("eurovoc_descriptors", "eurovoc_descriptors", "descriptor_id", "descriptor_name"),
-        ("subject_matters", "subject_matters", "subject_id", "subject_name"),
-    ):
-        tables[dim] = dimension(m, F.col(col), key, name)
-        tables[f"document_{dim}"] = junction(m, "document_id", F.col(col), key)
+
+#: Dimension to the documents' column, its key and its name; the first two are looked up from the fact table.
+DIMENSIONS = {
+    "forms": ("form", "form_id", "form_name"),
+    "responsible_bodies": ("responsible_body", "responsible_body_id", "body_name"),
+    "authors": ("authors", "author_id", "name"),
+    "eurovoc_descriptors": ("eurovoc_descriptors", "descriptor_id", "descriptor_name"),
+    "subject_matters": ("subject_matters", "subject_id", "subject_name"),
+}
+LOOKUPS = ("forms", "responsible_bodies")
+TABLES = ("documents", *DIMENSIONS, "directory_codes", *[f"document_{d}" for d in (*DIMENSIONS, "directory_codes") if d not in LOOKUPS])
+
+
+def star_schema(docs: DataFrame, wanted: Collection[str] = TABLES) -> dict[str, DataFrame]:
+    """Fact, lookup, dimension and junction tables from documents in the DOCUMENT schema, ``html_content`` beside it if there is one.
+
+    Keys are numbers without gaps. Dimensions are written before facts look their names up, so the planner knows their size;
+    what is not wanted is not built.
+    """
+    html = F.col("html_content") if "html_content" in docs.columns else F.lit(None).cast("string")
+    unique = one_per_celex(docs).select("metadata.*", "content", html.alias("html_content"))
+    # Documents are numbered where they lie: their texts are not sorted for it.
+    m = numbered(at_rest(unique, "documents"), "document_id")
     pairs = F.arrays_zip(F.col("directory_codes").alias("code"), F.col("directory_descriptions").alias("label"))
     codes = m.select("document_id", F.explode(pairs).alias("d")).select(
         "document_id", F.col("d.code").alias("directory_code"), F.col("d.label").alias("directory_label"))
     codes = codes.filter(F.col("directory_code").isNotNull() & (F.col("directory_code") != ""))
-    tables["directory_codes"] = codes.groupBy("directory_code").agg(
-        F.min("directory_label").alias("directory_label")
-    ).select(surrogate(F.col("directory_code")).alias("directory_id"), "directory_code", "directory_label")
-    tables["document_directory_codes"] = codes.select(
-        "document_id", surrogate(F.col("directory_code")).alias("directory_id")).distinct()
-    return tables
+    built: dict[str, DataFrame] = {}
+
+    def dim(name: str) -> DataFrame:
+        if name not in built:
+            if name == "directory_codes":
+                labels = codes.groupBy("directory_code").agg(F.min("directory_label").alias("directory_label"))
+                built[name] = numbered(at_rest(labels, "members"), "directory_id")
+            else:
+                column, key, label = DIMENSIONS[name]
+                built[name] = dimension(m, F.array(F.col(column)) if name in LOOKUPS else F.col(column), key, label)
+        return built[name]
+
+    def links(name: str) -> DataFrame:
+        if name == "directory_codes":
+            keys = dim(name).select("directory_id", "directory_code")
+            return codes.select("document_id", "directory_code").distinct().join(keys, "directory_code").select("document_id", "directory_id")
+        column, key, label = DIMENSIONS[name]
+        return junction(m, "document_id", F.col(column), dim(name), key, label)
+
+    def facts() -> DataFrame:
+        date = lambda label: parse_date(F.try_element_at("dates", F.lit(label)))
+        known = m
+        for name in LOOKUPS:
+            column, _, label = DIMENSIONS[name]
+            known = known.join(dim(name).withColumnRenamed(label, column), column, "left")
+        return known.select(
+            "document_id", "celex_number", "title", "identifier", "eli_uri", "html_url", "pdf_url", "responsible_body_id", "form_id",
+            date("Date of document").alias("date_of_document"),
+            date("Date of effect").alias("date_of_effect"),
+            date("Date of end of validity").alias("date_of_end_validity"),
+            "content", "html_content")
+
+    return {t: facts() if t == "documents" else links(t.removeprefix("document_")) if t.startswith("document_") else dim(t) for t in wanted}
 
 
 # --- questions ---------------------------------------------------------------------------

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from docloom import constants as K
 from docloom.functions import measures as M
 from docloom.operators import lengths as L
+from docloom.operators import quantiles as Q
 from docloom.plans.registry import query
+from docloom.session import materialise
 from docloom.sources.tables import load, load_texts
 
 LONG_WORDS = 2500  # stands in for the outlier limit on a corpus whose longest text has 20,000 words
@@ -142,6 +144,17 @@ def length_percentiles(spark, sf):
     return L.corpus_percentiles(lengths(spark, sf), ("words", "chars"), (0.9, 0.95))
 
 
+@query("length_percentiles_sketched", f"""WITH {LENGTHS_SQL}, f AS (SELECT form, count(*)::BIGINT AS n FROM lengths GROUP BY form)
+SELECT form, p, n, true AS within FROM f, (VALUES (0.5::DOUBLE), (0.9), (0.95)) AS q(p)""")
+def length_percentiles_sketched(spark, sf):
+    """Word percentiles per form from sketches per form and language, held against their exact ranks."""
+    rows = lengths(spark, sf).select("form", "body", "words")
+    fine = materialise(Q.sketches(rows, ["form", "body"], "words"), "length-sketches")
+    found = Q.approximate_percentiles(Q.merged(fine, ["form"]), ["form"], (0.5, 0.9, 0.95))
+    errors = Q.rank_errors(found, Q.value_counts(rows, ["form"], "words"), ["form"], "words")
+    return errors.select("form", "p", "n", (F.col("rank_error") <= Q.RANK_ERROR).alias("within"))
+
+
 @query("form_percentiles", f"""WITH {LENGTHS_SQL}
 SELECT count(*)::BIGINT AS n_docs, round(quantile_cont(words, 0.9), 6) AS words_p90, round(quantile_cont(chars, 0.9), 6) AS chars_p90,
        count(*) FILTER (WHERE words > {LONG_WORDS})::BIGINT AS n_long FROM lengths WHERE form = 'src3'""")

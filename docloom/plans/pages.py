@@ -85,7 +85,7 @@ def page_links(spark, sf):
     return P.links(index, "html", "page_id", BASE_URL)
 
 
-def metadata_pages(spark, sf):
+def metadata_pages(spark, sf, *others):
     """A metadata page per order, in the layout of the document pages."""
     k = F.col("o_orderkey").cast("string")
     day = lambda p: F.date_format("o_orderdate", p)
@@ -108,7 +108,7 @@ def metadata_pages(spark, sf):
         "<dt>Directory code: </dt><dd><ul><li>11.40.", k, " <a><span>External </span></a><a><span>Status ", F.col("o_orderstatus"), "</span></a></li></ul></dd></dl>",
         '<dl class="NMetadata"><dt>Author: </dt><dd>Council, Customer ', F.col("o_custkey").cast("string"), "</dd>", body,
         "<dt>Form: </dt><dd>Form ", F.col("o_orderstatus"), "</dd></dl></body></html>")
-    return load_texts(spark, sf, "orders").select("o_orderkey", html.alias("html"))
+    return load_texts(spark, sf, "orders").select("o_orderkey", *others, html.alias("html"))
 
 
 @query("page_metadata", """SELECT o_orderkey, '3' || strftime(o_orderdate, '%Y') || 'R' || o_orderkey AS celex_number, 'Order & text ' || o_orderkey AS title,

@@ -17,13 +17,12 @@ BODIES = ("en", "fr", "de", "es")
 
 
 def facts(spark, sf):
-    """Fact table and its two lookups, keyed by surrogate ids."""
+    """Fact table and its two lookups, keyed by their names."""
     docs = load(spark, sf, "documents").select(
-        "doc_id", "n_chars", S.surrogate(F.col("source")).alias("form_id"),
-        S.surrogate(F.col("lang")).alias("responsible_body_id"))
+        "doc_id", "n_chars", F.col("source").alias("form_id"), F.col("lang").alias("responsible_body_id"))
     base = load(spark, sf, "documents")
-    forms = S.dimension(base, F.array("source"), "form_id", "form_name")
-    bodies = S.dimension(base, F.array("lang"), "responsible_body_id", "body_name")
+    forms = S.natural_dimension(base, F.array("source"), "form_id", "form_name")
+    bodies = S.natural_dimension(base, F.array("lang"), "responsible_body_id", "body_name")
     return docs, forms, bodies
 
 
@@ -142,12 +141,12 @@ def part_links(spark, sf, column, name):
 
 
 def part_dimension(spark, sf, column, id_name, name):
-    return S.dimension(load(spark, sf, "part"), F.array(column), id_name, name)
+    return S.natural_dimension(load(spark, sf, "part"), F.array(column), id_name, name)
 
 
 def part_counts(spark, sf, column, name):
     key = f"{name}_id"
-    links = part_links(spark, sf, column, name).select("document_id", S.surrogate(F.col(name)).alias(key))
+    links = part_links(spark, sf, column, name).select("document_id", F.col(name).alias(key))
     return S.count_by_member(links, part_dimension(spark, sf, column, key, name), key, name, "document_id").drop(key)
 
 
@@ -200,8 +199,8 @@ SUBJECT_FORM_SQL = """SELECT o_orderstatus AS form, p_type AS subject_name, coun
 @query("subject_by_form", SUBJECT_FORM_SQL)
 def subject_by_form(spark, sf):
     orders = load(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("document_id"), S.surrogate(F.col("o_orderstatus")).alias("form_id"))
-    forms = S.dimension(load(spark, sf, "orders"), F.array("o_orderstatus"), "form_id", "form")
+        F.col("o_orderkey").alias("document_id"), F.col("o_orderstatus").alias("form_id"))
+    forms = S.natural_dimension(load(spark, sf, "orders"), F.array("o_orderstatus"), "form_id", "form")
     links = part_links(spark, sf, "p_type", "subject_name")
     counts = orders.join(links, "document_id").groupBy("form_id", "subject_name").agg(
         F.count(F.lit(1)).alias("doc_count"))
@@ -280,7 +279,7 @@ AUTHORS_SQL = """a AS (SELECT o_orderkey AS k, unnest([(o_custkey) % 25, (o_cust
 
 @query("star_authors", f"WITH {AUTHORS_SQL} SELECT 'Author ' || n AS name, count(DISTINCT k)::BIGINT AS doc_count FROM a GROUP BY 1")
 def star_authors(spark, sf):
-    t = S.star_schema(document_records(spark, sf))
+    t = S.star_schema(document_records(spark, sf), ("authors", "document_authors"))
     return S.count_by_member(t["document_authors"], t["authors"], "author_id", "name", "document_id").drop("author_id")
 
 
@@ -288,7 +287,7 @@ def star_authors(spark, sf):
 SELECT DISTINCT '3' || strftime(o_orderdate, '%Y') || 'R' || lpad(k::VARCHAR, 9, '0') AS celex_number, 'Author ' || n AS name
 FROM a JOIN orders ON k = o_orderkey""")
 def star_junction(spark, sf):
-    t = S.star_schema(document_records(spark, sf))
+    t = S.star_schema(document_records(spark, sf), ("documents", "authors", "document_authors"))
     return (
         t["document_authors"].join(t["documents"].select("document_id", "celex_number"), "document_id")
         .join(t["authors"], "author_id").select("celex_number", "name")
@@ -301,7 +300,7 @@ def star_junction(spark, sf):
  CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END AS date_of_effect, NULL::VARCHAR AS date_of_end_validity,
  'Text of ' || o_orderkey AS content FROM orders""")
 def star_documents(spark, sf):
-    t = S.star_schema(document_records(spark, sf))
+    t = S.star_schema(document_records(spark, sf), ("documents", "forms", "responsible_bodies"))
     iso = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
     return S.enrich(t["documents"], t["forms"], t["responsible_bodies"]).select(
         "celex_number", F.col("form_name").alias("form"), F.col("body_name").alias("responsible_body"),
@@ -311,7 +310,7 @@ def star_documents(spark, sf):
 @query("star_directory", """SELECT code AS directory_code, 'Chapter ' || code AS directory_label, count(*)::BIGINT AS doc_count FROM (
   SELECT lpad(((o_orderkey % 20) + 1)::VARCHAR, 2, '0') || '.40' AS code FROM orders) GROUP BY ALL""")
 def star_directory(spark, sf):
-    t = S.star_schema(document_records(spark, sf))
+    t = S.star_schema(document_records(spark, sf), ("directory_codes", "document_directory_codes"))
     counts = S.count_by_member(t["document_directory_codes"], t["directory_codes"], "directory_id",
                                "directory_code", "document_id")
     return counts.join(t["directory_codes"].select("directory_id", "directory_label"), "directory_id").select(
@@ -323,7 +322,26 @@ def star_directory(spark, sf):
 UNION ALL SELECT 'Descriptor ' || (o_orderkey % 11), count(*)::BIGINT FROM orders GROUP BY 1""")
 def star_subjects(spark, sf):
     """Subjects and descriptors of the built schema, in one list."""
-    t = S.star_schema(document_records(spark, sf))
+    t = S.star_schema(document_records(spark, sf), ("subject_matters", "document_subject_matters", "eurovoc_descriptors", "document_eurovoc_descriptors"))
     subjects = S.count_by_member(t["document_subject_matters"], t["subject_matters"], "subject_id", "subject_name", "document_id")
     words = S.count_by_member(t["document_eurovoc_descriptors"], t["eurovoc_descriptors"], "descriptor_id", "descriptor_name", "document_id")
     return subjects.select("subject_name", "doc_count").union(words.select("descriptor_name", "doc_count"))
+
+
+@query("star_keys", """WITH r AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders)
+SELECT 'documents' AS name, count(*)::BIGINT AS n_rows, count(*)::BIGINT AS last_id, count(*)::BIGINT AS n_ids FROM r
+UNION ALL SELECT 'forms', count(DISTINCT o_orderstatus)::BIGINT, count(DISTINCT o_orderstatus)::BIGINT, count(DISTINCT o_orderstatus)::BIGINT FROM r
+UNION ALL SELECT 'authors', n, n, n FROM (SELECT count(DISTINCT x)::BIGINT AS n FROM (SELECT unnest([o_custkey % 25, (o_custkey + 7) % 25,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 25 ELSE (o_custkey + 3) % 25 END]) AS x FROM r))
+UNION ALL SELECT 'subject_matters', n, n, n FROM (SELECT count(DISTINCT x)::BIGINT AS n FROM (SELECT unnest([o_orderpriority, o_orderstatus]) AS x FROM r))""")
+def star_keys(spark, sf):
+    """Every other record comes twice, changed; keys of all tables count from one without gaps."""
+    records = document_records(spark, sf)
+    again = records.filter(F.regexp_extract("content", "([0-9]+)$", 1).cast("long") % 2 == 0).withColumn("content", F.lit("changed"))
+    t = S.star_schema(records.union(again), ("documents", "forms", "authors", "subject_matters"))
+    out = None
+    for name, key in (("documents", "document_id"), ("forms", "form_id"), ("authors", "author_id"), ("subject_matters", "subject_id")):
+        row = t[name].agg(F.count(F.lit(1)).alias("n_rows"), F.max(key).alias("last_id"), F.countDistinct(key).alias("n_ids")).select(
+            F.lit(name).alias("name"), "n_rows", "last_id", "n_ids")
+        out = row if out is None else out.union(row)
+    return out

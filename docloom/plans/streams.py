@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docloom.operators import pages as P
-from docloom.plans.pages import metadata_pages
+from docloom.operators import ingest as J
+from docloom.plans.pages import BASE_URL, metadata_pages
 from docloom.plans.registry import query
 from docloom.session import shared_dir
+from docloom.sources import documents as store
 from docloom.sources.tables import load, load_texts
 from docloom.streaming import counters as C
 from docloom.streaming import ingest as I
@@ -35,32 +36,36 @@ def stream_counters(spark, sf):
     return C.running_counters(spark, f"{work}/events", "*.parquet", f"{work}/table", f"{work}/checkpoint", "event_type", "user_id", files_per_batch=1)
 
 
-@query("ingest_batch", """WITH o AS (SELECT o_orderkey, '3' || strftime(o_orderdate, '%Y') || 'R' || o_orderkey AS celex_number, strftime(o_orderdate, '%Y-%m') AS journal,
-  o_orderkey % 19 = 0 AS broken, o_orderkey % 23 = 0 AS no_text, o_orderkey % 4 = 0 AS seen FROM orders)
-SELECT journal, CASE WHEN broken THEN 'metadata failed' WHEN seen THEN 'already stored' WHEN no_text THEN 'text failed' ELSE 'success' END AS status,
-  count(*)::BIGINT AS n_docs, sum(CASE WHEN NOT broken AND NOT no_text AND NOT seen THEN length('Text of ' || o_orderkey) ELSE 0 END)::BIGINT AS n_chars FROM o GROUP BY ALL""")
-def ingest_batch(spark, sf):
-    """Metadata page and text page of every document to assembled records, skipping stored keys.
-
-    Seen keys are taken out after the metadata is read, as the key is part of it.  Returns the
-    outcome per journal and status.
-    """
-    meta = P.page_metadata(metadata_pages(spark, sf), "html").drop("html").withColumnRenamed("status", "meta_status")
-    orders = load(spark, sf, "orders")
+def run_ingest(spark, sf):
+    """A metadata page and a text page for every order; some pages are broken, some keys are stored already."""
     k = F.col("o_orderkey").cast("string")
     box = F.when(F.col("o_orderkey") % 23 == 0, "other").otherwise("TexteOnly")
-    texts = P.page_text(orders.select(
-        "o_orderkey", F.concat(F.lit('<html><body><div id="'), box, F.lit('"><p>Text of '), k, F.lit("</p></div></body></html>")).alias("html")),
-        "html").select("o_orderkey", "full_text", F.col("status").alias("text_status"))
-    seen = orders.filter(F.col("o_orderkey") % 4 == 0).select(
-        F.concat(F.lit("3"), F.date_format("o_orderdate", "yyyy"), F.lit("R"), k).alias("celex_number"), F.lit(True).alias("seen"))
-    journal = orders.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("journal"))
-    status = (F.when(F.col("meta_status") != "ok", "metadata failed").when(F.col("seen"), "already stored")
-              .when(F.col("text_status") != "ok", "text failed").otherwise("success"))
-    rows = (
-        meta.select("o_orderkey", "celex_number", "meta_status").join(texts, "o_orderkey").join(journal, "o_orderkey")
-        .join(seen, "celex_number", "left").withColumn("status", status)
-    )
-    return rows.groupBy("journal", "status").agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        F.sum(F.when(F.col("status") == "success", F.length("full_text")).otherwise(0)).cast("long").alias("n_chars"))
+    text = F.concat(F.lit('<html><body><div id="'), box, F.lit('"><p>Text of '), k, F.lit("</p></div></body></html>"))
+    pages = metadata_pages(spark, sf, "o_orderdate").withColumnRenamed("html", "meta_html").select(
+        "o_orderkey", "o_orderdate", "meta_html", text.alias("text_html"), F.concat(F.lit("2024"), F.lpad(k, 8, "0")).alias("source_id"))
+    seen = load(spark, sf, "orders").filter(F.col("o_orderkey") % 4 == 0).select(
+        F.concat(F.lit("3"), F.date_format("o_orderdate", "yyyy"), F.lit("R"), k).alias("celex_number"))
+    return J.ingest(pages, seen, shared_dir(spark, "ingested-store"), BASE_URL, F.col("o_orderdate"), F.date_format("o_orderdate", "yyyy-MM"), doc_id="source_id")
+
+
+OUTCOME_SQL = """o AS (SELECT o_orderkey, o_orderdate, '3' || strftime(o_orderdate, '%Y') || 'R' || o_orderkey AS celex_number, strftime(o_orderdate, '%Y-%m') AS journal,
+  CASE WHEN o_orderkey % 19 = 0 THEN 'metadata failed' WHEN o_orderkey % 4 = 0 THEN 'already stored' WHEN o_orderkey % 23 = 0 THEN 'text failed' ELSE 'success' END AS status FROM orders)"""
+
+
+@query("ingest_batch", f"""WITH {OUTCOME_SQL} SELECT journal, status, count(*)::BIGINT AS n_docs,
+  sum(CASE WHEN status = 'success' THEN length('Text of ' || o_orderkey) ELSE 0 END)::BIGINT AS n_chars FROM o GROUP BY ALL""")
+def ingest_batch(spark, sf):
+    """The outcome per journal and status of a run that stores its records."""
+    rows = run_ingest(spark, sf).outcomes.select(F.col("journal_id").alias("journal"), "status", "n_chars")
+    return rows.groupBy("journal", "status").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_chars").cast("long").alias("n_chars"))
+
+
+@query("ingest_records", f"""WITH {OUTCOME_SQL} SELECT celex_number, 'Order & text ' || o_orderkey AS title,
+  '{BASE_URL}/legal-content/EN/TXT/?uri=OJ:L_2024' || lpad(o_orderkey::VARCHAR, 8, '0') AS html_url,
+  '{BASE_URL}/legal-content/EN/TXT/PDF/?uri=OJ:L_2024' || lpad(o_orderkey::VARCHAR, 8, '0') AS pdf_url,
+  strftime(o_orderdate, '%d/%m/%Y') AS date_of_document, 'Text of ' || o_orderkey AS content FROM o WHERE status = 'success'""")
+def ingest_records(spark, sf):
+    """The records that a run stored, read back from the store."""
+    rows = store.scan_tree(spark, run_ingest(spark, sf).path)
+    return rows.select("metadata.celex_number", "metadata.title", "metadata.html_url", "metadata.pdf_url",
+                       F.element_at("metadata.dates", "Date of document").alias("date_of_document"), "content")

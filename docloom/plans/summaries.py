@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pandas as pd
+import regex
 from pyspark.sql import functions as F
 
 from docloom import constants as K
@@ -46,8 +48,8 @@ def sentence_chunks(spark, sf):
 
 
 # The cascade, level by level: a path of places orders the pieces, those that fit pass through.
-def _level_sql(prev: str, name: str, pieces: str) -> str:
-    return f"""{name} AS (SELECT * FROM {prev} WHERE n <= {K.MAX_TOKENS} UNION ALL SELECT doc_id, list_append(path, i), p, {count_sql('p')} FROM (
+def _level_sql(prev: str, name: str, pieces: str, count) -> str:
+    return f"""{name} AS (SELECT * FROM {prev} WHERE n <= {K.MAX_TOKENS} UNION ALL SELECT doc_id, list_append(path, i), p, {count('p')} FROM (
   SELECT doc_id, path, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (SELECT doc_id, path, {pieces} AS ps FROM {prev} WHERE n > {K.MAX_TOKENS})))"""
 
 
@@ -67,19 +69,22 @@ def _numbered_sql(items: str, fresh: str) -> str:
   out: list_append(a.out, CASE WHEN {begins} THEN a.c + 1 ELSE a.c END)}}).out"""
 
 
-STRUCTURE_SQL = f"""h0 AS (SELECT doc_id, [0] AS path, text AS piece, {count_sql('text')} AS n FROM documents WHERE length(text) > 0),
-{_level_sql('h0', 'h1', _header_sql(K.HEADER_PATTERNS[0]))},
-{_level_sql('h1', 'h2', _header_sql(K.HEADER_PATTERNS[1]))},
-{_level_sql('h2', 'h3', _header_sql(K.HEADER_PATTERNS[2]))},
+def structure_sql(count=count_sql) -> str:
+    """Chunks ``st`` (doc_id, chunk_no, chunk) of all documents, by any counter."""
+    return f"""h0 AS (SELECT doc_id, [0] AS path, text AS piece, {count('text')} AS n FROM documents WHERE length(text) > 0),
+{_level_sql('h0', 'h1', _header_sql(K.HEADER_PATTERNS[0]), count)},
+{_level_sql('h1', 'h2', _header_sql(K.HEADER_PATTERNS[1]), count)},
+{_level_sql('h2', 'h3', _header_sql(K.HEADER_PATTERNS[2]), count)},
 pa AS (SELECT doc_id, path, {_stripped_sql(f"string_split_regex(piece, '{K.BLANK_LINE}')")} AS ps FROM h3 WHERE n > {K.MAX_TOKENS}),
-pb AS (SELECT doc_id, path, ps, {_numbered_sql(f"list_transform(ps, lambda p: {{n: {count_sql('p')}, fresh: false}})", 'x.fresh')} AS out FROM pa WHERE len(ps) > 0),
+pb AS (SELECT doc_id, path, ps, {_numbered_sql(f"list_transform(ps, lambda p: {{n: {count('p')}, fresh: false}})", 'x.fresh')} AS out FROM pa WHERE len(ps) > 0),
 pc AS (SELECT doc_id, path, unnest(ps) AS p, unnest(out) AS c, generate_subscripts(ps, 1) AS i FROM pb),
 pd AS (SELECT doc_id, list_append(path, c) AS path, string_agg(p, chr(10) || chr(10) ORDER BY i) AS piece FROM pc GROUP BY doc_id, path, c),
-h4 AS (SELECT * FROM h3 WHERE n <= {K.MAX_TOKENS} UNION ALL SELECT doc_id, path, piece, {count_sql('piece')} FROM pd),
+h4 AS (SELECT * FROM h3 WHERE n <= {K.MAX_TOKENS} UNION ALL SELECT doc_id, path, piece, {count('piece')} FROM pd),
 sa AS (SELECT doc_id, path, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM (SELECT doc_id, path, {sentence_list_sql('piece')} AS s FROM h4 WHERE n > {K.MAX_TOKENS})),
-sb AS (SELECT *, regexp_extract_all(s, '{K.WORD_SPELLED}') AS w FROM sa),
-sc AS (SELECT doc_id, path, i, 0 AS j, s AS t, len(w) AS n, false AS fresh FROM sb WHERE len(w) <= {K.MAX_TOKENS}
-  UNION ALL SELECT doc_id, path, i, generate_subscripts(w, 1), unnest(w), 1, generate_subscripts(w, 1) = 1 FROM sb WHERE len(w) > {K.MAX_TOKENS}),
+sb AS (SELECT *, regexp_extract_all(s, '{K.WORD_SPELLED}') AS w, {count('s')} AS n FROM sa),
+sw AS (SELECT doc_id, path, i, generate_subscripts(w, 1) AS j, unnest(w) AS t FROM sb WHERE n > {K.MAX_TOKENS}),
+sc AS (SELECT doc_id, path, i, 0 AS j, s AS t, n, false AS fresh FROM sb WHERE n <= {K.MAX_TOKENS}
+  UNION ALL SELECT doc_id, path, i, j, t, {count('t')}, j = 1 FROM sw),
 sd AS (SELECT doc_id, path, list(t ORDER BY i, j) AS t, list({{n: n, fresh: fresh}} ORDER BY i, j) AS it FROM sc GROUP BY doc_id, path),
 sf AS (SELECT doc_id, path, unnest(t) AS t, unnest({_numbered_sql('it', 'x.fresh')}) AS c, generate_subscripts(t, 1) AS i FROM sd),
 h5 AS (SELECT doc_id, path, piece FROM h4 WHERE n <= {K.MAX_TOKENS}
@@ -87,6 +92,9 @@ h5 AS (SELECT doc_id, path, piece FROM h4 WHERE n <= {K.MAX_TOKENS}
 st AS (SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY path))::INT AS chunk_no, piece AS chunk FROM h5)"""
 
 
+STRUCTURE_SQL = structure_sql()
+
+
 @query("structure_chunks", f"WITH {STRUCTURE_SQL} SELECT doc_id, chunk_no, chunk, {count_sql('chunk')} AS words FROM st")
 def structure_chunks(spark, sf):
     df = hold(docs(spark, sf), chunks=C.structure_chunks(F.col("text")))
@@ -94,6 +102,26 @@ def structure_chunks(spark, sf):
         "doc_id", (F.col("pos") + 1).alias("chunk_no"), "chunk", T.word_count(F.col("chunk")).alias("words"))
 
 
+TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+
+
+def token_count_sql(expr: str) -> str:
+    return f"coalesce(len(regexp_extract_all({expr}, '{TOKEN}')), 0)::BIGINT"
+
+
+def count_tokens(texts: pd.Series) -> pd.Series:
+    """Words and single marks, as a simple tokenizer cuts them."""
+    return texts.map(lambda t: len(regex.findall(TOKEN, t)))
+
+
+@query("structure_chunks_tokens", f"WITH {structure_sql(token_count_sql)} SELECT doc_id, chunk_no, chunk, {token_count_sql('chunk')} AS tokens FROM st")
+def structure_chunks_tokens(spark, sf):
+    """Structure chunks by a token counter in Python."""
+    df = C.structure_chunks_by(docs(spark, sf), "text", "chunks", C.count_by_batches(count_tokens))
+    df = df.select("doc_id", F.posexplode("chunks").alias("pos", "chunk"))
+    return df.select("doc_id", (F.col("pos") + 1).alias("chunk_no"), "chunk", F.regexp_count("chunk", F.lit(TOKEN)).cast("long").alias("tokens"))
+
+
 @query("sentence_scores", f"""WITH s AS (SELECT doc_id, unnest(s) AS sentence, generate_subscripts(s, 1) - 1 AS pos FROM (
   SELECT doc_id, {sentence_list_sql('text')} AS s FROM documents)),
 t AS (SELECT doc_id, pos, token, count(*) AS tf FROM (SELECT doc_id, pos, unnest(regexp_extract_all(lower(sentence), '{K.WORD_TOKEN}')) AS token FROM s) GROUP BY ALL),

@@ -136,3 +136,18 @@ def test_scores_keep_their_places(spark):
     assert [x > 0 for x in got[1]] == [True, False, True, True] and not got[2] and not got[3]
     got = {r.k: r.x for r in E.by_batches(lambda t: t.str.len())(s, ["k"], "s", "x").collect()}
     assert got == {1: [8.0, 2.0, 6.0, 12.0], 2: [], 3: []}
+
+
+def test_structure_chunks_by_any_counter(spark, texts):
+    rows = list(texts.items())[:80] + [(-1 - i, t) for i, t in enumerate(HARD)] + [(-99, None)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(8)
+    want = {r.id: r.c for r in df.select("id", C.structure_chunks(F.col("text"), 60).alias("c")).collect()}
+    for counter in (C.count_by_expression(), C.count_by_batches(lambda t: t.str.split().str.len())):
+        got = {r.id: r.c for r in C.structure_chunks_by(df, "text", "c", counter, 60).collect()}
+        assert got == want
+    # Another measure: every chunk keeps to it, unless one word alone is over it, and no word is lost.
+    out = C.structure_chunks_by(df, "text", "c", C.count_by_batches(lambda t: t.str.len()), 200).collect()
+    for r in out:
+        t = dict(rows)[r.id]
+        assert [w for c in r.c for w in c.split()] == (t or "").split()
+        assert all(sum(map(len, c.split())) <= 200 or len(c.split()) == 1 for c in r.c)

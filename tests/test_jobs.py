@@ -283,3 +283,42 @@ def test_an_upsert_that_dies_leaves_the_store_as_it_was(spark, tmp_path, monkeyp
     assert len(set(commits.values())) == 2 and len(commits) == 3
     files = store._partitioned(spark, path, {p: c for p, c in commits.items() if p[0] == "2023"}).inputFiles()
     assert files and all("year=2023" in f for f in files)
+
+
+def test_keys_of_the_star_schema_cannot_collide(spark, monkeypatch):
+    from docloom import schemas
+
+    monkeypatch.setattr(S.F, "xxhash64", lambda *c: F.lit(7))
+    def record(celex, authors, form, content="x"):
+        meta = {"celex_number": celex, "authors": authors, "form": form, "dates": {"Date of document": "05/01/2024"}, "directory_codes": ["01", "02"],
+                "directory_descriptions": ["a", "b"]}
+        return meta, content
+    rows = [record(f"c{i}", [f"n{i % 7}", f"n{i % 7}", "all", "", None], ("F", "G", "", None)[i % 4]) for i in range(40)]
+    rows += [record("c1", ["other"], "Z", "changed"), record("c1", ["other"], "Z", "changed"), record(None, ["lost"], "L"), record("c2", None, "F")]
+    t = S.star_schema(spark.createDataFrame(rows, schemas.DOCUMENT).repartition(6))
+    assert set(t) == set(S.TABLES)
+    for name, key, n in (("documents", "document_id", 40), ("authors", "author_id", None), ("forms", "form_id", None), ("directory_codes", "directory_id", 2)):
+        ids = sorted(r[key] for r in t[name].select(key).collect())
+        assert ids == list(range(1, len(ids) + 1)) and n in (None, len(ids))
+    assert sorted(r.celex_number for r in t["documents"].collect()) == sorted(f"c{i}" for i in range(40))
+    names = {r.author_id: r.name for r in t["authors"].collect()}
+    assert [names[k] for k in sorted(names)] == sorted(names.values()) and "lost" not in names.values()  # numbered in order of the names
+    docs = {r.document_id: r.celex_number for r in t["documents"].collect()}
+    links = sorted((docs[r.document_id], names[r.author_id]) for r in t["document_authors"].collect())
+    assert ("c5", "n5") in links and ("c5", "all") in links and len(links) == len(set(links))
+    forms = {r.form_id: r.form_name for r in t["forms"].collect()}
+    assert all(forms.get(r.form_id) == ("F", "G", None, None)[int(r.celex_number[1:]) % 4] for r in t["documents"].collect() if r.celex_number not in ("c1", "c2"))
+    assert set(S.star_schema(spark.createDataFrame([], schemas.DOCUMENT), ("documents", "authors"))["documents"].collect()) == set()
+
+
+def test_sketched_percentiles_of_a_large_and_a_small_group(spark):
+    from docloom.operators import quantiles as Q
+
+    df = spark.range(20000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("g"), (F.col("id") % 2).cast("string"))).alias("g"),
+                                   (F.col("id") % 5).alias("part"), (F.col("id") * 7919 % 10007).alias("v"))
+    df = df.union(spark.createDataFrame([("one", 0, 42)], "g string, part long, v long"))
+    merged = Q.merged(Q.sketches(df, ["g", "part"], "v"), ["g"])
+    got = Q.rank_errors(Q.approximate_percentiles(merged, ["g"], (0.0, 0.5, 0.99, 1.0)), Q.value_counts(df, ["g"], "v"), ["g"], "v").collect()
+    assert len(got) == 16 and sum(r.n for r in got) == 4 * 20001
+    assert all(0 <= r.rank_error <= Q.RANK_ERROR for r in got)
+    assert {r.estimate for r in got if r.g == "one"} == {42}

@@ -23,6 +23,7 @@ over as many blocks as it needs.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -44,10 +45,10 @@ CHUNK_BITS = 8
 RANK_STEP = 512
 BLOCK_IDS = 1 << 18
 END_ID = 2
-#: The memo from a piece of text to its ids: two generations of at most so many pieces.
-MEMO_PIECES = 600_000
+#: Pieces in the memo of a Python worker.
+MEMO_PIECES = 1_000_000
 #: Bytes of text encoded at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 
 #: A space between two characters that are not white space: the tokenizer's pattern always
 #: ends a piece there and starts the next one with the space, so both sides encode alone.
@@ -116,70 +117,98 @@ class Codes:
 class Encoder:
     """Whole texts to ids with the tokenizers library; a piece met again comes from a memo.
 
-    Texts are cut at single spaces by Arrow and the pieces of a slice are made distinct before any
-    Python object is built. The memo lives as long as the Python worker: pieces used while the
-    newer generation fills up stay for the next one, the others go.
+    Texts are cut at single spaces by Arrow, the pieces of a slice are made distinct and looked up there too, so Python objects
+    are built for new pieces alone. The memo (pieces, and where their ids are in a pool) lives as long as the Python worker; when it
+    would hold more than ``MEMO_PIECES``, only the pieces of the slice stay.
     """
 
-    shared: dict[str, "Encoder"] = {}
+    shared: dict[tuple[str, int], "Encoder"] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.old: dict[str, bytes] = {}
-        self.new: dict[str, bytes] = {}
+        self.keys = pa.array([], pa.string())
+        self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pool = np.array([end_id], "<u4")  # the end id is the first one
 
     @classmethod
-    def of(cls, path: str) -> "Encoder":
-        if path not in cls.shared:
-            cls.shared[path] = cls(path)
-        return cls.shared[path]
-
-    def look_up(self, pieces: list[str]) -> list[bytes]:
-        """Little-endian uint32 ids of each piece."""
-        out = [self.new.get(p) or self.old.get(p) for p in pieces]
-        fresh = list({p for p, found in zip(pieces, out) if found is None})
-        encoded = {}
-        for lo in range(0, len(fresh), 50_000):
-            some = fresh[lo:lo + 50_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                encoded[piece] = np.array(found.ids, "<u4").tobytes()
-        if fresh:
-            out = [encoded[p] if found is None else found for p, found in zip(pieces, out)]
-        if len(self.new) + len(pieces) > MEMO_PIECES:
-            self.old, self.new = self.new, {}
-        self.new.update(zip(pieces, out))
-        return out
-
-    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def of(cls, path: str, end_id: int = END_ID) -> "Encoder":
+        if (path, end_id) not in cls.shared:
+            cls.shared[path, end_id] = cls(path, end_id)
+        return cls.shared[path, end_id]
+
+    def add(self, pieces: pa.Array) -> None:
+        """Encodes pieces that are not in the memo."""
+        texts = pieces.to_pylist()
+        found = []
+        for lo in range(0, len(texts), 50_000):
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(texts[lo:lo + 50_000], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(itertools.chain.from_iterable(found), "<u4", int(lengths.sum()))
+        self.keys = pa.concat_arrays([self.keys, pieces])
+        self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
+        self.pool = np.concatenate((self.pool, ids))
+
+    def keep(self, places: np.ndarray) -> np.ndarray:
+        """Forgets all pieces but those at these places, and returns where they are now."""
+        some, now = np.unique(places, return_inverse=True)
+        lengths = self.lengths[some]
+        ids = self.pool[spans(self.starts[some], lengths)]
+        self.keys, self.lengths, self.starts = self.keys.take(pa.array(some)), lengths, 1 + np.cumsum(lengths) - lengths
+        self.pool = np.concatenate((self.pool[:1], ids))
+        return now
+
+    def look_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each piece are in the pool, and how many."""
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = at < 0
+        if new.any():
+            asked = pieces.filter(pa.array(new)).dictionary_encode()
+            if len(self.keys) + len(asked.dictionary) > MEMO_PIECES:
+                at[~new] = self.keep(at[~new])
+            at[new] = len(self.keys) + asked.indices.to_numpy()
+            self.add(asked.dictionary)
+        return self.starts[at], self.lengths[at]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id behind it, and how many each has."""
         texts = pc.fill_null(texts, "")
-        other = pc.match_substring_regex(texts, BESIDE_SPACE)
-        heads = {}
-        for i in np.flatnonzero(other.to_numpy(zero_copy_only=False)):
-            first, *rest = CUT.split(texts[i].as_py())
-            heads[int(i)] = b"".join(self.look_up([first, *(" " + x for x in rest)]))
-        lists = pc.split_pattern(pc.if_else(other, "", texts), " ")
-        offsets = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+        other = pc.match_substring_regex(texts, BESIDE_SPACE).to_numpy(zero_copy_only=False).astype(bool)
+        lists = pc.split_pattern(texts.filter(pa.array(~other)), " ")
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         found = lists.flatten().dictionary_encode()
-        distinct, at = found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
-        values = self.look_up([" " + x for x in distinct])
+        distinct, at = found.dictionary, found.indices.to_numpy().astype(np.int64)
         # The first piece of a text has no space before it.
-        firsts = offsets[:-1]
-        plain = self.look_up([distinct[i] for i in at[firsts]])
-        at[firsts] = len(values) + np.arange(len(firsts))
-        values += [heads.get(i, ids) for i, ids in enumerate(plain)]
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        starts = np.cumsum(lengths) - lengths
-        pool = np.frombuffer(b"".join(values), "<u4")
-        take = lengths[at]
-        ends = np.cumsum(take)
-        ids = pool[np.repeat(starts[at] - (ends - take), take) + np.arange(ends[-1])]
-        counts = np.add.reduceat(take, firsts)
-        return np.insert(ids, np.cumsum(counts), end_id).astype("<u4"), counts + 1
+        firsts = np.cumsum(sizes) - sizes
+        heads = distinct.take(pa.array(at[firsts]))
+        at[firsts] = len(distinct) + np.arange(len(firsts))
+        cut = [CUT.split(texts[int(i)].as_py()) for i in np.flatnonzero(other)]
+        odd = [piece for first, *rest in cut for piece in (first, *(" " + x for x in rest))]
+        asked = pa.concat_arrays([pc.binary_join_element_wise(" ", distinct, ""), heads, pa.array(odd, pa.string())])
+        starts, lengths = self.look_up(asked)
+        # The pieces of all texts in a row, with the end behind each.
+        pieces = np.empty(len(texts), np.int64)
+        pieces[~other], pieces[other] = sizes, [len(c) for c in cut]
+        ends = np.cumsum(pieces + 1) - 1
+        order = np.full(int(ends[-1]) + 1, len(asked), np.int64)
+        from_odd = np.repeat(other, pieces + 1)
+        ordinary = np.ones(len(order), bool)
+        ordinary[ends] = False
+        order[ordinary & ~from_odd] = at
+        order[ordinary & from_odd] = len(asked) - len(odd) + np.arange(len(odd))
+        starts, lengths = np.append(starts, 0)[order], np.append(lengths, 1)[order]
+        return self.pool[spans(starts, lengths)], np.add.reduceat(lengths, ends - pieces)
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all spans, one behind the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +228,7 @@ def block_rows(path: str, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encoder = Encoder.of(path)
+        encoder = Encoder.of(path, end_id)
         schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n", pa.int32()),
                             ("doc_no", pa.list_(pa.int64())), ("doc_id", pa.list_(pa.int64())),
                             ("doc_n", pa.list_(pa.int32())), ("payload", pa.binary())])
@@ -217,7 +246,7 @@ def block_rows(path: str, end_id: int):
 
         number = 0
         for some in slices(batches):
-            ids, counts = encoder.encode(some.column(1), end_id)
+            ids, counts = encoder.encode(some.column(1))
             at = 0
             for doc_id, count in zip(some.column(0).to_pylist(), counts.tolist()):
                 last = at + count

@@ -409,3 +409,23 @@ def test_sharding(spark, docs, rows, none):
     region = {s.number: s.region for s in heavy}
     assert all(region[z] == "region0" for _, z in moved)
     assert sharding.place(none, sharding.even_topology(8)).count() == 0
+
+
+def test_encoder_forgets_and_finds_pieces(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "MEMO_PIECES", 30)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 60, rng.integers(0, 12))) for _ in range(60)]
+    texts += [None, "", " ", "  two  spaces ", "end ", " start", "line\nbreak here", "tab\t and nbsp a", "<|endoftext|> it's.", "a"]
+    plain = Tokenizer.from_file(token_files.default_tokenizer())
+    plain.encode_special_tokens = True
+    encoder = token_files.Encoder(token_files.default_tokenizer(), 2)
+    for lo in (0, 5, 40, 0, 60):
+        some = texts[lo:lo + 20]
+        ids, counts = encoder.encode(pa.array(some, pa.string()))
+        want = [plain.encode(t or "", add_special_tokens=False).ids + [2] for t in some]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    assert len(encoder.keys) < 200

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions.arrays import hold
+from docloom.operators import heavy as H
 
 
 def tokens(text: Column, pattern: str) -> Column:
@@ -20,12 +21,11 @@ def unigram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return kept.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ngram_counts(docs: DataFrame, n: int, min_docs: int = 2, text: str = "text") -> DataFrame:
-    """Total count and document frequency of n-grams over tokens left after the stop words.
+def ngrams(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
+    """(ngram, first) of all n-grams over tokens left after the stop words; first is 1 once for each document, else 0.
 
     The sequences of a document are sorted inside its row, so that the first of each run stands
-    for the document.  Document frequency is then a plain sum beside the total: one shuffle,
-    keyed by n-gram and combined before it, and no shuffle by document.
+    for the document.  Document frequency is then a plain sum beside the total, without a shuffle by document.
     """
     kept = F.filter(tokens(F.col(text), K.GRAM_TOKEN), lambda t: ~t.isin(*K.STOP_WORDS))
     rows = hold(docs.select(text), t=kept).filter(F.size("t") >= n)
@@ -35,11 +35,18 @@ def ngram_counts(docs: DataFrame, n: int, min_docs: int = 2, text: str = "text")
     rows = hold(rows.select("t"), g=grams)
     marked = F.transform(
         F.col("g"),
-        lambda gram, i: F.struct(gram.alias("gram"), F.when(
+        lambda gram, i: F.struct(gram.alias("ngram"), F.when(
             (i > 0) & (F.get(F.col("g"), i - 1) == gram), F.lit(0)).otherwise(F.lit(1)).alias("first")))
-    return (
-        rows.select(F.explode(marked).alias("m"))
-        .groupBy(F.col("m.gram").alias("ngram"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("m.first").alias("n_docs"))
-        .filter(F.col("n_docs") >= min_docs)
-    )
+    return rows.select(F.inline(marked))
+
+
+def ngram_counts(docs: DataFrame, n: int, min_docs: int = 2, text: str = "text") -> DataFrame:
+    """Total count and document frequency of all n-grams in enough documents: one shuffle, combined before it."""
+    counts = ngrams(docs, n, text).groupBy("ngram").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("n_docs"))
+    return counts.filter(F.col("n_docs") >= min_docs)
+
+
+def top_ngrams(docs: DataFrame, n: int, k: int, min_docs: int = 2, text: str = "text") -> DataFrame:
+    """The k most frequent n-grams in enough documents; only those that can be among them are shuffled by themselves."""
+    best = H.most_frequent(ngrams(docs, n, text), ["ngram"], k, sums=["first"], keep=F.col("first") >= min_docs)
+    return best.withColumnRenamed("first", "n_docs")

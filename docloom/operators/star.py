@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions.ids import parse_date
+from docloom.operators import heavy as H
 from docloom.session import materialise
 
 # --- building the schema from document records ---------------------------------------------
@@ -168,59 +169,38 @@ def pivot_counts(counts: DataFrame, index: str, column: str, values: Sequence[st
 BLOCK = 256
 
 
-def _pair_blocks(links: DataFrame, doc: str, member: str) -> DataFrame:
-    """Cut the members of a document into blocks and key every block pair separately.
+def pairs_of(links: DataFrame, doc: str, member: str) -> DataFrame:
+    """(member1, member2), the lesser first, of every two members of a document; from distinct (document, member) links.
 
-    A document with very many members is spread over (blocks * (blocks + 1) / 2) join keys of
-    bounded size instead of being paired in one task; an ordinary document is a single block.
+    The members of a document are gathered in blocks of about ``BLOCK``, and paired within a block inside the row. An
+    ordinary document is a single block; one with very many members is spread over its pairs of blocks.
     """
     sizes = links.groupBy(doc).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    blocked = links.join(sizes, doc).withColumn(
-        "block", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
-    return blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        doc, member, "block",
-        F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    blocked = links.join(sizes, doc).withColumn("block", F.pmod(F.xxhash64(member), F.col("blocks")).cast("int"))
+    arrays = blocked.groupBy(doc, "block").agg(F.sort_array(F.collect_list(member)).alias("m"), F.max("blocks").alias("blocks"))
+    pair = lambda a, b: F.struct(a.alias("member1"), b.alias("member2"))
+    within = F.flatten(F.transform("m", lambda a, i: F.transform(F.slice("m", i + 2, F.size("m")), lambda b: pair(a, b))))
+    inside = arrays.select(F.inline(within))
+    x = arrays.filter(F.col("blocks") > 1).select(doc, "block", "m")
+    y = x.select(F.col(doc).alias("_doc"), F.col("block").alias("_block"), F.col("m").alias("_m"))
+    across = F.flatten(F.transform("m", lambda a: F.transform("_m", lambda b: pair(F.least(a, b), F.greatest(a, b)))))
+    between = x.join(y, (F.col(doc) == F.col("_doc")) & (F.col("block") < F.col("_block"))).select(F.inline(across))
+    return inside.union(between)
 
 
 def pair_counts(links: DataFrame, doc: str, member: str) -> DataFrame:
-    """Documents per unordered pair of members, from distinct (document, member) links."""
-    b = _pair_blocks(links, doc, member)
-    x, y = b.alias("x"), b.alias("y")
-    same = (
-        (F.col(f"x.{doc}") == F.col(f"y.{doc}"))
-        & (F.col("x.lo") == F.col("y.lo"))
-        & (F.col("x.hi") == F.col("y.hi"))
-        & (F.col(f"x.{member}") < F.col(f"y.{member}"))
-        & ((F.col("x.lo") == F.col("x.hi")) | (F.col("x.block") != F.col("y.block")))
-    )
-    return (
-        x.join(y, same)
-        .groupBy(F.col(f"x.{member}").alias("member1"), F.col(f"y.{member}").alias("member2"))
-        .agg(F.count(F.lit(1)).alias("pair_count"))
-    )
+    """Documents per unordered pair of members."""
+    return pairs_of(links, doc, member).groupBy("member1", "member2").agg(F.count(F.lit(1)).alias("pair_count"))
 
 
-def top_pairs(links: DataFrame, doc: str, member: str, k: int, seeds: int = 64) -> DataFrame:
-    """The k most frequent pairs, exactly, without pairing rare members.
+def top_pairs(links: DataFrame, doc: str, member: str, k: int, seeds: int = H.SEEDS) -> DataFrame:
+    """The k most frequent pairs, exactly; pairs that cannot be among them are counted by bucket only and never shuffled.
 
-    The pairs among the few most frequent members give a lower bound for the k-th best count.
-    A pair never occurs more often than its rarer member, so members below that bound cannot
-    take part and are dropped before any pair is formed.  The bound is a scalar, not a sample:
-    every pair that can reach the result is still counted in full.  The distinct links are
-    written once, as four steps read them.
+    This holds for flat degrees too, where no member can be left out. The distinct links are written once, as several steps read them.
     """
     links = materialise(links.select(doc, member), "links")
-    degree = links.groupBy(member).agg(F.count(F.lit(1)).alias("degree"))
-    seed = degree.orderBy(F.desc("degree"), member).limit(seeds).select(member)
-    bound = (
-        pair_counts(links.join(seed, member, "left_semi"), doc, member)
-        .orderBy(F.desc("pair_count")).limit(k)
-        .agg(F.when(F.count(F.lit(1)) >= k, F.min("pair_count")).otherwise(F.lit(1)))
-        .scalar()
-    )
-    able = degree.filter(F.col("degree") >= bound).select(member)
-    return pair_counts(links.join(able, member, "left_semi"), doc, member).orderBy(
-        F.desc("pair_count"), "member1", "member2").limit(k)
+    best = H.most_frequent(pairs_of(links, doc, member), ["member1", "member2"], k, seeds=seeds)
+    return best.withColumnRenamed("n", "pair_count")
 
 
 def missing_report(df: DataFrame) -> DataFrame:

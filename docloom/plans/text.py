@@ -124,9 +124,9 @@ HAVING count(DISTINCT doc_id) >= 2 ORDER BY 2 DESC, 1 LIMIT 20"""
 
 @query("top_bigrams", _gram_sql(2))
 def top_bigrams(spark, sf):
-    return S.top(N.ngram_counts(docs(spark, sf), 2), 20, "n", "ngram")
+    return N.top_ngrams(docs(spark, sf), 2, 20)
 
 
 @query("top_trigrams", _gram_sql(3))
 def top_trigrams(spark, sf):
-    return S.top(N.ngram_counts(docs(spark, sf), 3), 20, "n", "ngram")
+    return N.top_ngrams(docs(spark, sf), 3, 20)

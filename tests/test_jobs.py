@@ -322,3 +322,34 @@ def test_sketched_percentiles_of_a_large_and_a_small_group(spark):
     assert len(got) == 16 and sum(r.n for r in got) == 4 * 20001
     assert all(0 <= r.rank_error <= Q.RANK_ERROR for r in got)
     assert {r.estimate for r in got if r.g == "one"} == {42}
+
+
+def test_most_frequent_keys_with_collisions_and_without(spark, monkeypatch):
+    from docloom.operators import heavy as H
+
+    rows = [(f"k{i}", i % 2) for i in range(300) for _ in range(1 + (i * 7) % 23)] + [(None, 1)] * 30
+    df = spark.createDataFrame(rows, "key string, odd int").repartition(5)
+    want = sorted(Counter(k for k, _ in rows if k).items(), key=lambda x: (-x[1], x[0]))
+    for buckets, seeds in ((1 << 20, 1024), (64, 3), (1, 1), (5, 1)):
+        monkeypatch.setattr(H, "BUCKETS", buckets)
+        got = H.most_frequent(df, ["key"], 8, sums=["odd"], seeds=seeds).collect()
+        assert got[0].key is None and got[0].n == got[0].odd == 30
+        assert [(r.key, r.n) for r in got[1:]] == want[:7]
+        odd = H.most_frequent(df, ["key"], 5, sums=["odd"], keep=F.col("odd") >= 1, seeds=seeds).collect()
+        assert [(r.key, r.n) for r in odd[1:]] == [(k, n) for k, n in want if int(k[1:]) % 2][:4]
+    assert H.most_frequent(df.limit(0), ["key"], 3).count() == 0
+
+
+def test_pairs_of_flat_degrees_are_not_counted_one_by_one(spark, monkeypatch):
+    from docloom.operators import heavy as H
+
+    monkeypatch.setattr(H, "BUCKETS", 4096)
+    docs = [[(7 * d + 13 * j * (d % 11 + 1)) % 997 for j in range(5)] for d in range(3000)] + [[1, 2, 3]] * 40
+    links = spark.createDataFrame([(d, m) for d, ms in enumerate(docs) for m in set(ms)], "doc long, member long")
+    want = Counter(p for ms in docs for p in itertools.combinations(sorted(set(ms)), 2))
+    pairs = S.pairs_of(links, "doc", "member")
+    assert pairs.count() == sum(want.values())
+    left = H.reaching(pairs, ["member1", "member2"], 3).distinct().count()
+    assert 3 <= left < len(want) / 50
+    top = [(r.member1, r.member2, r.pair_count) for r in S.top_pairs(links, "doc", "member", 3).collect()]
+    assert top == sorted(((*p, n) for p, n in want.items()), key=lambda x: (-x[2], x[0], x[1]))[:3]

@@ -42,6 +42,30 @@ def parse_timestamp(text: Column) -> Column:
     return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}"), F.try_to_timestamp(text))
 
 
+def coerced_timestamp(text: Column) -> Column:
+    """A timestamp from text in any of several shapes, or null.
+
+    Year first (dashes, slashes, or digits alone), month first with slashes (day first where the first number is no month), day first
+    with dots, and English month names; a time of day may follow.
+    """
+    parts = F.regexp_extract(F.trim(text), r"^(.*?)(?:[ T]+(\d{1,2}:\d{2}(?::\d{2})?))?$", 1)
+    time = F.regexp_extract(F.trim(text), r"[ T](\d{1,2}:\d{2}(?::\d{2})?)$", 1)
+    named = F.initcap(F.lower(F.regexp_replace(parts, r"[ ,]+", " ")))
+
+    def shaped(value, pattern, *formats):
+        # Texts of another shape never reach the parser.
+        return F.coalesce(*[F.when(value.rlike(pattern), F.try_to_date(value, f)) for f in formats])
+
+    day = F.coalesce(
+        shaped(parts, r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"), shaped(parts, r"^\d{4}-\d{1,2}$", "yyyy-M"),
+        shaped(parts, r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), shaped(parts, r"^\d{8}$", "yyyyMMdd"),
+        shaped(parts, r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy", "d/M/yyyy"), shaped(parts, r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+        shaped(named, r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"), shaped(named, r"^\d{1,2} [A-Z][a-z]{2,} \d{4}$", "d MMMM yyyy"),
+        shaped(named, r"^[A-Z][a-z]{2} \d{1,2} \d{4}$", "MMM d yyyy"), shaped(named, r"^[A-Z][a-z]{2,} \d{1,2} \d{4}$", "MMMM d yyyy"))
+    full = F.when(F.length(time) == 0, "00:00:00").when(F.length(time) <= 5, F.concat(time, F.lit(":00"))).otherwise(time)
+    return F.try_to_timestamp(F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), F.when(day.isNotNull(), full)))
+
+
 def daily_view_url(base: str, day: Column) -> Column:
     return F.concat(F.lit(f"{base}/oj/daily-view/L-series/default.html?ojDate="),
                     F.date_format(day, "ddMMyyyy"))

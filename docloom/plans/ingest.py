@@ -81,6 +81,21 @@ def parse_dates(spark, sf):
         F.date_format(I.parse_timestamp(F.col("raw")), "yyyy-MM-dd HH:mm:ss").alias("moment"))
 
 
+SHAPES = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "MM/dd/yyyy", "dd.MM.yyyy", "dd MMMM yyyy", "MMM dd, yyyy")
+
+
+@query("coerced_timestamps", """SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 8 THEN NULL WHEN o_orderkey % 9 = 7 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 14:05:00'
+  ELSE strftime(o_orderdate, '%Y-%m-%d 00:00:00') END AS moment FROM orders""")
+def coerced_timestamps(spark, sf):
+    """Dates in seven shapes, one with a time, and texts that are no dates."""
+    k = F.col("o_orderkey") % 9
+    raw = F.when(k == 7, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T14:05")))
+    for i, shape in enumerate(SHAPES):
+        raw = raw.when(k == i, F.date_format("o_orderdate", shape))
+    raw = raw.otherwise(F.concat(F.lit("no date "), F.col("o_orderkey").cast("string")))
+    return load(spark, sf, "orders").select("o_orderkey", F.date_format(I.coerced_timestamp(raw), "yyyy-MM-dd HH:mm:ss").alias("moment"))
+
+
 @query("metadata_validation", """SELECT o_orderkey,
   CASE WHEN o_orderkey % 13 = 0 THEN 'title' WHEN o_orderkey % 17 = 0 THEN 'title' ELSE '' END AS errors,
   CASE o_orderkey % 4 WHEN 0 THEN 'A/' || strftime(o_orderdate, '%Y') || '/' || o_orderkey WHEN 1 THEN 'B/2024/' || o_orderkey || '/XYZ' ELSE '' END AS identifier

@@ -58,15 +58,15 @@ def page_sections(spark, sf):
 
 @query("page_links", """WITH l AS (SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a href="([^"]*)">([^<]*)</a>', 1)) AS href,
   unnest(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a href="([^"]*)">([^<]*)</a>', 2)) AS label FROM pages),
-x AS (SELECT page_id, (row_number() OVER (PARTITION BY page_id))::INT AS link_no, href, label FROM l)
+x AS (SELECT page_id, (row_number() OVER (PARTITION BY page_id))::INT AS link_no, href, label, count(*) OVER (PARTITION BY page_id) AS n FROM l)
 SELECT page_id, link_no, 'https://example.org/legal-content/EN/TXT/?uri=OJ:L_2024' || lpad((page_id * 10 + link_no)::VARCHAR, 5, '0') || '&from=EN' AS url,
-  'Doc ' || link_no AS title, '2024' || lpad((page_id * 10 + link_no)::VARCHAR, 5, '0') AS document_id
+  'Doc ' || link_no || CASE WHEN link_no % 4 = 1 THEN '' WHEN link_no = n THEN ' and  end' ELSE ' and other end' END AS title, '2024' || lpad((page_id * 10 + link_no)::VARCHAR, 5, '0') AS document_id
 FROM x WHERE link_no % 2 = 1 AND lpad((page_id * 10 + link_no)::VARCHAR, 5, '0')[1] <> '9'""")
 def page_links(spark, sf):
     """Index pages rendered from the navigation of every page.
 
-    Odd entries become document links (empty anchors take the title of their list item), even
-    ones keep their foreign address.
+    Odd entries become document links, even ones keep their foreign address. Every second document link has no text and shares its list
+    item with the entry behind it, so its title is the text of the whole item.
     """
     nav = F.regexp_extract_all(F.regexp_extract("html", "(?s)<nav>(.*?)</nav>", 1), F.lit('<a href="([^"]*)">'), F.lit(1))
 
@@ -74,9 +74,10 @@ def page_links(spark, sf):
         no = F.lpad((F.col("page_id") * 10 + i + 1).cast("string"), 5, "0")
         label = F.concat(F.lit("Doc "), (i + 1).cast("string"))
         doc = F.concat(F.lit('<a class="x" href="/legal-content/EN/TXT/?uri=OJ:L_2024'), no, F.lit('&amp;from=EN">'))
-        titled = F.when(i % 4 == 0, F.concat(doc, label, F.lit("</a>"))).otherwise(F.concat(label, doc, F.lit("</a>")))
-        return F.concat(F.lit("<li>"), F.when(i % 2 == 0, titled).otherwise(
-            F.concat(F.lit('<a href="'), href, F.lit('">other</a>'))), F.lit("</li>"))
+        other = lambda h: F.concat(F.lit('<a href="'), h, F.lit('">other</a>'))
+        shared = F.concat(label, doc, F.lit("</a> and "), F.coalesce(other(F.get(nav, i + 1)), F.lit("")), F.lit(" end"))
+        text = F.when(i % 4 == 0, F.concat(doc, label, F.lit("</a>"))).when(i % 4 == 1, other(href)).when(i % 4 == 2, shared)
+        return F.when(i % 4 == 3, F.lit("")).otherwise(F.concat(F.lit("<li>"), text, F.lit("</li>")))
 
     body = F.concat(
         F.lit('<html><body><a href="/legal-content/EN/TXT/?uri=OJ:L_202400001">outside</a><div id="MainContent"><div class="inner"><ul>'),

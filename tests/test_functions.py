@@ -96,3 +96,13 @@ def test_character_references(spark):
              "&bogus; & &; &#0; &#55296; &#99999999;", "plain": "plain", "": "", "&": "&", "a&b;c&apos;": "a&b;c'"}
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "t string, e string")
     assert [r.d for r in df.select(T.decode_entities(F.col("t")).alias("d"), "e").collect()] == list(cases.values())
+
+
+def test_timestamps_in_many_shapes(spark):
+    cases = {"2024-01-05": "2024-01-05 00:00:00", "2024-1-5 7:08": "2024-01-05 07:08:00", "2024-01-05T07:08:09": "2024-01-05 07:08:09", "2024-02": "2024-02-01 00:00:00",
+             "20240105": "2024-01-05 00:00:00", "01/05/2024": "2024-01-05 00:00:00", "25/12/2024": "2024-12-25 00:00:00", "05.01.2024": "2024-01-05 00:00:00",
+             "5 january 2024": "2024-01-05 00:00:00", "JAN 5, 2024 23:59": "2024-01-05 23:59:00", "5 May 2024": "2024-05-05 00:00:00", "May 5 2024": "2024-05-05 00:00:00",
+             " 2024/12/31 ": "2024-12-31 00:00:00", "31/02/2024": None, "30 Foo 2024": None, "2024-13-01": None, "No end date": None, "": None, "2024-01-05 25:00": None, None: None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: r.m for r in df.select("t", F.date_format(I.coerced_timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("m")).collect()}
+    assert got == cases

@@ -4,7 +4,7 @@ Items and documents are sets of word shingles (five words; an item of fewer is o
 own width). Documents are partitioned by size: class p holds those of up to 2**p distinct
 shingles, and sketches them by one-permutation MinHash over 2**(p + 1) bins, so that a short item's shingle is
 the minimum of its bin in a long document as easily as in a short one. An item is sketched once for each class.
-A document and an item that agree in a bin are a candidate, verified by exact
+A document and an item that agree in a bin are a candidate: sketches alone are joined for it. Candidates are verified by exact
 containment: the shingles themselves, all of them, are compared, and the pair is a hit if the
 document holds at least ``CONTAINMENT`` of the item's. An item with fewer than ``SMALL``
 shingles is looked up on every one of them; of the others a contained item is
@@ -144,11 +144,24 @@ def contained_items(docs: DataFrame, items: DataFrame, containment: float = CONT
     bloom = np.zeros(FILTER_BITS // 8, np.uint8)
     bloom[bits["at"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.uint8)
     found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(doc_rows(widths, bloom), DOC_ROWS)
-    pairs = found.distinct().join(index, ["width", "hash", "shingle"]).groupBy("doc_id", "doc_key", "item_id", "item_key", "n_shingles").agg(
-        F.count(F.lit(1)).alias("n_shared"),
-        F.max(F.col("least") & (F.expr("shiftright(classes, class)").bitwiseAND(F.lit(1)) == 1)).alias("candidate"))
-    pairs = pairs.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
-    return pairs.filter(F.col("candidate") & (F.col("containment") >= containment)).drop("candidate", "item_key")
+    found = materialise(found, "leak-shingles")
+    # Copies of a text are searched once.
+    key = ["width", "hash", "shingle"]
+    texts = found.select("doc_key", "class", "least", *key).distinct()
+    small = F.col("n_shingles") < SMALL
+    in_sketch = F.expr("shiftright(classes, class)").bitwiseAND(F.lit(1)) == 1
+    terms = index.select("item_key", "n_shingles", "classes", *key).distinct()
+    by_sketch = texts.filter("least").join(terms.filter(~small), key).filter(in_sketch)
+    by_shingle = texts.join(terms.filter(small), key)
+    candidates = by_sketch.select("doc_key", "item_key").union(by_shingle.select("doc_key", "item_key")).distinct()
+    candidates = materialise(candidates, "leak-candidates")
+    # Verified by all shingles of both.
+    shared = candidates.join(texts.select("doc_key", *key), "doc_key").join(terms.select("item_key", *key), ["item_key", *key], "left_semi")
+    shared = shared.groupBy("doc_key", "item_key").agg(F.count(F.lit(1)).alias("n_shared"))
+    named = shared.join(index.select("item_key", "item_id", "n_shingles").distinct(), "item_key")
+    named = named.withColumn("containment", F.col("n_shared") / F.col("n_shingles")).filter(F.col("containment") >= containment)
+    return named.join(found.select("doc_id", "doc_key").distinct(), "doc_key").select(
+        "doc_id", "doc_key", "item_id", "n_shingles", "n_shared", "containment")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:

@@ -47,8 +47,10 @@ BLOCK_IDS = 1 << 18
 END_ID = 2
 #: Pieces in the memo of a Python worker.
 MEMO_PIECES = 1_000_000
+#: Pieces that the tokenizer gets at a time; its results are large.
+BATCH = 8192
 #: Bytes of text encoded at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 5 << 20
 
 #: A space between two characters that are not white space: the tokenizer's pattern always
 #: ends a piece there and starts the next one with the space, so both sides encode alone.
@@ -144,10 +146,11 @@ class Encoder:
         """Encodes pieces that are not in the memo."""
         texts = pieces.to_pylist()
         found = []
-        for lo in range(0, len(texts), 50_000):
-            found += [e.ids for e in self.tokenizer.encode_batch_fast(texts[lo:lo + 50_000], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(itertools.chain.from_iterable(found), "<u4", int(lengths.sum()))
+        for lo in range(0, len(texts), BATCH):
+            some = [e.ids for e in self.tokenizer.encode_batch_fast(texts[lo:lo + BATCH], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, some), np.int64, len(some))
+            found.append((np.fromiter(itertools.chain.from_iterable(some), "<u4", int(sizes.sum())), sizes))
+        ids, lengths = (np.concatenate(x) for x in zip(*found))
         self.keys = pa.concat_arrays([self.keys, pieces])
         self.starts = np.concatenate((self.starts, len(self.pool) + np.cumsum(lengths) - lengths))
         self.lengths = np.concatenate((self.lengths, lengths))
@@ -201,14 +204,17 @@ class Encoder:
         order[ordinary & ~from_odd] = at
         order[ordinary & from_odd] = len(asked) - len(odd) + np.arange(len(odd))
         starts, lengths = np.append(starts, 0)[order], np.append(lengths, 1)[order]
-        return self.pool[spans(starts, lengths)], np.add.reduceat(lengths, ends - pieces)
+        return self.pool.take(spans(starts, lengths)), np.add.reduceat(lengths, ends - pieces)
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places of all spans, one behind the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+    kind = np.int32 if total < 1 << 31 and (not total or starts.max() < 1 << 31) else np.int64
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,6 +253,7 @@ def block_rows(path: str, end_id: int):
         number = 0
         for some in slices(batches):
             ids, counts = encoder.encode(some.column(1))
+            pa.default_memory_pool().release_unused()
             at = 0
             for doc_id, count in zip(some.column(0).to_pylist(), counts.tolist()):
                 last = at + count

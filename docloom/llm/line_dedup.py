@@ -88,8 +88,9 @@ def pair_bits(line: Column) -> Column:
 
 def similar_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Edges (a, b) between ids of lines within so many edits. ``lines``: columns a (id), line; ids may repeat."""
-    distinct = lines.groupBy("a").agg(F.first("line").alias("line"))
-    length = F.length("line")
+    # The length is a column, so that it is counted once and not for each key.
+    distinct = lines.groupBy("a").agg(F.first("line").alias("line")).withColumn("n", F.length("line"))
+    length = F.col("n")
     # The lowest bit tells a probe from an index entry.
     keys = [F.shiftleft(index_key(F.col("line"), length, i, edits), 1) for i in range(edits + 1)]
     keys += [F.shiftleft(k, 1).bitwiseOR(F.lit(1)) for k in probe_keys(F.col("line"), length, edits)]
@@ -102,8 +103,8 @@ def similar_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     shared = shared.filter((F.col("lo") != F.col("hi")) & (F.col("probed") % 2 != 0) & (F.col("alone") % 2 == 0)).select("pair")
     own = keys.join(shared, "pair", "left_semi").groupBy("a").agg(F.collect_list("key").alias("keys"))
     # One table of the lines that may have a partner, at most as many keys in each as a line has.
-    some = materialise(own.join(distinct, "a").select("a", "line", "keys", pair_bits(F.col("line")).alias("bits")), "line-keys")
-    keys = some.select("a", "bits", F.length("line").alias("n"), F.explode("keys").alias("key")).withColumn("pair", F.shiftright("key", 1))
+    some = materialise(own.join(distinct, "a").select("a", "line", "n", "keys", pair_bits(F.col("line")).alias("bits")), "line-keys")
+    keys = some.select("a", "bits", "n", F.explode("keys").alias("key")).withColumn("pair", F.shiftright("key", 1))
     probes = keys.filter("key % 2 != 0").select("pair", "a", "n", "bits")
     index = keys.filter("key % 2 = 0").select(
         F.col("pair").alias("at"), F.col("a").alias("other"), F.col("n").alias("other_n"), F.col("bits").alias("other_bits"))

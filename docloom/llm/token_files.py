@@ -50,7 +50,7 @@ MEMO_PIECES = 1_000_000
 #: Pieces that the tokenizer gets at a time; its results are large.
 BATCH = 8192
 #: Bytes of text encoded at a time.
-SLICE_BYTES = 5 << 20
+SLICE_BYTES = 8 << 20
 
 #: A space between two characters that are not white space: the tokenizer's pattern always
 #: ends a piece there and starts the next one with the space, so both sides encode alone.
@@ -167,14 +167,20 @@ class Encoder:
 
     def look_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each piece are in the pool, and how many."""
-        at = pc.fill_null(pc.index_in(pieces, value_set=self.keys), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        asked = pieces.dictionary_encode()
+        # The memo is looked up in what is asked for: the smaller side is hashed.
+        found = pc.fill_null(pc.index_in(self.keys, value_set=asked.dictionary), -1).to_numpy(zero_copy_only=False)
+        held = np.flatnonzero(found >= 0)
+        at = np.full(len(asked.dictionary), -1, np.int64)
+        at[found[held]] = held
         new = at < 0
         if new.any():
-            asked = pieces.filter(pa.array(new)).dictionary_encode()
-            if len(self.keys) + len(asked.dictionary) > MEMO_PIECES:
+            fresh = asked.dictionary.filter(pa.array(new))
+            if len(self.keys) + len(fresh) > MEMO_PIECES:
                 at[~new] = self.keep(at[~new])
-            at[new] = len(self.keys) + asked.indices.to_numpy()
-            self.add(asked.dictionary)
+            at[new] = len(self.keys) + np.arange(len(fresh))
+            self.add(fresh)
+        at = at[asked.indices.to_numpy()]
         return self.starts[at], self.lengths[at]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

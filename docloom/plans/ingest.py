@@ -130,13 +130,13 @@ def metadata_types(spark, sf):
 
 @query("single_file_scan", """SELECT 'S' || s_suppkey AS celex_number, 'About ' || s_name AS title, 'Text of ' || s_name AS content FROM supplier""")
 def single_file_scan(spark, sf):
-    """One JSON file per document, written and scanned back."""
+    """One JSON file per document, written and scanned back; a number that comes twice is one document."""
     path = shared_dir(spark, "json-files")
     meta = F.struct(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("celex_number"),
                     F.concat(F.lit("About "), F.col("s_name")).alias("title"))
     rows = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("file"), meta.alias("metadata"),
                                               F.concat(F.lit("Text of "), F.col("s_name")).alias("content"))
-    rows.write.partitionBy("file").json(path)
+    store.write_single_files(rows, "file", path)
     return store.scan_single_files(spark, path).select("metadata.celex_number", "metadata.title", "content")
 
 

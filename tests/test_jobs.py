@@ -353,3 +353,16 @@ def test_pairs_of_flat_degrees_are_not_counted_one_by_one(spark, monkeypatch):
     assert 3 <= left < len(want) / 50
     top = [(r.member1, r.member2, r.pair_count) for r in S.top_pairs(links, "doc", "member", 3).collect()]
     assert top == sorted(((*p, n) for p, n in want.items()), key=lambda x: (-x[2], x[0], x[1]))[:3]
+
+
+def test_single_files_share_one_folder(spark, tmp_path):
+    from docloom.sources import documents as store
+
+    path = str(tmp_path / "files")
+    docs = spark.createDataFrame([(i % 40, {"celex_number": f"c{i % 40}", "title": "t"}, f"text {i % 40}") for i in range(80)],
+                                 "file long, metadata struct<celex_number string, title string>, content string")
+    store.write_single_files(docs, "file", path)
+    files = [f for f in (tmp_path / "files").rglob("*.json")]
+    assert len(files) == 40 and {f.parent for f in files} == {tmp_path / "files"}
+    rows = store.scan_single_files(spark, path).collect()
+    assert sorted((r.metadata.celex_number, r.content) for r in rows) == sorted((f"c{i}", f"text {i}") for i in range(40))

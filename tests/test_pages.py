@@ -55,3 +55,22 @@ def test_implied_ends_can_be_left_out(spark):
 def test_pages_without_text(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "<p>"), (4, "</p></div>"), (5, "< a <")], "id long, html string")
     assert G.sections(df, "id", "html").count() == 0
+
+
+def test_elements_without_and_with_nested_ones(spark):
+    from pyspark.sql import functions as F
+
+    pages = ['a<div id="x">one</div>b</div>', 'a<DIV id="x">one<div>two</div>three</DIV >b', '<div id="x">open', '<div id="x"><div>open', '<div id="x"><divan>y</divan></div>z']
+    df = spark.createDataFrame([(h,) for h in pages], "h string").repartition(1)
+    got = [r.e for r in df.select("h", P.element(F.col("h"), '(?i)<div\\b[^>]*id="x"[^>]*>', "div").alias("e")).collect()]
+    assert got == ['<div id="x">one</div>', '<DIV id="x">one<div>two</div>three</DIV >', '<div id="x">', '<div id="x"><div>', '<div id="x"><divan>y</divan></div>']
+
+
+def test_references_are_decoded_without_casts_that_fail(spark, capsys):
+    from docloom.functions import text as T
+
+    df = spark.createDataFrame([("&amp; &#38; &#x26; &#; &#x; &nope; &#0; &#9999999; &",)], "h string")
+    df = df.select(T.decode_entities(df["h"]).alias("d"))
+    assert df.first().d == "& & & &#; &#x; &nope; &#0; &#9999999; &"
+    df.explain()
+    assert "try_cast" not in capsys.readouterr().out

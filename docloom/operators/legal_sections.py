@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from docloom import constants as K
 from docloom.functions import text as T
+from docloom.functions.arrays import text_slices
 from docloom.operators.pages import without_scripts
 from docloom.session import by_key
 
@@ -199,13 +200,17 @@ def parts_of(html: str | None, implied: bool = True) -> list[tuple]:
 def _parts(pages: DataFrame, key: str, html: str, implied: bool) -> DataFrame:
     """One row per token and part it takes."""
 
-    def fold(texts: pa.Array) -> pa.Array:
+    def fold_slice(texts: pa.Array) -> pa.Array:
         found = [parts_of(t.as_py(), implied) for t in texts]
         columns = list(zip(*(p for page in found for p in page))) or [()] * len(NAMES)
         rows = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, TYPES)], fields=list(TYPES))
         ends = [0, *itertools.accumulate(map(len, found))]
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
+    def fold(texts: pa.Array) -> pa.Array:
+        # The parts are Python objects for a slice of the batch only.
+        return pa.concat_arrays([fold_slice(part) for part in text_slices(texts)] or [fold_slice(texts)])
+
     # A column function keeps the pages' partitioning, so what follows needs no further shuffle.
     folded = F.arrow_udf(fold, f"array<struct<{PART.replace(' ', ':').replace(',:', ',')}>>")
     df = by_key(pages.select(F.col(key).alias("key"), F.col(html).alias("html")), "key")

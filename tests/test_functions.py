@@ -106,3 +106,23 @@ def test_timestamps_in_many_shapes(spark):
     df = spark.createDataFrame([(k,) for k in cases], "t string")
     got = {r.t: r.m for r in df.select("t", F.date_format(I.coerced_timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss").alias("m")).collect()}
     assert got == cases
+
+
+def test_texts_become_objects_a_slice_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    from docloom.functions import arrays as A
+    from docloom.operators import legal_sections as G
+
+    monkeypatch.setattr(A, "SLICE", 300)
+    texts = pa.array(["a" * (i % 90) for i in range(50)] + [None, "b" * 1000, ""])
+    parts = list(A.text_slices(texts))
+    assert pa.concat_arrays(parts).equals(texts)
+    assert all(len(p) == 1 or sum(len(t or "") + A.OBJECT for t in p.to_pylist()) <= 300 for p in parts) and len(parts) > 10
+    assert list(A.text_slices(texts.slice(0, 0))) == []
+    seen = []
+    monkeypatch.setattr(A.F, "arrow_udf", lambda fn, kind: fn)
+    count = A.of_each(lambda s: seen.append(len(s)) or s.str.len(), "long")
+    assert count(pa.array([["a" * 200, "b"] * 5, [], None, ["c"]])).to_pylist() == [[200, 1] * 5, [], [], [1]]
+    assert len(seen) > 1 and sum(seen) == 11
+    assert G.text_slices is A.text_slices

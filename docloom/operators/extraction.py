@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,54 +124,96 @@ def by_batches(score: Callable[[pd.Series], pd.Series]) -> ArrayScorer:
     return lambda df, keys, sentences, name: df.withColumn(name, each(F.col(sentences)))
 
 
-# A token is hot when it fills at least one 2000th of all rows; so there are at most 2000.
-HOT_SHARE = 2000
+#: Tokens that are looked up inside a task, those in most documents; all others are joined.
+COMMON_TOKENS = 1 << 18
+#: Tokens that are numbers and Python objects at a time.
+TOKEN_SLICE = 1 << 20
 
 
 def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(K.WORD_TOKEN), F.lit(0))
 
 
-def _token_counts(text: Column) -> Column:
-    """array<struct<token, tf>> of one sentence; an empty array for one without tokens."""
-
-    # Token counts of one sentence: positions where a new token starts in the sorted list.
-    def cut(t):
-        marks = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1)))
-        return let(marks, lambda m: F.transform(m, lambda i, k: F.struct(
-            F.get(t, i).alias("token"), (F.coalesce(F.get(m, k + 1), F.size(t)) - i).cast("double").alias("tf"))))
-
-    return let(F.sort_array(_tokens(text)), lambda t: F.when(F.size(t) > 0, cut(t)))
-
-
-def by_tfidf(corpus: DataFrame, text: str = "text", places: int | None = 9) -> ArrayScorer:
+def _common(df: DataFrame, most: int) -> tuple[int, pd.DataFrame]:
+    """Least document frequency of the common tokens, and these (token, df): at most ``most``."""
+    steps = df.groupBy(F.floor(F.log2("df") * 8).alias("step")).agg(F.count(F.lit(1)).alias("tokens"), F.min("df").alias("df"))
+    least, held = 1 << 62, 0
+    for row in sorted(steps.collect(), key=lambda r: -r["step"]):  # eight rows per doubling of the largest frequency
+        held += row["tokens"]
+        if held > most:
+            break
+        least = row["df"]
+    return least, df.filter(F.col("df") >= least).toPandas()
+
+
+WEIGHED = "struct<parts: array<double>, rest: array<struct<pos: int, token: string, tf: int>>>"
+
+
+def _weigh(common) -> Callable[[Column], Column]:
+    """Column function of arrays of the tokens of each sentence: its sum of squared weights over common tokens, and the counts of all other tokens."""
+
+    def part(sentences: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        known, idf = common.value
+        flat = sentences.flatten()
+        found = (flat.combine_chunks() if isinstance(flat, pa.ChunkedArray) else flat).dictionary_encode()
+        owner = np.repeat(np.arange(len(sentences)), pc.list_value_length(sentences).to_numpy(zero_copy_only=False))
+        n = max(len(found.dictionary), 1)
+        pairs, tf = np.unique(owner * n + found.indices.to_numpy(), return_counts=True)
+        place = pc.fill_null(pc.index_in(found.dictionary, known), -1).to_numpy()[pairs % n]
+        hot = place >= 0
+        sums = np.bincount(pairs[hot] // n, (tf[hot] * idf[place[hot]]) ** 2, len(sentences))
+        return sums, pairs[~hot] // n, found.dictionary.take(pa.array(pairs[~hot] % n)), tf[~hot]
+
+    def run(texts: pa.Array) -> pa.Array:
+        counts = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        sentences, ends = texts.flatten(), np.cumsum(counts)
+        size = np.cumsum(pc.list_value_length(sentences).to_numpy(zero_copy_only=False).astype(np.int64))
+        found, lo = [], 0
+        while lo < len(sentences):
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + TOKEN_SLICE, side="right")))
+            sums, owner, token, tf = part(sentences.slice(lo, hi - lo))
+            found.append((sums, owner + lo, token, tf))
+            lo = hi
+        sums, owner, tokens, tf = zip(*found) if found else ([np.empty(0)], [np.empty(0, np.int64)], [pa.array([], pa.string())], [np.empty(0)])
+        owner = np.concatenate(owner)
+        offsets = np.concatenate(([0], ends))
+        pos = owner - (ends - counts)[np.searchsorted(ends, owner, side="right")]
+        rest = pa.StructArray.from_arrays([
+            pa.array(pos, pa.int32()), pa.concat_arrays([t.cast(pa.string()) for t in tokens]), pa.array(np.concatenate(tf), pa.int32())], ["pos", "token", "tf"])
+        return pa.StructArray.from_arrays([
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(sums), pa.float64())),
+            pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, offsets), pa.int32()), rest)], ["parts", "rest"])
+
+    return F.arrow_udf(run, WEIGHED)
+
+
+def by_tfidf(corpus: DataFrame, text: str = "text", places: int | None = 9, most: int = COMMON_TOKENS) -> ArrayScorer:
     """Scores by the length of a sentence's TF-IDF vector, with document frequencies of the corpus.
 
-    Tokens are reduced to (sentence, token, count) inside the row.  The few hot tokens, whose
-    number is bounded by their share, are weighted through a broadcast; the rest, none of which
-    can skew a partition, through a shuffle join.  Only numbers come back: an array of scores for each row, rounded
+    Tokens are counted by sentence inside the row, where the common ones, a bounded number, are weighted too.
+    Only the others, none of which can skew a partition, travel as (sentence, token, count) to a shuffle join, and
+    only numbers come back: an array of scores for each row, rounded
     to so many places, so that equal sentences score the same in whatever order their parts were added up.
     """
+    spark = corpus.sparkSession
     tokens = corpus.select(F.explode(F.array_distinct(_tokens(F.col(text)))).alias("token"))
     df = materialise(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "document-frequencies")
     n_docs = corpus.count()
-    total = df.agg(F.sum("df")).first()[0] or 0
-    idf = df.select("token", "df", (F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-    hot = idf.filter(F.col("df") * HOT_SHARE >= total).select("token", F.col("idf").alias("hot_idf"))
-    cold = idf.filter(F.col("df") * HOT_SHARE < total).select("token", F.col("idf").alias("cold_idf"))
+    least, common = _common(df, most)
+    weigh = _weigh(spark.sparkContext.broadcast((
+        pa.array(common["token"], pa.string()), np.log((n_docs + 1.0) / (common["df"].to_numpy(np.float64) + 1.0)) + 1.0)))
+    rare = df.filter(F.col("df") < least).select("token", (F.log((n_docs + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
     unseen = F.log(F.lit(n_docs + 1.0)) + 1.0
 
     def add(df: DataFrame, keys: list[str], sentences: str, name: str) -> DataFrame:
-        # A sentence without tokens keeps a row, so that every place has a score.
-        rows = df.select(*keys, F.posexplode(sentences).alias("pos", "sentence"))
-        rows = rows.select(*keys, "pos", F.explode_outer(_token_counts(F.col("sentence"))).alias("r")).select(*keys, "pos", "r.token", "r.tf")
-        marked = rows.join(F.broadcast(hot), "token", "left")
-        weight = lambda c: F.sum(F.pow(F.col("tf") * c, F.lit(2.0))).alias("part")
-        known = marked.filter(F.col("hot_idf").isNotNull() | F.col("token").isNull()).groupBy(*keys, "pos").agg(weight(F.col("hot_idf")))
-        other = marked.filter(F.col("hot_idf").isNull() & F.col("token").isNotNull()).join(cold, "token", "left")
-        other = other.groupBy(*keys, "pos").agg(weight(F.coalesce(F.col("cold_idf"), unseen)))
-        score = F.sqrt(F.coalesce(F.sum("part"), F.lit(0.0)))
-        scores = known.unionByName(other).groupBy(*keys, "pos").agg((score if places is None else F.round(score, places)).alias("score"))
+        rows = materialise(df.select(*keys, weigh(F.transform(sentences, _tokens)).alias("w")), "weighed-sentences")
+        known = rows.select(*keys, F.posexplode("w.parts").alias("pos", "part"))
+        other = rows.select(*keys, F.inline("w.rest")).join(rare, "token", "left")
+        other = other.select(*keys, "pos", F.pow(F.col("tf") * F.coalesce("idf", unseen), F.lit(2.0)).alias("part"))
+        # Dealt by the keys once, for both aggregations and the join.
+        parts = known.unionByName(other).repartition(*keys)
+        score = F.sqrt(F.sum("part"))
+        scores = parts.groupBy(*keys, "pos").agg((score if places is None else F.round(score, places)).alias("score"))
         each = F.sort_array(F.collect_list(F.struct("pos", "score")))
         return df.join(scores.groupBy(*keys).agg(F.transform(each, lambda x: x["score"]).alias(name)), keys, "left")
 
@@ -177,7 +222,8 @@ def by_tfidf(corpus: DataFrame, text: str = "text", places: int | None = 9) -> A
 
 def tfidf_scores(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, pos, sentence, score): length of every sentence's TF-IDF vector over the corpus."""
-    df = by_tfidf(docs, text, places=None)(docs.select(key, T.sentences(F.col(text)).alias("_s")), [key], "_s", "_score")
+    cut = materialise(docs.select(key, T.sentences(F.col(text)).alias("_s")), "sentences")
+    df = by_tfidf(docs, text, places=None)(cut, [key], "_s", "_score")
     return df.select(key, F.posexplode(F.arrays_zip(F.col("_s").alias("s"), F.col("_score").alias("score"))).alias("pos", "_x")).select(
         key, "pos", F.col("_x.s").alias("sentence"), F.col("_x.score").alias("score"))
 

@@ -195,6 +195,36 @@ def test_scores_with_a_hot_token(spark):
     assert math.isclose(got[(7, 1)], math.hypot(idf(60), idf(60)))
 
 
+@pytest.mark.parametrize("most", [1 << 18, 3, 0])
+def test_scores_from_common_and_joined_tokens(spark, monkeypatch, most):
+    """Same scores wherever a token's weight comes from, small slices included; the text is cut once."""
+    import math
+    import random
+    from collections import Counter
+
+    from docloom.operators import extraction as E
+
+    monkeypatch.setattr(E, "TOKEN_SLICE", 7)
+    rng = random.Random(1)
+    sentences = {i: [" ".join(rng.choice("abcdefé") * rng.randint(1, 2) for _ in range(rng.randint(1, 9))) + "." for _ in range(rng.randint(1, 6))] for i in range(40)}
+    sentences[50], sentences[51] = ["?!", "a A a."], []
+    rows = [(i, " ".join(s)) for i, s in sentences.items()] + [(52, None)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    words = lambda s: s.lower().strip(".?!").split()
+    seen = Counter(w for s in sentences.values() for w in {w for x in s for w in words(x)})
+    n = len(rows)
+    want = {(i, k): math.sqrt(sum((c * (math.log((n + 1) / (seen[w] + 1)) + 1)) ** 2 for w, c in Counter(words(x)).items()))
+            for i, s in sentences.items() for k, x in enumerate(s)}
+    cut = df.select("id", F.split(F.lit("a. zz zz."), " ").alias("s")).limit(1)
+    found = E.by_tfidf(df, most=most)(cut, ["id"], "s", "x").first().x
+    assert math.isclose(found[0], math.log((n + 1) / (seen["a"] + 1)) + 1, rel_tol=1e-6) and len(found) == 3
+    monkeypatch.setattr(E.by_tfidf, "__defaults__", ("text", 9, most))
+    out = E.tfidf_scores(df, "id")
+    assert "regexp_extract_all" not in out._jdf.queryExecution().toString()
+    got = {(r.id, r.pos): r.score for r in out.collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
 def test_snapshots_of_one_name_in_two_folders_stay_apart(spark, tmp_path):
     from docloom.operators import metrics as X
     from docloom.sources import snapshots as S

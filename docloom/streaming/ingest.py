@@ -14,17 +14,14 @@ TABLE = "celex_number string, title string, content string, file string"
 BUCKETS = 1024
 
 
-def _first_copies(batch: DataFrame) -> DataFrame:
-    """One row per key: the smallest (file, text digest), found by a combined minimum of digests.
+def _first_copies(batch: DataFrame, row: str) -> DataFrame:
+    """Number of one row per key: the smallest (file, text digest), found by a combined minimum of digests and row numbers.
 
-    Full texts are joined to the winners instead of travelling through the aggregation, and
-    a key that fills the batch costs one row per task.
+    Only these travel through the aggregation; texts are joined once, by the unique numbers of the rows that are kept, and
+    a key that fills the batch costs one row per task. Equal copies inside one file have the same digest; any one of them stands for all.
     """
-    tagged = batch.withColumn("_tag", F.struct("file", F.md5("content").alias("digest")))
-    best = tagged.groupBy("celex_number").agg(F.min("_tag").alias("_tag"))
-    chosen = tagged.join(best, ["celex_number", "_tag"], "left_semi").drop("_tag")
-    # Equal copies inside one file carry the same tag; any one of them stands for all.
-    return chosen.dropDuplicates(["celex_number"])
+    tag = F.struct("file", F.md5("content").alias("digest"), row)
+    return batch.select("celex_number", tag.alias("_tag")).groupBy("celex_number").agg(F.min("_tag").alias("_tag")).select(f"_tag.{row}")
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
@@ -52,17 +49,20 @@ def append_unseen(target: str, buckets: int = BUCKETS):
     """
 
     def write(batch: DataFrame, _: int) -> None:
-        rows = materialise(batch.withColumn("bucket", bucket_of(F.col("celex_number"), buckets)), "arrivals")
+        rows = batch.withColumn("bucket", bucket_of(F.col("celex_number"), buckets)).withColumn("_row", F.monotonically_increasing_id())
+        rows = materialise(rows, "arrivals")  # numbers that are written stay the same in every use
         # At most as many numbers as there are folders.
         touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())
         if not touched:
             return
         known = stored_keys(batch.sparkSession, target, touched)
-        fresh = rows
+        unseen = rows
         if known is not None:
             hits = known.join(rows.select("celex_number").distinct(), "celex_number", "left_semi")
-            fresh = rows.join(hits, "celex_number", "left_anti")
-        fresh = _first_copies(fresh).select("celex_number", "title", "content", "file", "bucket")
+            unseen = rows.join(hits, "celex_number", "left_anti")
+        # Written, so that the planner knows how few numbers they are: an ordinary batch's texts then stay where they are.
+        first = materialise(_first_copies(unseen, "_row"), "first-copies")
+        fresh = rows.join(first, "_row", "left_semi").select("celex_number", "title", "content", "file", "bucket")
         # One file a folder and batch, unless a folder gets most of it.
         fresh.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(target)
 

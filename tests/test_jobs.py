@@ -396,3 +396,37 @@ def test_single_files_share_one_folder(spark, tmp_path):
     assert len(files) == 40 and {f.parent for f in files} == {tmp_path / "files"}
     rows = store.scan_single_files(spark, path).collect()
     assert sorted((r.metadata.celex_number, r.content) for r in rows) == sorted((f"c{i}", f"text {i}") for i in range(40))
+
+
+def test_a_batch_shuffles_its_texts_once(spark, tmp_path, monkeypatch):
+    """The copies of a batch are told apart by narrow rows; texts are dealt once, to their folders. Titles and null contents go with their row."""
+    from docloom.streaming import ingest as I
+
+    plans, made = [], I.materialise
+    monkeypatch.setattr(I, "materialise", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or made(df, name))
+    write = I.append_unseen(str(tmp_path / "t"), 4)
+    schema = "celex_number string, title string, content string, file string"
+    rows = [("a", "second", "x", "f2"), ("a", "first", "y", "f1"), ("b", "only", None, "f1"), ("c", "twice", "z", "f1"), ("c", "twice", "z", "f1")]
+    write(spark.createDataFrame(rows, schema).repartition(3), 0)
+    write(spark.createDataFrame([("a", "late", "w", "f0"), ("d", "new", "v", "f3")], schema).repartition(2), 1)
+    got = sorted(tuple(r) for r in spark.read.schema(schema).parquet(f"{tmp_path}/t/bucket=*").collect())
+    assert got == [("a", "first", "y", "f1"), ("b", "only", None, "f1"), ("c", "twice", "z", "f1"), ("d", "new", "v", "f3")]
+    narrow = [p for n, p in plans if n == "first-copies"]
+    assert len(narrow) == 2 and all("title" not in p for p in narrow)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_ngrams_without_a_slice_for_each_place(spark, n):
+    from docloom import constants as K
+    from docloom.operators import ngrams as N
+
+    texts = [(1, "red fox red fox red fox"), (2, "fox the red"), (3, "fox"), (4, ""), (5, None), (6, "red fox")]
+    out = N.ngrams(spark.createDataFrame(texts, "id long, text string"), n)
+    assert "array_join" not in out._jdf.queryExecution().toString()
+    want = Counter()
+    for _, t in texts:
+        w = [x for x in (t or "").split() if x not in K.STOP_WORDS]
+        for g, c in Counter(" ".join(w[i:i + n]) for i in range(len(w) - n + 1)).items():
+            want[g, 1] += 1
+            want[g, 0] += c - 1
+    assert Counter((r.ngram, r.first) for r in out.collect()) == +want

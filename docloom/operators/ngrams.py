@@ -29,14 +29,14 @@ def ngrams(docs: DataFrame, n: int, text: str = "text") -> DataFrame:
     """
     kept = F.filter(tokens(F.col(text), K.GRAM_TOKEN), lambda t: ~t.isin(*K.STOP_WORDS))
     rows = hold(docs.select(text), t=kept).filter(F.size("t") >= n)
-    grams = F.sort_array(F.transform(
-        F.sequence(F.lit(1), F.size("t") - (n - 1)),
-        lambda i: F.array_join(F.slice(F.col("t"), i, F.lit(n)), " ")))
-    rows = hold(rows.select("t"), g=grams)
-    marked = F.transform(
-        F.col("g"),
-        lambda gram, i: F.struct(gram.alias("ngram"), F.when(
-            (i > 0) & (F.get(F.col("g"), i - 1) == gram), F.lit(0)).otherwise(F.lit(1)).alias("first")))
+    # Whole arrays are laid side by side: a slice for each place would cost more than the rest of the row.
+    grams = F.slice("t", 1, F.size("t") - (n - 1))
+    for k in range(1, n):
+        grams = F.zip_with(grams, F.slice("t", 1 + k, F.size("t") - (n - 1)), lambda a, b: F.concat(a, F.lit(" "), b))
+    rows = hold(rows.select("t"), g=F.sort_array(grams))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("g", 1, F.size("g") - 1))
+    marked = F.zip_with("g", before, lambda gram, last: F.struct(
+        gram.alias("ngram"), F.when(gram.eqNullSafe(last), F.lit(0)).otherwise(F.lit(1)).alias("first")))
     return rows.select(F.inline(marked))
 
 

@@ -32,6 +32,8 @@ from docloom.sources.tables import load
 
 EDITS = 2
 MIN_CHARS = 40
+#: What a row of a key is for.
+PROBE, INDEX = 1, 2
 
 
 def text_lines(text: Column) -> Column:
@@ -63,13 +65,15 @@ def index_key(line: Column, length: Column, i: int, edits: int) -> Column:
 
 
 def probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
-    """Keys under which lines that are 0 to EDITS characters shorter may be indexed."""
+    """Keys under which lines that are 0 to EDITS characters shorter may be indexed, but for those that the line has in the index itself."""
     keys = []
     for shorter in range(edits + 1):
         other = length - shorter
         for i in range(edits + 1):
             at, size = segment(other, i, edits + 1)
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
+                if shorter == shift == 0:
+                    continue  # index_key()
                 # substring() counts from the end at places below 1; no line has such a segment.
                 inside = (at + shift >= 0) & (at + shift + size <= length)
                 keys.append(F.when(inside, F.xxhash64(other, F.lit(i), F.substring(line, at + shift + 1, size))))
@@ -91,22 +95,23 @@ def similar_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     # The length is a column, so that it is counted once and not for each key.
     distinct = lines.groupBy("a").agg(F.first("line").alias("line")).withColumn("n", F.length("line"))
     length = F.col("n")
-    # The lowest bit tells a probe from an index entry.
-    keys = [F.shiftleft(index_key(F.col("line"), length, i, edits), 1) for i in range(edits + 1)]
-    keys += [F.shiftleft(k, 1).bitwiseOR(F.lit(1)) for k in probe_keys(F.col("line"), length, edits)]
+    # The lowest bit is set for probes, the next for index entries. A line probes its own index keys too: one row for both.
+    keys = [F.shiftleft(index_key(F.col("line"), length, i, edits), 2).bitwiseOR(F.lit(PROBE | INDEX)) for i in range(edits + 1)]
+    keys += [F.shiftleft(k, 2).bitwiseOR(F.lit(PROBE)) for k in probe_keys(F.col("line"), length, edits)]
     keys = distinct.select("a", F.explode(F.array(*keys)).alias("key")).filter(F.col("key").isNotNull())
     # Dealt by key once, for both uses: most keys are of one line alone and go no further.
     parts = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = keys.repartition(parts, F.shiftright("key", 1)).withColumn("pair", F.shiftright("key", 1))
-    shared = keys.groupBy("pair").agg(F.min("a").alias("lo"), F.max("a").alias("hi"),
-                                      F.bit_or("key").alias("probed"), F.bit_and("key").alias("alone"))
-    shared = shared.filter((F.col("lo") != F.col("hi")) & (F.col("probed") % 2 != 0) & (F.col("alone") % 2 == 0)).select("pair")
-    own = keys.join(shared, "pair", "left_semi").groupBy("a").agg(F.collect_list("key").alias("keys"))
+    keys = keys.repartition(parts, F.shiftright("key", 2)).withColumn("pair", F.shiftright("key", 2))
+    shared = keys.groupBy("pair").agg(F.min("a").alias("lo"), F.max("a").alias("hi"), F.bit_or("key").alias("uses"))
+    both = F.lit(PROBE | INDEX).cast("long")
+    shared = shared.filter((F.col("lo") != F.col("hi")) & (F.col("uses").bitwiseAND(both) == both)).select("pair")
+    # Few keys are shared, and both sides are dealt alike: a hash table of those spares a sort of all.
+    own = keys.join(shared.hint("shuffle_hash"), "pair", "left_semi").groupBy("a").agg(F.collect_list("key").alias("keys"))
     # One table of the lines that may have a partner, at most as many keys in each as a line has.
     some = materialise(own.join(distinct, "a").select("a", "line", "n", "keys", pair_bits(F.col("line")).alias("bits")), "line-keys")
-    keys = some.select("a", "bits", "n", F.explode("keys").alias("key")).withColumn("pair", F.shiftright("key", 1))
-    probes = keys.filter("key % 2 != 0").select("pair", "a", "n", "bits")
-    index = keys.filter("key % 2 = 0").select(
+    keys = some.select("a", "bits", "n", F.explode("keys").alias("key")).withColumn("pair", F.shiftright("key", 2))
+    probes = keys.filter(F.col("key").bitwiseAND(F.lit(PROBE).cast("long")) != 0).select("pair", "a", "n", "bits")
+    index = keys.filter(F.col("key").bitwiseAND(F.lit(INDEX).cast("long")) != 0).select(
         F.col("pair").alias("at"), F.col("a").alias("other"), F.col("n").alias("other_n"), F.col("bits").alias("other_bits"))
     near = F.bit_count(F.col("bits").bitwiseXOR(F.col("other_bits"))) <= 4 * edits
     # Lines of one length probe each other; one direction is enough.

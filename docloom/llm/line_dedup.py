@@ -54,9 +54,9 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     """First character (from 0) and size of segment i of a line; the later ones take the remainder."""
-    size, longer = F.floor(length / parts).cast("int"), length % parts
-    extra = F.lit(i) - (F.lit(parts) - longer)
-    return (size * i + F.greatest(extra, F.lit(0))).cast("int"), (size + (extra >= 0).cast("int")).cast("int")
+    size, longer = F.call_function("div", length, F.lit(parts)).cast("int"), length % parts
+    extra = longer - F.lit(parts - i)
+    return size * i + F.greatest(extra, F.lit(0)), size + (extra >= 0).cast("int")
 
 
 def index_key(line: Column, length: Column, i: int, edits: int) -> Column:
@@ -74,9 +74,8 @@ def probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + (edits - i)) + 1):
                 if shorter == shift == 0:
                     continue  # index_key()
-                # substring() counts from the end at places below 1; no line has such a segment.
-                inside = (at + shift >= 0) & (at + shift + size <= length)
-                keys.append(F.when(inside, F.xxhash64(other, F.lit(i), F.substring(line, at + shift + 1, size))))
+                # Inside the line wherever segments have a character; else a probe more, whose pairs are verified as all are.
+                keys.append(F.xxhash64(other, F.lit(i), F.substring(line, at + shift + 1, size)))
     return keys
 
 

@@ -87,3 +87,31 @@ def test_pipeline_against_plain_python(spark):
         got = docs.collect() if last else docs.select("doc_id", "text", "source").collect()
         assert Counter(map(tuple, got)) == Counter(plain_stage(name, rows, con)), name
         assert got
+
+
+def test_line_keys_are_made_once_and_short_lines_are_found(spark):
+    """Index keys are no second row as probes; lines shorter than their segments lose no neighbour."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from docloom.llm import line_dedup
+
+    assert len(line_dedup.probe_keys(F.col("line"), F.col("n"), 2)) == 9
+    rng = random.Random(4)
+    lines = sorted({"".join(rng.choice("ab") for _ in range(rng.randint(1, 7))) for _ in range(60)})
+    lines += sorted({"".join(rng.choice("abé") for _ in range(n)) for n in range(40, 50)})
+    lines += [x[:9] + x[10:] for x in lines[-4:]] + [x[:3] + "c" + x[3:30] + "d" + x[30:] for x in lines[-4:]]
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            row, last = [i], row
+            for j, d in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (c != d)))
+        return row[-1]
+
+    want = {(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines) if i < j and distance(x, y) <= 2 and x != y}
+    df = spark.createDataFrame(list(enumerate(lines)), "a long, line string")
+    got = {(r.a, r.b) for r in line_dedup.similar_lines(df).collect()}
+    assert {p for p in got if lines[p[0]] != lines[p[1]]} == want and len(want) > 50

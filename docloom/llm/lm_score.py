@@ -16,7 +16,8 @@ added up and their weights averaged by bits seen. The counts cover all training
 is a parameter, so the model has a known size however large the corpus.
 
 No context reaches beyond the word before, so equal (word before, first bytes) and equal words of a
-slice are predicted once.
+slice are predicted once, and of these the bytes behind equal first bytes once in a block. Blocks are worked on in
+pieces that fit the processor's cache; what a block teaches is taken in at its end.
 
 Base score: counts per word of all training documents, by 64-bit hash of the word. Words above a count
 that at most ``COMMON_WORDS`` words reach are looked up in the task; all others are joined.
@@ -53,6 +54,16 @@ CHUNK = 1 << 16
 FIRST_SLICE, LAST_SLICE = 1 << 18, 5 << 20
 #: Bytes predicted at a time, between updates of the weights.
 ROWS = 1 << 17
+#: The same where nothing is learned.
+FROZEN_ROWS = 1 << 18
+#: Places worked on at a time, so that what a step needs stays in the processor's cache.
+PIECE = 1 << 14
+#: Sums that the errors of a gate go to in turns, so that neighbours do not wait for each other.
+LANES = 4
+LANE = np.arange(PIECE) % LANES * 40
+#: Places whose bytes wait to be counted, and the bits that hold how often one occurs there.
+WAITING = 1 << 19
+TIMES_BITS = 64 - 8 - max(SLOT_BITS)
 RATE = 0.02
 #: Bytes of a word that see the word before.
 HEAD = 2
@@ -94,11 +105,11 @@ def tokenise(texts: pa.Array) -> Slice:
     kept = np.concatenate(([0], np.cumsum(real)))[offsets]
     found = flat.filter(pa.array(real)).dictionary_encode()
     words = found.dictionary
-    raw = words.cast(pa.binary()).to_pylist()
+    raw = words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
     n = len(raw)
     counts = np.diff(kept)
     tokens = np.insert(found.indices.to_numpy().astype(np.int64), kept[1:], n)
-    lengths = np.fromiter(map(len, raw), np.int64, n)
+    lengths = pc.binary_length(words).to_numpy().astype(np.int64)
     sizes = np.append(lengths + 1, 1)
     data = np.frombuffer(b" ".join([*raw, b"\n"]), np.uint8)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, raw), np.uint64, n)
@@ -123,6 +134,35 @@ def bytes_before(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     return last, place
 
 
+def bits_of(n: int) -> int:
+    """Bits that tell n rows apart."""
+    return max(n - 1, 1).bit_length()
+
+
+def ordered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in ascending order and their rows, equal keys by row. The lowest bits of the keys are free for the rows."""
+    mask = np.uint64((1 << bits_of(len(key))) - 1)
+    both = key | np.arange(len(key), dtype=np.uint64)
+    both.sort()
+    return both & ~mask, (both & mask).astype(np.int64)
+
+
+def unique(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``np.unique`` of numbers from 0 with first rows, inverse and counts: rows are sorted with the keys where both fit 64 bits."""
+    n = len(key)
+    free = bits_of(n)
+    if not n or int(key.max()).bit_length() + free > 64:
+        return np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    found, order = ordered(key.view(np.uint64) << np.uint64(free))
+    new = np.ones(n, bool)
+    new[1:] = found[1:] != found[:-1]
+    first = np.flatnonzero(new)
+    row = np.empty(n, np.int64)
+    row[order] = np.cumsum(new) - 1
+    index = order[first]
+    return key[index], index, row, np.diff(np.append(first, n))
+
+
 def places(s: Slice) -> tuple[Places, np.ndarray, np.ndarray]:
     """What to predict for a slice; then per token the heads' and the tails' cost rows are found by
     (head of the token, tail of the word): returns places, head row of each token, group of each place.
@@ -139,11 +179,11 @@ def places(s: Slice) -> tuple[Places, np.ndarray, np.ndarray]:
     for k in range(HEAD):
         head = head << 8 | np.where(k < head_size, s.data[np.minimum(s.starts + k, len(s.data) - 1)], 0)
     key = np.where(first, len(s.sizes), previous) << (8 * HEAD) | head[s.tokens]
-    distinct, index, row, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    heads, index, row, times = unique(key)
     word = s.tokens[index]
     n = head_size[word]
     spot = np.repeat(s.starts[word] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    before = np.append(s.hashes, START_HASH)[distinct >> (8 * HEAD)]
+    before = np.append(s.hashes, START_HASH)[heads >> (8 * HEAD)]
     tail = np.flatnonzero(place >= HEAD)
     word_times = np.bincount(s.tokens, minlength=len(s.sizes))
     owner = np.repeat(np.arange(len(s.sizes)), s.sizes)[tail]
@@ -163,6 +203,36 @@ def contexts(p: Places) -> list[np.ndarray]:
             np.where(early, (whole ^ p.before) * SPREAD[3], some(4) * SPREAD[4])]
 
 
+def distinct(p: Places) -> tuple[Places, np.ndarray]:
+    """The places that differ, with their occurrences added up, and for each place its row among them.
+
+    Words share first bytes, so many places are alike. Alike ones get the same key and come next to each other;
+    what is alike is told by the places themselves. The nearest bytes and the byte lead the key, so that neighbours share slots.
+    """
+    n = len(p.byte)
+    if not n:
+        return p, np.empty(0, np.int64)
+    some = (p.last & np.uint64((1 << 40) - 1) ^ p.before) * SPREAD[1]
+    key = ((p.last ^ p.before * SPREAD[2]) * SPREAD[0] ^ p.place.astype(np.uint64) * SPREAD[1] ^ p.byte) * SPREAD[3]
+    key >>= np.uint64(29)
+    key |= some >> np.uint64(55) << np.uint64(35)
+    for t in range(3):
+        key |= (p.last >> np.uint64(8 * t) & np.uint64(31)) << np.uint64(59 - 5 * t)
+    key |= (p.byte & np.uint64(31)) << np.uint64(44)
+    free = np.uint64(bits_of(n))
+    order = ordered(key >> free << free)[1]
+    q = Places(*(x.take(order, mode="clip") for x in p))
+    new = np.ones(n, bool)
+    new[1:] = q.byte[1:] != q.byte[:-1]
+    for x in (q.last, q.place, q.before):
+        new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    row = np.empty(n, np.int64)
+    row[order] = np.cumsum(new) - 1
+    times = np.add.reduceat(q.times.astype(np.float64), first).astype(np.float32)
+    return Places(*(x.take(first, mode="clip") for x in q[:4]), times), row
+
+
 #: Per predictor and bit path of a byte, what moves a context's slot.
 PATHS = [np.array([xxhash.xxh64_intdigest(bytes([n]), m) & ((1 << b) - 1) for n in range(256)]) for m, b in enumerate(SLOT_BITS)]
 CENTRES = np.tile(1 / (1 + np.exp(8 - np.arange(MAP_LEVELS) / 2)), 256)
@@ -189,69 +259,125 @@ class Model:
         self.weights = np.full((len(SLOT_BITS), GATES), 0.3, np.float32)
         self.slopes = np.full((len(SLOT_BITS), GATES), 1e-3)
         self.adaptive = np.zeros((256 * MAP_LEVELS, 2))  # byte and level: zeros, ones
-        self.sure = np.zeros(1 << SLOT_BITS[3], np.int8)
-
-    def settle(self) -> None:
-        """To be called when the tables have changed: how sure the whole word so far is, in five steps."""
-        self.sure = np.ceil(np.minimum(np.abs(self.tables[3]), np.float32(6)) * np.float32(2 / 3)).astype(np.int8)
 
     def bits(self, p: Places, learn: "Counts | None" = None) -> np.ndarray:
         """Bits that each byte takes. With ``learn``, weights and map take the errors, and the slots go there."""
         out = np.empty(len(p.byte))
-        for lo in range(0, len(p.byte), ROWS):
-            part = Places(*(x[lo:lo + ROWS] for x in p))
-            starts = slots(contexts(part))
-            byte = part.byte.astype(np.int64)
-            stage = np.digitize(part.place, (1, 3, 6)) * 10
-            near = (part.last & np.uint64(255)).astype(np.int64) * MAP_LEVELS
-            share = part.times.astype(np.float32) / np.float32(max(part.times.sum(), 1))
+        step = ROWS if learn is not None else FROZEN_ROWS
+        for lo in range(0, len(p.byte), step):
+            part, row = distinct(Places(*(x[lo:lo + step] for x in p)))
             zeros, ones = self.adaptive.T
             refined = ((ones + MAP_PRIOR * CENTRES) / (zeros + ones + MAP_PRIOR)).astype(np.float32)
-            product = np.ones(len(byte))  # of the eight bits' chances, none of which is below a hundred thousandth
-            for bit in range(8):
-                node = (1 << bit) | byte >> (8 - bit)
-                one = byte >> (7 - bit) & 1
-                at = [a ^ path.take(node) for a, path in zip(starts, PATHS)]
-                x = [table.take(a) for table, a in zip(self.tables, at)]
-                gate = stage + self.sure.take(at[3])
-                gate += (x[4] != 0) * 5
-                gate += 40 * bit
-                mixed = self.weights[0].take(gate) * x[0]
-                for m in range(1, len(x)):
-                    mixed += self.weights[m].take(gate) * x[m]
-                np.clip(mixed, -12, 12, out=mixed)
-                chance = 1 / (1 + np.exp(-mixed))
-                np.clip(mixed, -8, 8, out=mixed)
-                level = near + (mixed * np.float32(2) + np.float32(16.5)).astype(np.int64)
-                final = (chance + refined.take(level)) * np.float32(0.5)  # neither is 0 or 1
-                is_one = one.astype(np.float32)
-                product *= np.abs(is_one - 1 + final)
-                if learn is not None:
-                    error = (is_one - chance) * share
-                    for m in range(len(x)):
-                        slope = np.bincount(gate, error * x[m], GATES)
-                        self.slopes[m] += slope * slope
-                        self.weights[m] += (RATE * slope / np.sqrt(self.slopes[m])).astype(np.float32)
-                    self.adaptive += np.bincount(2 * level + one, part.times, 2 * 256 * MAP_LEVELS).reshape(-1, 2)
-                    learn.add(at, one, part.times)
-            out[lo:lo + ROWS] = -np.log2(product)
+            errors = None if learn is None else Errors(max(float(part.times.sum(dtype=np.float64)), 1.0))
+            cost = np.empty(len(part.byte))
+            for at in range(0, len(part.byte), PIECE):
+                cost[at:at + PIECE] = self.mix(Places(*(x[at:at + PIECE] for x in part)), refined, errors, learn)
+            out[lo:lo + step] = cost[row]
+            if errors is not None:
+                slopes = errors.lanes.reshape(len(SLOT_BITS), 8, LANES, 40).sum(2).reshape(len(SLOT_BITS), GATES)
+                self.slopes += slopes * slopes
+                self.weights += (RATE * slopes / np.sqrt(self.slopes)).astype(np.float32)
+                self.adaptive += errors.map.reshape(-1, 2)
         return out
 
+    def mix(self, p: Places, refined: np.ndarray, errors: "Errors | None", learn: "Counts | None") -> np.ndarray:
+        """Bits that each byte takes, by weights and map as they are; all indices are in range, so none is checked."""
+        starts = slots(contexts(p))
+        byte = p.byte.astype(np.int64)
+        stage = np.float32(10) * ((p.place >= 1).astype(np.float32) + (p.place >= 3) + (p.place >= 6))
+        # The first two predictors see three bytes at most, which many neighbours share.
+        near = (p.last & np.uint64((1 << 24) - 1)) << np.uint64(8) | p.byte
+        new = np.ones(len(byte), bool)
+        new[1:] = near[1:] != near[:-1]
+        first, run = np.flatnonzero(new), np.cumsum(new) - 1
+        few = [(table, a.take(first), path) for table, a, path in zip(self.tables[:2], starts, PATHS)]
+        others = list(zip(self.tables[2:], starts[2:], PATHS[2:]))
+        base = (p.last & np.uint64(255)).astype(np.int64) * MAP_LEVELS
+        product = np.ones(len(byte))  # of the eight bits' chances, none of which is below a hundred thousandth
+        if errors is not None:
+            lane = LANE[:len(byte)]
+            share = p.times / np.float32(errors.total)
+            times = p.times.astype(np.float64)
+            learn.add(starts, byte, times)
+        for bit in range(8):
+            one = byte >> (7 - bit) & 1
+            node = (1 << bit) | byte >> (8 - bit)
+            some = node.take(first)
+            x = [table.take(a ^ path.take(some, mode="clip"), mode="clip").take(run, mode="clip") for table, a, path in few]
+            x += [table.take(a ^ path.take(node, mode="clip"), mode="clip") for table, a, path in others]
+            # How sure the whole word so far is, in five steps.
+            gate = np.ceil(np.minimum(np.abs(x[3]), np.float32(6)) * np.float32(2 / 3))
+            gate += stage
+            gate += (x[4] != 0) * np.float32(5)
+            gate = gate.astype(np.int64)
+            weights = self.weights[:, 40 * bit:40 * bit + 40]
+            mixed = weights[0].take(gate, mode="clip") * x[0]
+            for m in range(1, len(x)):
+                mixed += weights[m].take(gate, mode="clip") * x[m]
+            np.clip(mixed, -12, 12, out=mixed)
+            chance = 1 / (1 + np.exp(-mixed))
+            np.clip(mixed, -8, 8, out=mixed)
+            level = base + (mixed * np.float32(2) + np.float32(16.5)).astype(np.int64)
+            final = (chance + refined.take(level, mode="clip")) * np.float32(0.5)  # neither is 0 or 1
+            is_one = one.astype(np.float32)
+            product *= np.abs(is_one - 1 + final)
+            if errors is not None:
+                error = (is_one - chance) * share
+                gate += lane
+                for m in range(len(x)):
+                    errors.lanes[m, bit] += np.bincount(gate, error * x[m], 40 * LANES)
+                np.add.at(errors.map, 2 * level + one, times)
+        return -np.log2(product)
+
+
+class Errors:
+    """What the places of one block teach: taken in when all of them have been predicted."""
+
+    def __init__(self, total: float):
+        self.total = total
+        self.lanes = np.zeros((len(SLOT_BITS), 8, 40 * LANES))
+        self.map = np.zeros(2 * 256 * MAP_LEVELS)
+
 
 class Counts:
     """Zeros and ones per slot; what is added is in the model's tables from the next slice on."""
 
     def __init__(self):
         self.tables = [np.zeros(2 << b, np.float32) for b in SLOT_BITS]
+        self.waiting, self.rows = [[] for _ in SLOT_BITS], 0
+
+    def add(self, starts: list[np.ndarray], byte: np.ndarray, times: np.ndarray) -> None:
+        """Bytes behind contexts, by the slots of the contexts. They wait as slot, byte and times in one number each."""
+        low = (byte << TIMES_BITS | times.astype(np.int64)).view(np.uint64)
+        for waiting, a in zip(self.waiting, starts):
+            waiting.append(a.view(np.uint64) << np.uint64(TIMES_BITS + 8) | low)
+        self.rows += len(byte)
+        if self.rows >= WAITING:
+            self.settle()
 
-    def add(self, at: list[np.ndarray], one: np.ndarray, times: np.ndarray) -> None:
-        for table, a in zip(self.tables, at):
-            np.add.at(table, 2 * a + one, times)
+    def settle(self) -> None:
+        """Counts what waits: each distinct byte of a slot once, slots in ascending order."""
+        for table, path, waiting in zip(self.tables, PATHS, self.waiting):
+            if not self.rows:
+                break
+            both = np.concatenate(waiting)
+            waiting.clear()
+            both.sort()
+            key = (both >> np.uint64(TIMES_BITS)).astype(np.int64)
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            both &= np.uint64((1 << TIMES_BITS) - 1)
+            times = np.add.reduceat(both, first).astype(np.float32)
+            key = key[first]
+            slot, byte = key >> 8, key & 255
+            for bit in range(8):
+                at = slot ^ path.take((1 << bit) | byte >> (8 - bit), mode="clip")
+                np.add.at(table, 2 * at + (byte >> (7 - bit) & 1), times)
+        self.rows = 0
 
     def show(self, model: Model) -> None:
+        self.settle()
         for m, table in enumerate(self.tables):
             model.tables[m] = log_odds(table[::2], table[1::2])
-        model.settle()
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int, first: int) -> Iterator[pa.RecordBatch]:
@@ -329,7 +455,6 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
             model.adaptive = np.frombuffer(row["data"]).reshape(-1, 2)
         else:
             model.tables[int(row["kind"][5:])][row["at"]:row["at"] + CHUNK] = np.frombuffer(row["data"], np.float32)
-    model.settle()
     words = learned.filter("kind = 'word'").groupBy(F.col("at").alias("word")).agg(F.sum("n").cast("long").alias("n"))
     return model, materialise(words, "lm-words")
 

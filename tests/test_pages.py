@@ -74,3 +74,31 @@ def test_references_are_decoded_without_casts_that_fail(spark, capsys):
     assert df.first().d == "& & & &#; &#x; &nope; &#0; &#9999999; &"
     df.explain()
     assert "try_cast" not in capsys.readouterr().out
+
+
+METADATA = ('<html><!-- <p id="title">no</p> --><script>"<dt>Form</dt><dd>no</dd>"</script><body><p class="x DocumentTitle">Document&nbsp;32020R1</p>{}'
+            '<DIV><p\nid = "title">Order &amp; <b>text</b></p><p id="originalTitle">hidden</p><div><p>A/2020/1 </p></div></DIV><a href="http://data.europa.eu/eli/1&amp;x">ELI</a>'
+            '<dl class="a NMetadata"><dt>Date of document, date of effect: </dt><dd>1;2</dd><dl><dt>Date of effect</dt><DD>3</DD ></dl><dt>Date of document</dt><dd>4</dd></dl>'
+            '<dl><dt><i>Au</i>thor</dt><dt>Form</dt><dd>A, B,</dd><dd>F</dd><dt>Directory code</dt><dd><li> 11 x<span>a</span><span> b</span></li><li></li></dd>'
+            '<dt>EUROVOC descriptor</dt><dd><li>u <b> v</b></li></dd><dt>Subject matter</dt></dl><dt>Responsible body</dt><dd>left open')
+
+
+def test_metadata_of_odd_pages(spark):
+    # An emoji before the date list, which the list was once not found behind.
+    pages = [METADATA.format(""), METADATA.format("<p>\U0001f600</p>"), METADATA.format("").replace('id = "title"', "id = title"), None]
+    got = P.page_metadata(spark.createDataFrame([*enumerate(pages)], "id long, html string"), "html").orderBy("id").collect()
+    dates = {"Date of document": "4", "Date of effect": "3", "Date of end of validity": ""}
+    lists = {"authors": ["A", "B", ""], "responsible_body": "", "form": "A, B,", "eurovoc_descriptors": ["uv"], "subject_matters": [],
+             "directory_codes": ["11", None], "directory_descriptions": ["a / b", ""]}
+    whole = {"celex_number": "32020R1", "title": "Order & text", "identifier": "A/2020/1", "eli_uri": "http://data.europa.eu/eli/1&x", "dates": dates, **lists, "status": "ok"}
+    none = dict.fromkeys(["celex_number", "title", "identifier", "eli_uri"]) | {"dates": dict.fromkeys(dates, "")}
+    none |= {**dict.fromkeys(lists, []), "responsible_body": "", "form": ""}
+    rows = [{n: v for n, v in r.asDict().items() if n not in ("id", "html")} for r in got]
+    assert rows == [whole, whole, {**whole, "title": None, "identifier": None, "status": "incomplete"}, {**none, "status": "incomplete"}]
+
+
+def test_metadata_reads_a_page_in_one_step(spark, capsys):
+    P.page_metadata(spark.createDataFrame([(1, "")], "id long, html string"), "html").drop("html").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("ArrowEvalPython") == 1
+    assert "regexp" not in plan and "Generate" not in plan

@@ -4,6 +4,7 @@ import itertools
 from collections import Counter
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import pytest
 from docloom.operators import dedup as D
@@ -430,3 +431,29 @@ def test_ngrams_without_a_slice_for_each_place(spark, n):
             want[g, 1] += 1
             want[g, 0] += c - 1
     assert Counter((r.ngram, r.first) for r in out.collect()) == +want
+
+
+def test_written_rows_are_put_together_by_key_only_where_keys_repeat(spark, tmp_path, monkeypatch):
+    def written(name, keys):
+        df = spark.createDataFrame([(k, {"celex_number": k, "title": f"t{i}"}, f"c{i}", day) for i, (k, day) in enumerate(keys)], T.StructType([*store.STORED, T.StructField("day", T.StringType())]))
+        store.with_partitions(df, F.to_date("day"), F.col("day")).drop("day").write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+    once = [(f"k{i}", f"2024-01-0{i % 3 + 1}") for i in range(30)]
+    few = [*once, ("k1", "2024-01-02"), ("k1", "2024-01-01"), (None, "2024-01-01"), (None, None)]
+    many = [*once, *once, (None, None), (None, None)]
+    for name, keys in (("once", once), ("few", few), ("many", many)):
+        docs = written(name, keys)
+        rows = docs.select(*store.STORED.fieldNames(), *store.PARTITIONS)
+        got = store.one_per_key_of_written(rows)
+        key = lambda r: (str(r.doc_id), str(r.journal_id))
+        assert sorted(got.collect(), key=key) == sorted(store.one_per_key(rows).collect(), key=key)
+        if name == "once":
+            assert "Exchange" not in got._jdf.queryExecution().toString()
+        store.store(docs, str(tmp_path / f"{name}-store"), written=True)
+        store.store(docs, str(tmp_path / f"{name}-as-before"))
+        a, b = ([r[:-1] for r in store.scan_tree(spark, str(tmp_path / f"{name}-{x}")).collect()] for x in ("store", "as-before"))
+        assert sorted(a, key=str) == sorted(b, key=str) and len(a) == len({k for k in keys if k[0]})
+    # An upsert of written rows over stored ones.
+    store.store(written("new", [("k1", "2024-01-02"), ("k99", "2024-01-02"), ("k99", "2024-01-02")]), str(tmp_path / "few-store"), written=True)
+    stored = store.scan_tree(spark, str(tmp_path / "few-store")).collect()
+    assert len(stored) == 32 and {r.content for r in stored if r.doc_id == "k1" and r.metadata.title == "t0"} == {"c0"}

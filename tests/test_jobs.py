@@ -433,6 +433,30 @@ def test_ngrams_without_a_slice_for_each_place(spark, n):
     assert Counter((r.ngram, r.first) for r in out.collect()) == +want
 
 
+def test_ingest_writes_outcomes_without_a_sort(spark, tmp_path):
+    from docloom.operators import ingest as J
+
+    def page(key, title, eli=True):
+        link = '<a href="http://data.europa.eu/eli/1">' if eli else ""
+        return f'<p class="DocumentTitle">Document {key}</p><div><p id="title">{title}</p></div>{link}<dl><dt>Author</dt><dd>A, B</dd></dl>'
+    text = lambda t: f'<div id="text"><p>{t}</p></div>'
+    rows = [("1", page("k1", "one"), text("x")), ("2", page("k1", "one"), text("y")), ("3", page("k2", "two"), text("z")), ("4", page("k3", "lost", False), text("t")),
+            ("5", page("k4", "seen"), text("t")), ("6", page("k5", "no text"), "<p>t</p>"), ("7", None, text("t")), ("8", page("k2", "two"), None), ("9", page("k1", "one"), text(""))]
+    pages = spark.createDataFrame([(*r, "2024-01-05") for r in rows], "doc_id string, meta_html string, text_html string, day string")
+    seen = spark.createDataFrame([("k4",), ("k4",), (None,)], "celex_number string")
+    done = J.ingest(pages, seen, str(tmp_path / "s"), "https://e.org", F.to_date("day"), F.lit("j"))
+    want = {"1": J.SUCCESS, "2": J.SUCCESS, "3": J.SUCCESS, "4": "metadata failed", "5": "already stored", "6": "text failed", "7": "metadata failed", "8": "text failed", "9": J.SUCCESS}
+    got = done.outcomes.collect()
+    assert {r.doc_id: r.status for r in got} == want and len(got) == len(want)
+    assert all((r.metadata is None) == (r.content is None) == (r.status != J.SUCCESS) and r.n_chars == len(r.content or "") for r in got)
+    assert done.counts == {s: list(want.values()).count(s) for s in J.OUTCOMES}
+    stored = store.scan_tree(spark, done.path).collect()
+    assert sorted(r.doc_id for r in stored) == ["k1", "k2"]
+    assert {(r.metadata.title, r.content) for r in stored} & {("one", "x"), ("one", "y"), ("one", "")} and ("two", "z") in {(r.metadata.title, r.content) for r in stored}
+    # Folders by outcome take a sort of all records.
+    assert not any("status=" in f for f in done.outcomes.inputFiles())
+
+
 def test_written_rows_are_put_together_by_key_only_where_keys_repeat(spark, tmp_path, monkeypatch):
     def written(name, keys):
         df = spark.createDataFrame([(k, {"celex_number": k, "title": f"t{i}"}, f"c{i}", day) for i, (k, day) in enumerate(keys)], T.StructType([*store.STORED, T.StructField("day", T.StringType())]))

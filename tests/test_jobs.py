@@ -458,6 +458,7 @@ def test_ingest_writes_outcomes_without_a_sort(spark, tmp_path):
 
 
 def test_written_rows_are_put_together_by_key_only_where_keys_repeat(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "FEW", 0.1)
     def written(name, keys):
         df = spark.createDataFrame([(k, {"celex_number": k, "title": f"t{i}"}, f"c{i}", day) for i, (k, day) in enumerate(keys)], T.StructType([*store.STORED, T.StructField("day", T.StringType())]))
         store.with_partitions(df, F.to_date("day"), F.col("day")).drop("day").write.parquet(str(tmp_path / name))
